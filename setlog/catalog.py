@@ -5,9 +5,12 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setlog.plans import analytics, filters, metrics, profile, silver
+from setlog.operators import grid
+from setlog.operators.ids import append_with_ids
+from setlog.plans import analytics, bronze, filters, metrics, profile, silver
 from setlog.plans.filters import Filters
 from setlog.sources import order_tables, workspace
+from setlog.sources import cells as cell_tables
 
 EXERCISE = "red widget"
 SOME = Filters(
@@ -74,11 +77,103 @@ def _share_by_exercise(star) -> DataFrame:
                          F.round("pct", 9).alias("pct"))
 
 
+def _on_cells(build):
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return build(workspace.cells(spark, folder))
+    return run
+
+
+def _cells_scan(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("workbook", "sheet_name").agg(
+        F.count("*").alias("celdas"), F.max("row_idx").alias("ultima_fila"),
+        F.max("col_idx").alias("ultima_columna"))
+
+
+def _sheet_filter(cells: DataFrame) -> DataFrame:
+    def counted(chosen: DataFrame, rule: str) -> DataFrame:
+        return chosen.groupBy("workbook", "sheet_name").agg(F.count("*").alias("n")).agg(
+            F.count("*").alias("hojas"), F.sum("n").alias("celdas")).withColumn("regla", F.lit(rule))
+    return counted(cell_tables.meso_sheets(cells), "nombre").unionByName(
+        counted(cell_tables.sheets_from_position(cells), "posicion"))
+
+
+def _latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    names = order_tables.table(spark, folder, "orders").select(F.concat(
+        F.date_format("o_orderdate", "yyyyMMdd"), F.lit("atleta"), F.col("o_custkey"),
+        F.lit(".xlsx")).alias("workbook"))
+    return cell_tables.latest_snapshot(names)
+
+
+def _sheet_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    return workspace.sheet_bronze(spark, folder).sesiones.select(
+        "athlete", "id", "sheet_name", "numero_dia", "nombre_dia", "microciclo",
+        "numero_microciclo", "fecha", "hora", F.col("prs_pre_sesion").cast("double")
+        .alias("prs_pre_sesion"), F.col("rpe_sesion").cast("double").alias("rpe_sesion"))
+
+
+def _sheet_series(spark: SparkSession, folder: str) -> DataFrame:
+    return workspace.sheet_bronze(spark, folder).series.select(
+        "athlete", "id", "sesion_id", "sheet_name", "numero_dia", "microciclo",
+        "numero_microciclo", "grupo_ejercicio", "tipo_ejercicio", "nombre_ejercicio",
+        "url_ejercicio", "dosis", "numero_serie", "repeticiones", "carga_kg", "rir_rpe",
+        "tipo_metrica")
+
+
+def _session_link(sesiones: DataFrame, series: DataFrame) -> DataFrame:
+    return bronze.link_sessions(series, sesiones).select("id", "sesion_id")
+
+
+def _sheet_replace(sesiones: DataFrame, series: DataFrame) -> DataFrame:
+    """One sheet read anew with other reps, one read anew and found empty."""
+    rows = series.select("athlete", "id", "sheet_name", "repeticiones")
+    new = rows.filter(F.col("sheet_name") == "1-URGENT").withColumn("repeticiones", F.lit("99"))
+    read = series.sparkSession.createDataFrame(
+        [(order_tables.ATHLETE, "1-URGENT"), (order_tables.ATHLETE, "2-HIGH")],
+        "athlete string, sheet_name string")
+    return bronze.replace_sheets(rows, new, read)
+
+
+def _append_ids(spark: SparkSession, folder: str) -> DataFrame:
+    old = workspace.bronze(spark, folder)[0].select("id", "sheet_name")
+    new = order_tables.table(spark, folder, "customer").select(F.col("c_name").alias("sheet_name"))
+    return append_with_ids(old, new, ["sheet_name"])
+
+
+def _athletes(build):
+    """A query on the star of all athletes' sheets."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return build(workspace.sheet_star(spark, folder))
+    return run
+
+
 def _freq(derive):
     return _on_star(lambda s: derive(metrics.daily_frequency(s)))
 
 
 QUERIES = {
+    # Sheets to bronze.
+    "cells_scan": _on_cells(_cells_scan),
+    "sheet_filter": _on_cells(_sheet_filter),
+    "latest_snapshot": _latest_snapshot,
+    "grid_days": _on_cells(lambda c: grid.detect_days(cell_tables.meso_sheets(c))),
+    "grid_micros": _on_cells(lambda c: grid.detect_microcycles(cell_tables.meso_sheets(c))),
+    "grid_labels": _on_cells(lambda c: grid.label_rows(cell_tables.meso_sheets(c))),
+    "grid_session_values": _on_cells(
+        lambda c: grid.session_metadata(cell_tables.meso_sheets(c)).drop("day_row", "micro_col")),
+    "grid_sessions": _sheet_sessions,
+    "grid_series": _sheet_series,
+    "sheet_rejects": lambda spark, folder: workspace.sheet_bronze(spark, folder).rejects,
+    "session_link": _on_bronze(_session_link),
+    "sheet_replace": _on_bronze(_sheet_replace),
+    "append_ids": _append_ids,
+    # All athletes' sheets to metrics.
+    "athlete_kpis": _athletes(metrics.kpis),
+    "athlete_weekly_volume": _athletes(metrics.weekly_volume),
+    "athlete_records": _athletes(metrics.personal_records),
+    "athlete_streaks": _athletes(
+        lambda s: analytics.longest_streaks(metrics.daily_frequency(s))),
+    "athlete_frequency": _athletes(lambda s: analytics.frequency_summary(
+        metrics.daily_frequency(s), s.exercises)),
     # Star build.
     "dim_exercise": _on_bronze(lambda ses, ser: silver.dim_ejercicios(ser)),
     "dim_exercise_first_nonnull": _on_bronze(

@@ -7,9 +7,11 @@ separate step with its own queries.
 from pyspark.sql import DataFrame, SparkSession
 
 from setlog.operators.ids import staged
+from setlog.plans.bronze import Bronze, extract_bronze
 from setlog.plans.silver import Star, build_star
 from setlog.session import fresh_path
-from setlog.sources import order_tables
+from setlog.sources import order_tables, sheet_tables
+from setlog.sources.cells import read_cells
 from setlog.sources.silver_store import read_bronze, read_silver, write_bronze, write_silver
 
 _built: dict[tuple, object] = {}
@@ -40,6 +42,36 @@ def star(spark: SparkSession, folder: str) -> Star:
     return _once(spark, folder, "star", build)
 
 
-def once_staged(spark: SparkSession, folder: str, kind: str, build) -> DataFrame:
-    """A derived table written on first use."""
-    return _once(spark, folder, kind, lambda: staged(build(), kind))
+def placed_sets(spark: SparkSession, folder: str) -> DataFrame:
+    """The sets that the training sheets hold."""
+    return _once(spark, folder, "placed",
+                 lambda: staged(sheet_tables.placed_sets(spark, folder), "placed"))
+
+
+def cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Cells of the training sheets, written and read as a cell table."""
+    def build():
+        path = fresh_path(spark, "cells")
+        sheet_tables.sheet_cells(placed_sets(spark, folder)).write.parquet(path)
+        return read_cells(spark, path)
+    return _once(spark, folder, "cells", build)
+
+
+def sheet_bronze(spark: SparkSession, folder: str) -> Bronze:
+    """Bronze tables read from the training sheets."""
+    def build():
+        found = extract_bronze(cells(spark, folder))
+        root = fresh_path(spark, "sheet-bronze")
+        write_bronze(found.sesiones, found.series, root)
+        return Bronze(*read_bronze(spark, root), found.rejects)
+    return _once(spark, folder, "sheet-bronze", build)
+
+
+def sheet_star(spark: SparkSession, folder: str) -> Star:
+    """The star of all athletes' training sheets."""
+    def build():
+        bronze_tables = sheet_bronze(spark, folder)
+        root = fresh_path(spark, "sheet-silver")
+        write_silver(build_star(bronze_tables.series, bronze_tables.sesiones), root)
+        return read_silver(spark, root)
+    return _once(spark, folder, "sheet-star", build)
