@@ -3,6 +3,11 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Texts that read as a number; no type suffixes such as '8d'.
+NUMBER_PATTERN = (
+    r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
+)
+
 
 def text_to_int(text: Column) -> Column:
     """'8.0' is 8, '8.5' is 9, '1e1' is 10; anything else is null.
@@ -28,13 +33,6 @@ def last_word_int(text: Column) -> Column:
     return F.regexp_extract(text, r"(?U)(\S+)\s*$", 1).try_cast("int")
 
 
-def is_number(text: Column) -> Column:
-    """Texts that read as a number; no type suffixes such as '8d'."""
-    return text.rlike(
-        r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
-    )
-
-
 def clock_text(text: Column) -> Column:
     """'7:05' and '07:05:00' as '07:05:00'; null when it is no time of day."""
     hour = F.regexp_extract(text, r"^\s*(\d{1,2}):(\d{2})(?::(\d{2})(?:\.\d*)?)?\s*$", 1)

@@ -16,7 +16,7 @@ data but stay as text in sets; day names are stripped, microcycle names are not.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from setlog.functions.casts import is_number, last_word_int, strip
+from setlog.functions.casts import NUMBER_PATTERN, last_word_int, strip
 from setlog.functions.fixed import (
     BLOCK_LETTERS, DATE_OFFSET, DAY_MARK, ERROR_MARK, HEADER_ROWS, LABEL_END_COL, LABEL_FIRST_COL,
     LABEL_ROWS, LAST_DAY_ROWS, LINK_MARK, METRIC_KIND, MICRO_END_COL, MICRO_FIRST_COL, MICRO_MARK,
@@ -73,15 +73,16 @@ def grid_rows(cells: DataFrame) -> DataFrame:
     )
 
 
-def _safe(text: Column) -> Column:
-    """A session cell; error texts are empty."""
-    return F.when(~text.contains(ERROR_MARK), text)
+def _safe(value: str) -> str:
+    """SQL for a session cell; error texts are empty."""
+    return f"if(contains({value}, '{ERROR_MARK}'), null, {value})"
 
 
-def _first_number(cells: Column, col: Column) -> Column:
-    """The first number right of a microcycle's column."""
-    near = [_safe(cells[col + offset]) for offset in range(1, NUMBER_OFFSETS + 1)]
-    return F.coalesce(*[F.when(is_number(value), value) for value in near])
+def _first_number(col: str) -> str:
+    """SQL for the first number right of a microcycle's column."""
+    near = [_safe(f"cells[{col} + {offset}]") for offset in range(1, NUMBER_OFFSETS + 1)]
+    return "coalesce(" + ", ".join(
+        f"if({value} rlike r'{NUMBER_PATTERN}', {value}, null)" for value in near) + ")"
 
 
 def day_rows(rows: DataFrame) -> DataFrame:
@@ -90,76 +91,121 @@ def day_rows(rows: DataFrame) -> DataFrame:
     sheet = Window.partitionBy(*SHEET)
     down = sheet.orderBy("row_idx")
     whole_sheet = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    below = sheet.orderBy(F.desc("row_idx")).rowsBetween(Window.unboundedPreceding, -1)
     block = Window.partitionBy(*SHEET, "block").orderBy("row_idx").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
 
-    c0 = F.col("cells")[F.lit(0)]
+    fecha, prs, rpe = SESSION_LABELS
     placed = (
-        rows.withColumn("c0", c0)
+        rows.withColumn("c0", F.col("cells")[F.lit(0)])
         .withColumn("is_day", F.coalesce(F.upper("c0").contains(DAY_MARK), F.lit(False)))
-        .withColumn("block", F.sum(F.col("is_day").cast("int")).over(
-            down.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("micros", F.first("micros", ignorenulls=True).over(whole_sheet))
-        .withColumn("last_row", F.max("row_idx").over(whole_sheet))
-        .withColumn("next_start", F.last(F.when(F.col("is_day"), F.col("row_idx")),
-                                         ignorenulls=True).over(below))
+        .withColumns({
+            "block": F.sum(F.col("is_day").cast("int")).over(
+                down.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+            "micros": F.first("micros", ignorenulls=True).over(whole_sheet),
+            "last_row": F.max("row_idx").over(whole_sheet),
+            "row_below": F.lead("row_idx").over(down),
+        })
         .filter("block > 0")
     )
-    name = strip(F.col("c0"))
-    # Below the last row of a block, next_start is that of the block.
-    end = F.coalesce(F.col("next_start") - 1,
-                     F.least(F.col("start") + LAST_DAY_ROWS, F.col("last_row")))
-    label_limit = F.least(F.col("start") + LABEL_ROWS, F.col("end"))
-
-    def at_label(label: str, value) -> Column:
-        """Values at the block's first row with the label, one per microcycle."""
-        here = F.col(f"has_{label}") & (F.col("row_idx") < label_limit)
-        values = F.transform("micros", lambda m: value(F.col("cells"), m["col"]))
-        return F.first(F.when(here, values), ignorenulls=True).over(block)
 
-    fecha, prs, rpe = SESSION_LABELS
+    def at_label(label: str, value: str) -> Column:
+        """Values at the block's first row with the label, one per microcycle ``m``."""
+        return F.first(F.expr(
+            f"if(has_{label} and row_idx < least(start + {LABEL_ROWS}, end),"
+            f" transform(micros, m -> {value}), null)"), ignorenulls=True).over(block)
+
+    opens_scan = strip(F.col("c0")).isin(*BLOCK_LETTERS) & (F.col("row_idx") <= F.col("end"))
     return (
-        placed.withColumn("start", F.first("row_idx").over(block))
-        .withColumn("end", end)
-        .withColumn("day_name", F.first(name).over(block))
-        .withColumn("day_number", F.coalesce(last_word_int(F.col("day_name")),
-                                             F.col("block").cast("int")))
-        .withColumn("fechas", at_label(fecha, lambda c, col: _safe(c[col + DATE_OFFSET])))
-        .withColumn("horas", at_label(fecha, lambda c, col: _safe(c[col + TIME_OFFSET])))
-        .withColumn("prs", at_label(prs, _first_number))
-        .withColumn("rpe", at_label(rpe, _first_number))
-        .drop(*[f"has_{label}" for label in SESSION_LABELS], "next_start", "last_row")
+        placed.withColumns({
+            "start": F.first("row_idx").over(block),
+            "day_name": F.first(strip(F.col("c0"))).over(block),
+            # What follows a block's last row is the next block's day row.
+            "row_below": F.last("row_below").over(block),
+        })
+        .withColumns({
+            "end": F.coalesce(F.col("row_below") - 1,
+                              F.least(F.col("start") + LAST_DAY_ROWS, F.col("last_row"))),
+            "day_number": F.coalesce(last_word_int(F.col("day_name")), F.col("block").cast("int")),
+        })
+        .withColumns({
+            "fechas": at_label(fecha, _safe(f"cells[m.col + {DATE_OFFSET}]")),
+            "horas": at_label(fecha, _safe(f"cells[m.col + {TIME_OFFSET}]")),
+            "prs": at_label(prs, _first_number("m.col")),
+            "rpe": at_label(rpe, _first_number("m.col")),
+            "first_letter": F.min(F.when(opens_scan, F.col("row_idx"))).over(block),
+        })
+        .drop(*[f"has_{label}" for label in SESSION_LABELS], "row_below", "last_row")
     )
 
 
+def _is_day() -> Column:
+    return (F.col("col_idx") == 0) & F.upper("value").contains(DAY_MARK)
+
+
 def detect_days(cells: DataFrame) -> DataFrame:
-    """Day blocks of every sheet: name, number, first and last row."""
-    return day_rows(grid_rows(cells)).filter("is_day").select(
-        *SHEET, F.col("day_name").alias("nombre_dia"), F.col("day_number").alias("numero_dia"),
-        F.col("start").alias("fila_inicio"), F.col("end").alias("fila_fin"))
+    """Day blocks of every sheet: name, number, first and last row.
+
+    Only day labels and the last row number leave the scan.
+    """
+    label = F.when(_is_day(), F.struct("row_idx", "value"))
+    sheets = cells.groupBy(*SHEET).agg(
+        F.max("row_idx").alias("last_row"), F.array_sort(F.collect_list(label)).alias("days"))
+    start, name = F.col("day.row_idx"), strip(F.col("day.value"))
+    following = F.get("days", F.col("i") + 1)["row_idx"]
+    return sheets.select(
+        *SHEET, "last_row", "days", F.posexplode("days").alias("i", "day"),
+    ).select(
+        *SHEET, name.alias("nombre_dia"),
+        F.coalesce(last_word_int(name), F.col("i") + 1).alias("numero_dia"),
+        start.alias("fila_inicio"),
+        F.coalesce(following - 1, F.least(start + LAST_DAY_ROWS, F.col("last_row")))
+        .alias("fila_fin"))
 
 
 def detect_microcycles(cells: DataFrame) -> DataFrame:
-    """Microcycles of every sheet: name, number and first column."""
-    by_sheet = grid_rows(cells).filter(F.col("micros").isNotNull()).groupBy(*SHEET).agg(
-        F.min_by("micros", "row_idx").alias("micros"))
-    return by_sheet.select(*SHEET, F.inline("micros")).select(
-        *SHEET, F.col("name").alias("microciclo"), F.col("number").alias("numero_microciclo"),
-        F.col("col").alias("col_inicio"))
+    """Microcycles of every sheet: name, number and first column.
+
+    Labels of the first rows only leave the scan, at most a few dozen per row.
+    """
+    labels = cells.filter(
+        (F.col("row_idx") < HEADER_ROWS)
+        & F.col("col_idx").between(MICRO_FIRST_COL, MICRO_END_COL - 1)
+        & F.upper("value").contains(MICRO_MARK))
+    header = labels.groupBy(*SHEET).agg(
+        F.min("row_idx").alias("header"),
+        F.array_sort(F.collect_list(F.struct("col_idx", "row_idx", "value"))).alias("found"))
+    return header.select(
+        *SHEET,
+        F.posexplode(F.filter("found", lambda m: m["row_idx"] == F.col("header"))).alias("i", "m"),
+    ).select(
+        *SHEET, F.col("m.value").alias("microciclo"),
+        F.coalesce(last_word_int(F.col("m.value")), F.col("i") + 1).alias("numero_microciclo"),
+        F.col("m.col_idx").alias("col_inicio"))
 
 
 def label_rows(cells: DataFrame) -> DataFrame:
-    """First row of each session label in each day block; null where it is missing."""
-    block = Window.partitionBy(*SHEET, "start")
-    rows = grid_rows(cells)
-    days = day_rows(rows).select(*SHEET, "row_idx", "start", "end", "day_number")
-    marked = days.join(rows.select(*SHEET, "row_idx", *[f"has_{x}" for x in SESSION_LABELS]),
-                       [*SHEET, "row_idx"])
-    limit = F.least(F.col("start") + LABEL_ROWS, F.col("end"))
-    return marked.groupBy(*SHEET, F.col("day_number").alias("numero_dia"), "start").agg(*[
-        F.min(F.when(F.col(f"has_{x}") & (F.col("row_idx") < limit), F.col("row_idx")))
-        .alias(f"fila_{x.lower()}") for x in SESSION_LABELS]).withColumnRenamed("start", "fila_inicio")
+    """First row of each session label in each day block; null where it is missing.
+
+    Label cells find their day by running over the day labels above them, so no pairs of
+    days and labels are formed.
+    """
+    text = F.upper("value")
+    in_labels = F.col("col_idx").between(LABEL_FIRST_COL, LABEL_END_COL - 1)
+    has = {label: in_labels & text.contains(label) for label in SESSION_LABELS}
+    to_here = Window.partitionBy(*SHEET).orderBy("row_idx", "col_idx").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    any_label = has[SESSION_LABELS[0]]
+    for label in SESSION_LABELS[1:]:
+        any_label = any_label | has[label]
+    start = F.last(F.when(_is_day(), F.col("row_idx")), ignorenulls=True).over(to_here)
+    marks = cells.filter(_is_day() | any_label).withColumn("fila_inicio", start).filter(
+        F.col("row_idx") < F.col("fila_inicio") + LABEL_ROWS)
+    days = detect_days(cells).select(*SHEET, "numero_dia", "fila_inicio", "fila_fin")
+    found = marks.join(days, [*SHEET, "fila_inicio"])
+    before_end = F.col("row_idx") < F.col("fila_fin")
+    return found.groupBy(*SHEET, "numero_dia", "fila_inicio").agg(*[
+        F.min(F.when(has[label] & before_end, F.col("row_idx"))).alias(f"fila_{label.lower()}")
+        for label in SESSION_LABELS])
 
 
 def _per_micro(days: DataFrame, *keep: str) -> DataFrame:
@@ -190,27 +236,22 @@ def exercise_rows(days: DataFrame) -> DataFrame:
     previous candidate always open one, so only runs of closer candidates (as a rule,
     single ones) are folded in order.
     """
-    block = Window.partitionBy(*SHEET, "block").orderBy("row_idx")
-    whole_block = block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    above = block.rowsBetween(Window.unboundedPreceding, -1)
-    to_here = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # Same order as the block windows, so the rows are not sorted again.
     down = Window.partitionBy(*SHEET).orderBy("block", "row_idx")
+    block = Window.partitionBy(*SHEET, "block").orderBy("row_idx")
     run = Window.partitionBy(*SHEET, "block", "run")
-
-    opens_scan = strip(F.col("c0")).isin(*BLOCK_LETTERS) & (F.col("row_idx") <= F.col("end"))
-    first = F.min(F.when(opens_scan, F.col("row_idx"))).over(whole_block)
-    candidate = (F.col("c0").isin(*BLOCK_LETTERS) & (F.col("row_idx") >= F.col("first"))
+    candidate = (F.col("c0").isin(*BLOCK_LETTERS) & (F.col("row_idx") >= F.col("first_letter"))
                  & (F.col("row_idx") < F.col("end") - 3))
-    apart = F.col("previous").isNull() | (F.col("row_idx") - F.col("previous") >= ROWS_PER_EXERCISE)
 
     def row_below(offset: int) -> Column:
         """Cells ``offset`` rows below; empty rows are absent, so look at what follows."""
         return F.coalesce(*[
-            F.when(F.lead("row_idx", j).over(down) == F.col("row_idx") + offset,
-                   F.lead("cells", j).over(down))
+            F.when(F.col(f"row{j}") == F.col("row_idx") + offset, F.col(f"cells{j}"))
             for j in range(1, offset + 1)])
 
+    following = {f"{name}{j}": F.lead(column, j).over(down)
+                 for j in (1, 2, 3) for name, column in (("row", "row_idx"), ("cells", "cells"))}
+    gap = F.col("row_idx") - F.lag("row_idx").over(block)
     folded = F.aggregate(
         F.array_sort(F.collect_list("row_idx").over(run)),
         F.array().cast("array<int>"),
@@ -219,13 +260,13 @@ def exercise_rows(days: DataFrame) -> DataFrame:
             F.concat(kept, F.array(r))).otherwise(kept))
     return (
         days.filter(F.col("micros").isNotNull())
-        .withColumn("first", first)
-        .withColumn("candidate", F.coalesce(candidate, F.lit(False)))
-        .withColumn("previous", F.last(F.when(F.col("candidate"), F.col("row_idx")),
-                                       ignorenulls=True).over(above))
-        .withColumn("run", F.sum(F.when(F.col("candidate") & apart, 1).otherwise(0)).over(to_here))
-        .withColumn("r1", row_below(1)).withColumn("r2", row_below(2)).withColumn("r3", row_below(3))
-        .filter("candidate")
+        .withColumns(following)
+        .filter(candidate)
+        .withColumns({f"r{offset}": row_below(offset) for offset in (1, 2, 3)})
+        .drop(*following)
+        .withColumn("apart", F.coalesce((gap >= ROWS_PER_EXERCISE).cast("int"), F.lit(1)))
+        .withColumn("run", F.sum("apart").over(
+            block.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
         .withColumn("opened", folded)
         .filter(F.array_contains("opened", F.col("row_idx")))
         .withColumnRenamed("cells", "r0")
@@ -239,12 +280,10 @@ def extract_sets(cells: DataFrame) -> DataFrame:
     full_name = F.coalesce(F.col("r1")[F.lit(1)], F.lit(MISSING_NAME))
     parts = F.split(full_name, LINK_MARK)
     linked = full_name.contains(LINK_MARK)
-    col = F.col("micro_col")
-    slots = F.array(*[
-        F.struct(
-            F.lit(k + 1).alias("numero_serie"), F.col("r1")[col + k].alias("repeticiones"),
-            F.col("r2")[col + k].alias("carga_kg"), F.col("r3")[col + k].alias("rir_rpe"))
-        for k in range(SETS_PER_EXERCISE)])
+    slots = F.expr("array(" + ", ".join(
+        f"struct({k + 1} as numero_serie, r1[micro_col + {k}] as repeticiones,"
+        f" r2[micro_col + {k}] as carga_kg, r3[micro_col + {k}] as rir_rpe)"
+        for k in range(SETS_PER_EXERCISE)) + ")")
     return exercises.select(
         *SHEET, "sheet_pos", "day_row", "micro_col", "row_idx", "numero_dia", "nombre_dia",
         "microciclo", "numero_microciclo", "fecha", "hora", "prs_pre_sesion", "rpe_sesion",
@@ -253,7 +292,7 @@ def extract_sets(cells: DataFrame) -> DataFrame:
         F.when(linked, strip(F.get(parts, F.lit(0)))).otherwise(full_name).alias("nombre_ejercicio"),
         F.when(linked, F.concat(F.lit(LINK_MARK), F.get(parts, F.lit(1)))).alias("url_ejercicio"),
         F.col("r2")[F.lit(1)].alias("notas_ejercicio"),
-        F.col("r0")[col].alias("dosis"),
+        F.expr("r0[micro_col]").alias("dosis"),
         F.lit(METRIC_KIND).alias("tipo_metrica"),
         F.inline(slots),
     ).filter(F.col("repeticiones").isNotNull())
