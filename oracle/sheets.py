@@ -157,6 +157,18 @@ FROM ser WHERE sheet_name <> '2-HIGH'"""),
 SELECT id, sheet_name FROM ses
 UNION ALL
 SELECT (SELECT max(id) FROM ses) + row_number() OVER (ORDER BY c_name), c_name FROM customer"""),
+    "incremental_load": sheets("""
+SELECT athlete, mesociclo, tipo AS tipo_ejercicio, CAST(sum(reps0 * coalesce(kg, 0)) AS DOUBLE) AS volumen,
+       count(*) AS series, CAST(sum(reps) AS BIGINT) AS total_reps
+FROM (SELECT r.*, l.sheet_name AS mesociclo FROM rows_of r JOIN linked l ON r.serie_id = l.id) r
+JOIN (SELECT athlete, trim(nombre_ejercicio) AS nombre, arg_min({'t': tipo_ejercicio}, id).t AS tipo
+      FROM left_over GROUP BY ALL) USING (athlete, nombre)
+WHERE tipo IS NOT NULL AND NOT (mesociclo = 'Meso 5-LOW' AND athlete IN (SELECT athlete FROM renewed))
+GROUP BY ALL""", """
+renewed AS (SELECT 'atleta' || CAST(c_custkey AS VARCHAR) AS athlete FROM customer
+            WHERE c_mktsegment = 'BUILDING'),
+left_over AS (SELECT * FROM linked WHERE NOT (sheet_name = 'Meso 5-LOW'
+                                              AND athlete IN (SELECT athlete FROM renewed)))"""),
     "athlete_kpis": sheets("""
 SELECT athlete, count(*) AS total_series, count(DISTINCT nombre) AS ejercicios,
        CAST(max(kg) AS DOUBLE) AS max_carga, count(DISTINCT fecha) AS dias

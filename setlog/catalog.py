@@ -10,7 +10,9 @@ from setlog.operators.ids import append_with_ids
 from setlog.plans import analytics, bronze, filters, metrics, profile, silver
 from setlog.plans.filters import Filters
 from setlog.sources import order_tables, workspace
+from setlog.session import fresh_path
 from setlog.sources import cells as cell_tables
+from setlog.streaming.snapshots import live_star, load_new
 
 EXERCISE = "red widget"
 SOME = Filters(
@@ -77,6 +79,33 @@ def _share_by_exercise(star) -> DataFrame:
                          F.round("pct", 9).alias("pct"))
 
 
+def _incremental_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Two deliveries of training sheets: first everyone's; then new workbooks of one
+    market segment, without their last sheet, beside outdated workbooks of the others."""
+    def load() -> DataFrame:
+        root = fresh_path(spark, "loads")
+        landing, store = f"{root}/landing", f"{root}/store"
+        cells = workspace.cells(spark, folder)
+
+        def deliver(rows: DataFrame, name: str) -> None:
+            rows.write.parquet(f"{landing}/{name}")
+            load_new(spark, landing, store, f"{root}/checkpoint")
+
+        deliver(cells, "first")
+        segment = order_tables.table(spark, folder, "customer").filter(
+            "c_mktsegment = 'BUILDING'").select(
+                F.concat(F.lit("20240101atleta"), "c_custkey", F.lit(".xlsx")).alias("workbook"))
+        redated = F.concat(F.lit("2024"), F.lit("0201"), F.substring("workbook", 9, 100))
+        newer = cells.join(segment, "workbook", "left_semi").filter(
+            F.col("sheet_name") != "Meso 5-LOW").withColumn("workbook", redated)
+        outdated = cells.join(segment, "workbook", "left_anti").filter(
+            F.col("sheet_name") == "Meso 1-URGENT").withColumn(
+                "workbook", F.concat(F.lit("20231231"), F.substring("workbook", 9, 100)))
+        deliver(newer.unionByName(outdated), "second")
+        return metrics.mesocycle_volume(live_star(spark, store))
+    return workspace.once(spark, folder, "incremental", load)
+
+
 def _on_cells(build):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return build(workspace.cells(spark, folder))
@@ -166,6 +195,7 @@ QUERIES = {
     "session_link": _on_bronze(_session_link),
     "sheet_replace": _on_bronze(_sheet_replace),
     "append_ids": _append_ids,
+    "incremental_load": _incremental_load,
     # All athletes' sheets to metrics.
     "athlete_kpis": _athletes(metrics.kpis),
     "athlete_weekly_volume": _athletes(metrics.weekly_volume),

@@ -74,3 +74,6 @@ SILVER_TABLES = {
     "silver_dim_plan": DIM_PLAN,
     "silver_fact_series": FACT_SERIES,
 }
+
+LOADS = _schema("athlete string, workbook string")
+STREAM_TABLES = {**BRONZE_TABLES, **SILVER_TABLES, "rejects": REJECTS, "loads": LOADS}

@@ -6,6 +6,7 @@ overwritten while a plan still reads it.
 """
 
 import uuid
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -26,15 +27,19 @@ def versions(spark: SparkSession, root: str) -> DataFrame:
 def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame],
             schemas: dict[str, T.StructType], label: str = "",
             partition_by: dict[str, list[str]] | None = None) -> str:
-    """Write every table to a new version folder, then append the log record."""
-    last = versions(spark, root).agg(F.max("version")).first()[0] or 0
-    folder = f"v{last + 1}-{uuid.uuid4().hex[:8]}"
+    """Write every table to a new version folder, then append the log record.
+
+    Rows carry their version number, so versions can also be read together.
+    """
+    version = (versions(spark, root).agg(F.max("version")).first()[0] or 0) + 1
+    folder = f"v{version}-{uuid.uuid4().hex[:8]}"
     for name, df in tables.items():
-        writer = conform(df, schemas[name]).write
+        rows = conform(df, schemas[name]).withColumn("version", F.lit(version).cast("bigint"))
+        writer = rows.write
         if partition_by and name in partition_by:
             writer = writer.partitionBy(*partition_by[name])
         writer.parquet(f"{root}/{folder}/{name}")
-    record = spark.createDataFrame([(last + 1, folder, label)], _LOG)
+    record = spark.createDataFrame([(version, folder, label)], _LOG)
     record.coalesce(1).write.mode("append").json(f"{root}/versions")
     return folder
 
@@ -51,6 +56,16 @@ def read_current(spark: SparkSession, root: str,
     }
 
 
+def read_all(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
+    """One table over all published versions, with its ``version`` column."""
+    full = T.StructType([*schema.fields, T.StructField("version", T.LongType())])
+    paths = [f"{root}/{r['folder']}/{name}" for r in versions(spark, root).collect()]
+    if not paths:
+        return spark.createDataFrame([], full)
+    frames = [spark.read.schema(full).parquet(path) for path in paths]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of ``schema`` in order; missing ones are null, the load time is now."""
     columns = []

@@ -17,7 +17,8 @@ from setlog.sources.silver_store import read_bronze, read_silver, write_bronze,
 _built: dict[tuple, object] = {}
 
 
-def _once(spark: SparkSession, folder: str, kind: str, build):
+def once(spark: SparkSession, folder: str, kind: str, build):
+    """What ``build`` gives, built on first use in this session."""
     key = (spark.sparkContext.applicationId, folder, kind)
     if key not in _built:
         _built[key] = build()
@@ -30,7 +31,7 @@ def bronze(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
         root = fresh_path(spark, "bronze")
         write_bronze(order_tables.sesiones(spark, folder), order_tables.series(spark, folder), root)
         return read_bronze(spark, root)
-    return _once(spark, folder, "bronze", build)
+    return once(spark, folder, "bronze", build)
 
 
 def star(spark: SparkSession, folder: str) -> Star:
@@ -39,12 +40,12 @@ def star(spark: SparkSession, folder: str) -> Star:
         root = fresh_path(spark, "silver")
         write_silver(build_star(series, sesiones), root)
         return read_silver(spark, root)
-    return _once(spark, folder, "star", build)
+    return once(spark, folder, "star", build)
 
 
 def placed_sets(spark: SparkSession, folder: str) -> DataFrame:
     """The sets that the training sheets hold."""
-    return _once(spark, folder, "placed",
+    return once(spark, folder, "placed",
                  lambda: staged(sheet_tables.placed_sets(spark, folder), "placed"))
 
 
@@ -54,7 +55,7 @@ def cells(spark: SparkSession, folder: str) -> DataFrame:
         path = fresh_path(spark, "cells")
         sheet_tables.sheet_cells(placed_sets(spark, folder)).write.parquet(path)
         return read_cells(spark, path)
-    return _once(spark, folder, "cells", build)
+    return once(spark, folder, "cells", build)
 
 
 def sheet_bronze(spark: SparkSession, folder: str) -> Bronze:
@@ -64,7 +65,7 @@ def sheet_bronze(spark: SparkSession, folder: str) -> Bronze:
         root = fresh_path(spark, "sheet-bronze")
         write_bronze(found.sesiones, found.series, root)
         return Bronze(*read_bronze(spark, root), found.rejects)
-    return _once(spark, folder, "sheet-bronze", build)
+    return once(spark, folder, "sheet-bronze", build)
 
 
 def sheet_star(spark: SparkSession, folder: str) -> Star:
@@ -74,4 +75,4 @@ def sheet_star(spark: SparkSession, folder: str) -> Star:
         root = fresh_path(spark, "sheet-silver")
         write_silver(build_star(bronze_tables.series, bronze_tables.sesiones), root)
         return read_silver(spark, root)
-    return _once(spark, folder, "sheet-star", build)
+    return once(spark, folder, "sheet-star", build)
