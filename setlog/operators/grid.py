@@ -26,53 +26,64 @@ from setlog.functions.fixed import (
 SHEET = ["workbook", "sheet_name"]
 # Session number or set columns reach at most this far right of the last microcycle.
 _LAST_COL = MICRO_END_COL - 1 + NUMBER_OFFSETS
+_LABEL_BITS = {label: 1 << i for i, label in enumerate(SESSION_LABELS)}
+_MICRO_BIT = 1 << len(SESSION_LABELS)
+# SQL for a microcycle ``m``, the ``i``-th of its sheet, with its session's values.
+_MICRO_FIELDS = (
+    "m.col as micro_col, m.name as microciclo, m.number as numero_microciclo,"
+    " get(fechas, i) as fecha, get(horas, i) as hora, get(prs, i) as prs_pre_sesion,"
+    " get(rpe, i) as rpe_sesion"
+)
 
 
 def grid_rows(cells: DataFrame) -> DataFrame:
     """One row per non-empty grid row: its cells by column, and which marks it holds.
 
-    Columns right of the layout only count as proof that the row exists.
+    Marks are found before the cells move. Columns right of the layout only count as
+    proof that the row exists.
     """
     text = F.upper("value")
     entry = F.when((F.col("col_idx") <= _LAST_COL) & F.col("value").isNotNull(),
                    F.struct("col_idx", "value"))
     in_labels = F.col("col_idx").between(LABEL_FIRST_COL, LABEL_END_COL - 1)
-    in_micros = F.col("col_idx").between(MICRO_FIRST_COL, MICRO_END_COL - 1)
-    marks = [
-        F.coalesce(F.bool_or(in_labels & text.contains(label)), F.lit(False)).alias(f"has_{label}")
-        for label in SESSION_LABELS
-    ]
+    in_micros = F.col("col_idx").between(MICRO_FIRST_COL, MICRO_END_COL - 1) & (
+        F.col("row_idx") < HEADER_ROWS)
+    mark = F.when(in_micros & text.contains(MICRO_MARK), _MICRO_BIT).otherwise(0)
+    for label, bit in _LABEL_BITS.items():
+        mark = mark.bitwiseOR(F.when(in_labels & text.contains(label), bit).otherwise(0))
     gathered = (
-        cells.repartition(*SHEET)
+        cells.select(*SHEET, "sheet_pos", "row_idx", entry.alias("entry"), mark.alias("mark"))
+        .repartition(*SHEET)
         .groupBy(*SHEET, "row_idx")
-        .agg(
-            F.min("sheet_pos").alias("sheet_pos"),
-            F.array_sort(F.collect_list(entry)).alias("entries"),
-            F.coalesce(F.bool_or(in_micros & text.contains(MICRO_MARK)), F.lit(False))
-            .alias("has_micro"),
-            *marks,
-        )
+        .agg(F.min("sheet_pos").alias("sheet_pos"), F.collect_list("entry").alias("entries"),
+             F.bit_or("mark").alias("mark"))
     )
     # A cell given twice counts once, with its first text in text order.
+    ordered = F.sort_array("entries")
     once = F.filter(
-        "entries",
-        lambda e, i: (i == 0) | (F.get("entries", i - 1)["col_idx"] != e["col_idx"]))
+        ordered, lambda e, i: (i == 0) | (F.get(ordered, i - 1)["col_idx"] != e["col_idx"]))
+    repeated = F.size(F.array_distinct(F.col("entries.col_idx"))) < F.size("entries")
     micros = F.when(
-        F.col("has_micro") & (F.col("row_idx") < HEADER_ROWS),
+        F.col("mark").bitwiseAND(_MICRO_BIT) != 0,
         F.transform(
-            F.filter("entries", lambda e: e["col_idx"].between(MICRO_FIRST_COL, MICRO_END_COL - 1)
+            F.filter(F.sort_array("entries"),
+                     lambda e: e["col_idx"].between(MICRO_FIRST_COL, MICRO_END_COL - 1)
                      & F.upper(e["value"]).contains(MICRO_MARK)),
             lambda e, i: F.struct(
                 e["col_idx"].alias("col"), e["value"].alias("name"),
                 F.coalesce(last_word_int(e["value"]), i + 1).alias("number"))))
     return (
-        gathered.withColumn("entries", once)
-        .withColumn("micros", micros)
-        .withColumn("cells", F.map_from_entries("entries"))
-        .drop("entries", "has_micro")
+        gathered.withColumn("entries", F.when(repeated, once).otherwise(F.col("entries")))
+        .withColumns({"micros": micros, "cells": F.map_from_entries("entries")})
+        .drop("entries")
     )
 
 
+def _day_columns() -> list[Column]:
+    return [F.col("sheet_pos"), F.col("start").alias("day_row"),
+            F.col("day_number").alias("numero_dia"), F.col("day_name").alias("nombre_dia")]
+
+
 def _safe(value: str) -> str:
     """SQL for a session cell; error texts are empty."""
     return f"if(contains({value}, '{ERROR_MARK}'), null, {value})"
@@ -86,44 +97,63 @@ def _first_number(col: str) -> str:
 
 
 def day_rows(rows: DataFrame) -> DataFrame:
-    """Grid rows inside day blocks, with their day, the sheet's microcycles and the
-    block's session values (one entry per microcycle)."""
+    """The rows of day blocks that mark something (day, label, exercise letter, end of
+    block), with their day, the sheet's microcycles, the block's session values (one
+    entry per microcycle) and the cells of the three rows below (r1 to r3).
+
+    One pass over all rows looks down a sheet; blocks are worked on the marked rows only.
+    """
     sheet = Window.partitionBy(*SHEET)
     down = sheet.orderBy("row_idx")
     whole_sheet = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     block = Window.partitionBy(*SHEET, "block").orderBy("row_idx").rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing)
 
-    fecha, prs, rpe = SESSION_LABELS
-    placed = (
+    def row_below(offset: int) -> Column:
+        """Cells ``offset`` rows below; empty rows are absent, so look at what follows."""
+        return F.coalesce(*[
+            F.when(F.col(f"row{j}") == F.col("row_idx") + offset, F.col(f"cells{j}"))
+            for j in range(1, offset + 1)])
+
+    following = {f"{name}{j}": F.lead(column, j).over(down)
+                 for j in (1, 2, 3) for name, column in (("row", "row_idx"), ("cells", "cells"))}
+    is_day = F.coalesce(F.upper("c0").contains(DAY_MARK), F.lit(False))
+    is_letter = F.coalesce(strip(F.col("c0")).isin(*BLOCK_LETTERS), F.lit(False))
+    is_label = F.col("mark").bitwiseAND(sum(_LABEL_BITS.values())) != 0
+    marked = (
         rows.withColumn("c0", F.col("cells")[F.lit(0)])
-        .withColumn("is_day", F.coalesce(F.upper("c0").contains(DAY_MARK), F.lit(False)))
+        .withColumns({"is_day": is_day, "is_letter": is_letter})
         .withColumns({
             "block": F.sum(F.col("is_day").cast("int")).over(
                 down.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
             "micros": F.first("micros", ignorenulls=True).over(whole_sheet),
             "last_row": F.max("row_idx").over(whole_sheet),
-            "row_below": F.lead("row_idx").over(down),
+            "day_below": F.coalesce(F.lead("is_day").over(down), F.lit(False)),
+            **following,
         })
-        .filter("block > 0")
+        .filter((F.col("block") > 0)
+                & (F.col("is_day") | F.col("is_letter") | is_label | F.col("day_below")))
+        .withColumn("next_start", F.when(F.col("day_below"), F.col("row1")))
+        .withColumns({f"r{offset}": row_below(offset) for offset in (1, 2, 3)})
+        .drop(*following, "day_below")
     )
 
     def at_label(label: str, value: str) -> Column:
         """Values at the block's first row with the label, one per microcycle ``m``."""
         return F.first(F.expr(
-            f"if(has_{label} and row_idx < least(start + {LABEL_ROWS}, end),"
+            f"if((mark & {_LABEL_BITS[label]}) <> 0 and row_idx < least(start + {LABEL_ROWS}, end),"
             f" transform(micros, m -> {value}), null)"), ignorenulls=True).over(block)
 
-    opens_scan = strip(F.col("c0")).isin(*BLOCK_LETTERS) & (F.col("row_idx") <= F.col("end"))
+    fecha, prs, rpe = SESSION_LABELS
+    opens_scan = F.col("is_letter") & (F.col("row_idx") <= F.col("end"))
     return (
-        placed.withColumns({
+        marked.withColumns({
             "start": F.first("row_idx").over(block),
             "day_name": F.first(strip(F.col("c0"))).over(block),
-            # What follows a block's last row is the next block's day row.
-            "row_below": F.last("row_below").over(block),
+            "next_start": F.max("next_start").over(block),
         })
         .withColumns({
-            "end": F.coalesce(F.col("row_below") - 1,
+            "end": F.coalesce(F.col("next_start") - 1,
                               F.least(F.col("start") + LAST_DAY_ROWS, F.col("last_row"))),
             "day_number": F.coalesce(last_word_int(F.col("day_name")), F.col("block").cast("int")),
         })
@@ -134,7 +164,7 @@ def day_rows(rows: DataFrame) -> DataFrame:
             "rpe": at_label(rpe, _first_number("m.col")),
             "first_letter": F.min(F.when(opens_scan, F.col("row_idx"))).over(block),
         })
-        .drop(*[f"has_{label}" for label in SESSION_LABELS], "row_below", "last_row")
+        .drop("next_start", "last_row", "mark", "is_letter")
     )
 
 
@@ -208,49 +238,25 @@ def label_rows(cells: DataFrame) -> DataFrame:
         for label in SESSION_LABELS])
 
 
-def _per_micro(days: DataFrame, *keep: str) -> DataFrame:
-    """One row per microcycle with its session values."""
-    return days.select(
-        *SHEET, "sheet_pos", F.col("start").alias("day_row"),
-        F.col("day_number").alias("numero_dia"), F.col("day_name").alias("nombre_dia"), *keep,
-        "fechas", "horas", "prs", "rpe", F.posexplode("micros").alias("i", "micro"),
-    ).select(
-        *SHEET, "sheet_pos", "day_row", "numero_dia", "nombre_dia", *keep,
-        F.col("micro.col").alias("micro_col"), F.col("micro.name").alias("microciclo"),
-        F.col("micro.number").alias("numero_microciclo"),
-        F.get("fechas", F.col("i")).alias("fecha"), F.get("horas", F.col("i")).alias("hora"),
-        F.get("prs", F.col("i")).alias("prs_pre_sesion"), F.get("rpe", F.col("i")).alias("rpe_sesion"),
-    )
-
-
 def session_metadata(cells: DataFrame) -> DataFrame:
     """Every day of a sheet under every microcycle, sets or not, values still texts."""
-    return _per_micro(day_rows(grid_rows(cells)).filter("is_day"))
+    days = day_rows(grid_rows(cells)).filter("is_day")
+    return days.select(*SHEET, *_day_columns(), F.inline(F.expr(
+        f"transform(micros, (m, i) -> struct({_MICRO_FIELDS}))")))
 
 
 def exercise_rows(days: DataFrame) -> DataFrame:
-    """Rows that open an exercise, with the cells of their four rows (r0 to r3).
+    """Marked rows that open an exercise, with the cells of their four rows (r0 to r3).
 
     From the block's first letter downwards, a bare letter opens an exercise unless it
     lies within the four rows of the one before. Candidates four or more rows below the
     previous candidate always open one, so only runs of closer candidates (as a rule,
     single ones) are folded in order.
     """
-    # Same order as the block windows, so the rows are not sorted again.
-    down = Window.partitionBy(*SHEET).orderBy("block", "row_idx")
     block = Window.partitionBy(*SHEET, "block").orderBy("row_idx")
     run = Window.partitionBy(*SHEET, "block", "run")
     candidate = (F.col("c0").isin(*BLOCK_LETTERS) & (F.col("row_idx") >= F.col("first_letter"))
                  & (F.col("row_idx") < F.col("end") - 3))
-
-    def row_below(offset: int) -> Column:
-        """Cells ``offset`` rows below; empty rows are absent, so look at what follows."""
-        return F.coalesce(*[
-            F.when(F.col(f"row{j}") == F.col("row_idx") + offset, F.col(f"cells{j}"))
-            for j in range(1, offset + 1)])
-
-    following = {f"{name}{j}": F.lead(column, j).over(down)
-                 for j in (1, 2, 3) for name, column in (("row", "row_idx"), ("cells", "cells"))}
     gap = F.col("row_idx") - F.lag("row_idx").over(block)
     folded = F.aggregate(
         F.array_sort(F.collect_list("row_idx").over(run)),
@@ -259,11 +265,7 @@ def exercise_rows(days: DataFrame) -> DataFrame:
             (F.size(kept) == 0) | (r >= F.try_element_at(kept, F.lit(-1)) + ROWS_PER_EXERCISE),
             F.concat(kept, F.array(r))).otherwise(kept))
     return (
-        days.filter(F.col("micros").isNotNull())
-        .withColumns(following)
-        .filter(candidate)
-        .withColumns({f"r{offset}": row_below(offset) for offset in (1, 2, 3)})
-        .drop(*following)
+        days.filter(F.col("micros").isNotNull() & candidate)
         .withColumn("apart", F.coalesce((gap >= ROWS_PER_EXERCISE).cast("int"), F.lit(1)))
         .withColumn("run", F.sum("apart").over(
             block.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -274,25 +276,31 @@ def exercise_rows(days: DataFrame) -> DataFrame:
 
 
 def extract_sets(cells: DataFrame) -> DataFrame:
-    """All sets with reps, each with its exercise and the values of its session."""
-    exercises = _per_micro(exercise_rows(day_rows(grid_rows(cells))),
-                           "row_idx", "c0", "r0", "r1", "r2", "r3")
+    """All sets with reps, each with its exercise and the values of its session.
+
+    Microcycles and set columns unfold in one step, so the cell maps aren't copied.
+    """
+    slots = ", ".join(
+        f"struct({_MICRO_FIELDS}, r0[m.col] as dosis, {k + 1} as numero_serie,"
+        f" r1[m.col + {k}] as repeticiones, r2[m.col + {k}] as carga_kg, r3[m.col + {k}] as rir_rpe)"
+        for k in range(SETS_PER_EXERCISE))
+    sets = F.expr(f"flatten(transform(micros, (m, i) ->"
+                  f" filter(array({slots}), s -> s.repeticiones is not null)))")
     full_name = F.coalesce(F.col("r1")[F.lit(1)], F.lit(MISSING_NAME))
-    parts = F.split(full_name, LINK_MARK)
-    linked = full_name.contains(LINK_MARK)
-    slots = F.expr("array(" + ", ".join(
-        f"struct({k + 1} as numero_serie, r1[micro_col + {k}] as repeticiones,"
-        f" r2[micro_col + {k}] as carga_kg, r3[micro_col + {k}] as rir_rpe)"
-        for k in range(SETS_PER_EXERCISE)) + ")")
-    return exercises.select(
-        *SHEET, "sheet_pos", "day_row", "micro_col", "row_idx", "numero_dia", "nombre_dia",
-        "microciclo", "numero_microciclo", "fecha", "hora", "prs_pre_sesion", "rpe_sesion",
-        F.col("c0").alias("grupo_ejercicio"),
-        F.col("r0")[F.lit(1)].alias("tipo_ejercicio"),
-        F.when(linked, strip(F.get(parts, F.lit(0)))).otherwise(full_name).alias("nombre_ejercicio"),
-        F.when(linked, F.concat(F.lit(LINK_MARK), F.get(parts, F.lit(1)))).alias("url_ejercicio"),
-        F.col("r2")[F.lit(1)].alias("notas_ejercicio"),
-        F.expr("r0[micro_col]").alias("dosis"),
-        F.lit(METRIC_KIND).alias("tipo_metrica"),
-        F.inline(slots),
-    ).filter(F.col("repeticiones").isNotNull())
+    parts = F.split("full_name", LINK_MARK)
+    linked = F.col("full_name").contains(LINK_MARK)
+    return (
+        exercise_rows(day_rows(grid_rows(cells)))
+        .withColumn("full_name", full_name)
+        .select(
+            *SHEET, *_day_columns(), "row_idx",
+            F.col("c0").alias("grupo_ejercicio"),
+            F.col("r0")[F.lit(1)].alias("tipo_ejercicio"),
+            F.when(linked, strip(F.get(parts, F.lit(0)))).otherwise(F.col("full_name"))
+            .alias("nombre_ejercicio"),
+            F.when(linked, F.concat(F.lit(LINK_MARK), F.get(parts, F.lit(1)))).alias("url_ejercicio"),
+            F.col("r2")[F.lit(1)].alias("notas_ejercicio"),
+            F.lit(METRIC_KIND).alias("tipo_metrica"),
+            F.inline(sets),
+        )
+    )

@@ -31,16 +31,16 @@ def sesiones(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def unnumbered_series(spark: SparkSession, folder: str) -> DataFrame:
-    """Sets with their line keys, before ids."""
-    lines = table(spark, folder, "lineitem")
+def series(spark: SparkSession, folder: str) -> DataFrame:
+    """Sets numbered in line order. Lines are numbered before anything is joined to them."""
+    lines = with_dense_id(table(spark, folder, "lineitem"), LINE_ORDER)
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority", "o_custkey", "o_orderdate")
     parts = table(spark, folder, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand", "p_type")
     whole_reps = "cast(cast(l_quantity as int) as string)"
     return lines.join(parts, "l_partkey").join(orders, "l_orderkey").select(
-        *LINE_ORDER, "o_custkey", "o_orderdate",
+        "id", "l_orderkey", "o_custkey", "o_orderdate",
         F.lit(ATHLETE).alias("athlete"),
         F.expr("l_orderkey + 1").alias("sesion_id"),
         F.col("o_orderpriority").alias("sheet_name"),
@@ -68,7 +68,3 @@ def unnumbered_series(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("RIR").alias("tipo_metrica"),
     )
 
-
-def series(spark: SparkSession, folder: str) -> DataFrame:
-    """Sets numbered in line order."""
-    return with_dense_id(unnumbered_series(spark, folder), LINE_ORDER)
