@@ -191,6 +191,9 @@ SELECT (SELECT count(*) FROM de) AS ejercicios, (SELECT count(*) FROM df) AS fec
        (SELECT count(*) FROM dp) AS planes, total_series AS series,
        sin_ejercicio_id AS sin_ejercicio, sin_fecha_id AS sin_fecha, sin_plan_id AS sin_plan,
        sin_carga, sin_rir FROM quality""", _QUALITY),
+    "silver_refresh": star("""
+SELECT (SELECT count(*) FROM de) AS total_ejercicios, (SELECT count(*) FROM df) AS total_fechas,
+       (SELECT count(*) FROM dp) AS total_planes, (SELECT count(*) FROM fact) AS total_series"""),
     "dense_id": bronze("SELECT id, sesion_id, numero_serie, nombre_ejercicio FROM ser"),
     # Filters and options.
     "filtered_kpis": star(f"{_KPIS} AND {FILTER}"),

@@ -9,9 +9,10 @@ from setlog.operators import grid
 from setlog.operators.ids import append_with_ids
 from setlog.plans import analytics, bronze, filters, metrics, profile, silver
 from setlog.plans.filters import Filters
-from setlog.sources import order_tables, workspace
 from setlog.session import fresh_path
 from setlog.sources import cells as cell_tables
+from setlog.sources import order_tables, workspace
+from setlog.sources.silver_store import read_silver, write_silver
 from setlog.streaming.snapshots import live_star, load_new
 
 EXERCISE = "red widget"
@@ -45,6 +46,14 @@ def _fact_series(sesiones: DataFrame, series: DataFrame) -> DataFrame:
     )
 
 
+def _silver_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    """The star written twice over; readers see the newer version only."""
+    root = fresh_path(spark, "refresh")
+    for _ in range(2):
+        write_silver(workspace.star(spark, folder), root)
+    return profile.counts(read_silver(spark, root))
+
+
 def _streak_by_user(spark: SparkSession, folder: str) -> DataFrame:
     days = order_tables.table(spark, folder, "events").select(
         F.col("user_id").cast("string").alias("athlete"), F.col("ts").cast("date").alias("fecha"))
@@ -211,6 +220,7 @@ QUERIES = {
     "dim_date": _on_bronze(lambda ses, ser: silver.dim_fecha(ses)),
     "dim_plan": _on_bronze(lambda ses, ser: silver.dim_plan(ses)),
     "fact_series": _on_bronze(_fact_series),
+    "silver_refresh": _silver_refresh,
     "verify_silver": _on_star(silver.verify_silver),
     "dense_id": _dense_id,
     # Filters and options.
