@@ -1,6 +1,6 @@
 """Profiles and quality checks of the star and the bronze tables."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from setlog.functions.calendar import weekday, weekday_name
@@ -160,10 +160,7 @@ def block_stats(star: Star) -> DataFrame:
 def _distribution(star: Star, column: str) -> DataFrame:
     grouped = star.fact.filter(F.col(column).isNotNull()).groupBy(column).agg(
         F.count("*").alias("cantidad"))
-    total = F.sum("cantidad").over(
-        Window.partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    # One row per distinct whole number meets here.
-    return grouped.withColumn("porcentaje", percent(F.col("cantidad"), total)).orderBy(column)
+    return _with_share(grouped).orderBy(column)
 
 
 def reps_distribution(star: Star, n: int = 20) -> DataFrame:
