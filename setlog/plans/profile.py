@@ -117,42 +117,34 @@ def first_sets(star: Star, n: int = 10) -> DataFrame:
     ).orderBy("serie_id")
 
 
-def _mean(total: str, n: str) -> Column:
-    return F.round(F.try_divide(F.sum(total).cast("double"), F.sum(n).cast("double")), 1)
-
-
-def _partial_means() -> list[Column]:
-    return [
-        F.count("*").alias("n"),
-        F.sum(F.col("repeticiones_ejecutadas").cast("bigint")).alias("reps"),
-        F.count("repeticiones_ejecutadas").alias("n_reps"),
-        F.sum("carga_kg").alias("kg"), F.count("carga_kg").alias("n_kg"),
-        F.sum(F.col("rir_rpe").cast("bigint")).alias("rir"), F.count("rir_rpe").alias("n_rir"),
-    ]
+def _mean(column: str) -> Column:
+    """Mean to one decimal, from an exact sum."""
+    total = F.sum(column).cast("double")
+    return F.round(F.try_divide(total, F.count(column).cast("double")), 1)
 
 
 def fact_stats(star: Star) -> DataFrame:
-    """Totals, distincts and means, by way of (session, exercise) sums so that the two
-    distinct counts read the reduced rows."""
-    return star.fact.groupBy("sesion_id", "ejercicio_id").agg(*_partial_means()).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_series"),
+    """Totals, distincts and means. Each distinct count is an aggregate of its own, which
+    removes repeats before the shuffle; together they would multiply every set."""
+    sets = star.fact.agg(
+        F.count("*").alias("total_series"),
         F.countDistinct("sesion_id").alias("sesiones_distintas"),
-        F.countDistinct("ejercicio_id").alias("ejercicios_distintos"),
-        _mean("reps", "n_reps").alias("promedio_reps"),
-        _mean("kg", "n_kg").alias("promedio_carga_kg"),
-        _mean("rir", "n_rir").alias("promedio_rir"),
+        _mean("repeticiones_ejecutadas").alias("promedio_reps"),
+        _mean("carga_kg").alias("promedio_carga_kg"),
+        _mean("rir_rpe").alias("promedio_rir"),
     )
+    return sets.crossJoin(star.fact.agg(
+        F.countDistinct("ejercicio_id").alias("ejercicios_distintos")))
 
 
 def block_stats(star: Star) -> DataFrame:
     """Sets, distinct exercises and mean load per block letter."""
     return (
         star.fact.filter(F.col("grupo_ejercicio").isNotNull())
-        .groupBy("grupo_ejercicio", "ejercicio_id").agg(*_partial_means())
         .groupBy("grupo_ejercicio")
-        .agg(F.sum("n").alias("total_series"),
-             F.count("ejercicio_id").alias("ejercicios_distintos"),
-             _mean("kg", "n_kg").alias("promedio_carga"))
+        .agg(F.count("*").alias("total_series"),
+             F.countDistinct("ejercicio_id").alias("ejercicios_distintos"),
+             _mean("carga_kg").alias("promedio_carga"))
         .orderBy("grupo_ejercicio")
     )
 
@@ -260,22 +252,20 @@ def sets_by_weekday(star: Star) -> DataFrame:
     """Sets, distinct sessions and mean load per weekday."""
     return (
         star.fact.filter(F.col("fecha_id").isNotNull())
-        .groupBy("fecha", "sesion_id").agg(*_partial_means())
         .groupBy(weekday(F.col("fecha")).alias("dia_semana"),
                  weekday_name(F.col("fecha")).alias("nombre_dia_semana"))
-        .agg(F.sum("n").alias("total_series"), F.countDistinct("sesion_id").alias("sesiones"),
-             _mean("kg", "n_kg").alias("promedio_carga"))
+        .agg(F.count("*").alias("total_series"), F.countDistinct("sesion_id").alias("sesiones"),
+             _mean("carga_kg").alias("promedio_carga"))
         .orderBy("dia_semana").drop("dia_semana")
     )
 
 
 def bronze_stats(series: DataFrame) -> DataFrame:
-    """Sessions, sets and distinct names, by way of (session, name) pairs."""
-    return series.groupBy("sesion_id", "nombre_ejercicio").agg(F.count("*").alias("n")).agg(
-        F.countDistinct("sesion_id").alias("total_sesiones"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_series"),
-        F.countDistinct("nombre_ejercicio").alias("ejercicios_unicos"),
-    )
+    """Sessions, sets and distinct names; the two distinct counts apart, as in fact_stats."""
+    sets = series.agg(F.countDistinct("sesion_id").alias("total_sesiones"),
+                      F.count("*").alias("total_series"))
+    return sets.crossJoin(series.agg(
+        F.countDistinct("nombre_ejercicio").alias("ejercicios_unicos")))
 
 
 def sheet_summary(sesiones: DataFrame) -> DataFrame:
@@ -294,20 +284,19 @@ def sheet_summary(sesiones: DataFrame) -> DataFrame:
 def load_totals(sesiones: DataFrame, series: DataFrame) -> DataFrame:
     """Grand totals over sessions left-joined to their sets.
 
-    Sets are reduced per (session, name) before the join; a session without sets still
-    counts one row, as the left join gives it one.
+    Sets are counted per session before the join; a session without sets still counts
+    one row, as the left join gives it one. Names are those of sets with a session.
     """
-    named = series.groupBy("sesion_id", "nombre_ejercicio").agg(F.count("*").alias("n"))
-    joined = sesiones.select(F.col("id").alias("sesion_id"), "sheet_name").join(
-        named, "sesion_id", "left")
-    return joined.groupBy("sesion_id", "sheet_name", "nombre_ejercicio").agg(
-        F.sum(F.coalesce("n", F.lit(1))).alias("n")
-    ).agg(
-        F.countDistinct("sesion_id").alias("total_sesiones"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_series"),
-        F.countDistinct("nombre_ejercicio").alias("ejercicios_unicos"),
+    per_session = series.groupBy(F.col("sesion_id").alias("id")).agg(F.count("*").alias("n"))
+    totals = sesiones.select("id", "sheet_name").join(per_session, "id", "left").agg(
+        F.countDistinct("id").alias("total_sesiones"),
+        F.coalesce(F.sum(F.coalesce("n", F.lit(1))), F.lit(0)).alias("total_series"),
         F.countDistinct("sheet_name").alias("hojas_procesadas"),
     )
+    named = series.select(F.col("sesion_id").alias("id"), "nombre_ejercicio").distinct()
+    names = named.join(sesiones.select("id"), "id", "left_semi").agg(
+        F.countDistinct("nombre_ejercicio").alias("ejercicios_unicos"))
+    return totals.crossJoin(names)
 
 
 def bronze_sessions(sesiones: DataFrame) -> DataFrame:

@@ -165,6 +165,16 @@ def test_required_tables(spark):
         spark.catalog.dropTempView("bronze_series")
 
 
+def test_totals_count_sessions_without_sets_and_leave_out_orphans(spark):
+    ses = sesiones(spark, (1, "M 1", None), (2, "M 1", None))
+    ser = series(spark, (1, "Press", "x", None), (2, "Remo", "x", None),
+                 (3, "Curl", "x", None, {"sesion_id": 9}))
+    assert as_rows(profile.load_totals(ses, ser), "total_sesiones", "total_series",
+                   "ejercicios_unicos", "hojas_procesadas") == [(2, 3, 2, 1)]
+    assert as_rows(profile.bronze_stats(ser), "total_sesiones", "total_series",
+                   "ejercicios_unicos") == [(2, 3, 3)]
+
+
 def test_describe(spark):
     ser = conform(series(spark), BRONZE_SERIES)
     assert as_rows(profile.describe(ser), "columna")[:2] == [("athlete",), ("id",)]
