@@ -56,10 +56,12 @@ def read_current(spark: SparkSession, root: str,
     }
 
 
-def read_all(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
-    """One table over all published versions, with its ``version`` column."""
+def read_all(spark: SparkSession, root: str, name: str, schema: T.StructType,
+             only: set[int] | None = None) -> DataFrame:
+    """One table over all published versions, or those listed, with its ``version`` column."""
     full = T.StructType([*schema.fields, T.StructField("version", T.LongType())])
-    paths = [f"{root}/{r['folder']}/{name}" for r in versions(spark, root).collect()]
+    paths = [f"{root}/{r['folder']}/{name}" for r in versions(spark, root).collect()
+             if only is None or r["version"] in only]
     if not paths:
         return spark.createDataFrame([], full)
     frames = [spark.read.schema(full).parquet(path) for path in paths]
