@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setlog.llm import quality_rules
+from setlog.llm import quality_classifier, quality_rules, secret_scan
 from setlog.llm.text import table
 
 
@@ -14,7 +14,26 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
                        "n_repeat_words", "base_failed", "kept")
 
 
+def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    rows = secret_scan.find_secrets(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s.kind.isin(*secret_scan.BASE_KINDS))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
+    return rows.select(
+        "doc_id", *(count(k).alias(f"n_{k}") for k in secret_scan.BASE_KINDS),
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.score(
+        table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {
     "op6_quality_rules": op6_quality_rules,
+    "op8_secret_scan": op8_secret_scan,
+    "op9_quality_classifier": op9_quality_classifier,
 }
 ORACLE_SQL: dict[str, str] = {}
