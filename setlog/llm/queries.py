@@ -3,10 +3,14 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setlog.llm import quality_classifier, quality_rules, secret_scan
+from setlog.llm import ppm, quality_classifier, quality_rules, secret_scan
 from setlog.llm.text import table
 
 
+def op1_ppm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return ppm.score(table(spark, folder, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality_rules.apply_rules(
         table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -32,6 +36,7 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ppm_score": op1_ppm_score,
     "op6_quality_rules": op6_quality_rules,
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_classifier": op9_quality_classifier,
