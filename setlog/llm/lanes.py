@@ -26,8 +26,9 @@ def groups(texts: list[np.ndarray]) -> Iterator[tuple[int, list[np.ndarray]]]:
         yield first, run
 
 
-def blocks(texts: list[np.ndarray], pad: int, lead: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Steps x lanes of symbols, the text of each lane, and each lane's length with its lead.
+def blocks(texts: list[np.ndarray], pad: int, lead: int = 0) -> tuple[np.ndarray, ...]:
+    """Steps x lanes of symbols; the text, the begin in all texts' symbols and the length
+    (with its lead) of each lane.
 
     Every text comes with ``lead`` symbols in front; a lane begins with the ``lead`` symbols
     before its block. Lanes run from the longest to the shortest.
@@ -43,7 +44,7 @@ def blocks(texts: list[np.ndarray], pad: int, lead: int = 0) -> tuple[np.ndarray
     begin = np.concatenate([[0], np.cumsum([len(x) for x in texts])])[owner] + offset
     steps = int(length[0]) if len(length) else 0
     matrix = flat[begin[None, :] + np.arange(steps)[:, None]]
-    return matrix, owner, length
+    return matrix, owner, begin, length
 
 
 def active(length: np.ndarray, steps: int) -> np.ndarray:

@@ -5,7 +5,8 @@ Text is its folded words, a space between two, and an end. A trie holds byte con
 less often than the trie's bound allows fall away. A symbol is coded in the longest context
 the trie knows; where it never followed, an escape (method D) leads to the next shorter one, in
 which the symbols already ruled out are excluded. Every (context, symbol) has one code length,
-so the trie becomes an automaton that scores all texts in lanes.
+so the trie becomes an automaton that scores all texts in lanes. Beside the pretrained trie the
+text's own words so far predict its next word (adaptive part), mixed in by fixed weights.
 """
 
 from collections import Counter
@@ -22,7 +23,10 @@ from setlog.llm import lanes
 from setlog.llm.text import folded_words, id_remainder, staged
 
 ORDER = 5
-END, BITS = 256, 9
+END, SPACE, BITS = 256, 32, 9
+LN10 = float(np.log(10))
+#: Weight of the text's own words so far, and of what followed the word before.
+PAST, PAIRS = 0.1, 0.1
 DISCOUNT = 0.5  # what each symbol that follows a context gives to its escape
 #: Contexts x symbols that the trie may hold; what reaches the driver and every task.
 CELLS = 12_000_000
@@ -59,24 +63,71 @@ class Trie:
     log10: np.ndarray
     order: int
 
-    def score(self, texts: list[np.ndarray]) -> np.ndarray:
-        """log10 probability of each text's symbols after its lead."""
-        out = np.zeros(len(texts))
-        for first, run in lanes.groups(texts):
-            matrix, owner, length = lanes.blocks([self.column[x] for x in run], 0, self.order)
-            running = lanes.active(length, len(matrix))
-            row = np.zeros(len(owner), np.int32)
-            total = np.zeros(len(owner))
-            for t in range(len(matrix)):
-                live = running[t]
-                at = row[:live] * self.width + matrix[t, :live]
-                if t >= self.order:
-                    total[:live] += self.log10[at]
-                row[:live] = self.after[at]
-            np.add.at(out, first + owner, total)
+    def costs(self, texts: list[np.ndarray]) -> np.ndarray:
+        """log10 probability of every symbol of the texts, one after the other; 0 for leads."""
+        matrix, _, begin, length = lanes.blocks([self.column[x] for x in texts], 0, self.order)
+        running = lanes.active(length, len(matrix))
+        row = np.zeros(len(begin), np.int32)
+        out = np.zeros(sum(map(len, texts)))
+        for t in range(len(matrix)):
+            live = running[t]
+            at = row[:live] * self.width + matrix[t, :live]
+            if t >= self.order:
+                out[begin[:live] + t] = self.log10[at]
+            row[:live] = self.after[at]
         return out
 
 
+def _earlier(key: np.ndarray) -> np.ndarray:
+    """How often each element occurred before it."""
+    order = np.argsort(key, kind="stable")
+    run = key[order]
+    start = np.maximum.accumulate(np.where(np.r_[True, run[1:] != run[:-1]], np.arange(len(run)), 0))
+    out = np.empty(len(key), np.int64)
+    out[order] = np.arange(len(key)) - start
+    return out
+
+
+def code_lengths(model: "Trie", texts: list[np.ndarray], ids: np.ndarray, sizes: np.ndarray,
+                 end_share: float) -> np.ndarray:
+    """log10 probability of each text: per word, the trie's code mixed with the text's own past.
+
+    ``ids`` numbers the words of all texts, ``sizes`` words each. The past gives a word its
+    share of the words so far, and of those that followed the word before.
+    """
+    cost = model.costs(texts)
+    flat = np.concatenate(texts)
+    lead = np.zeros(len(flat), bool)
+    begin = np.concatenate([[0], np.cumsum([len(x) for x in texts])[:-1]])
+    for k in range(model.order):
+        lead[begin + k] = True
+    ends = np.flatnonzero(((flat == SPACE) | (flat == END)) & ~lead)
+    by_word = np.diff(np.r_[0.0, np.cumsum(cost)[ends]])
+    segments = np.maximum(sizes, 1)
+    doc = np.repeat(np.arange(len(texts)), segments)
+    first = np.cumsum(segments) - segments
+    at = np.arange(len(doc)) - first[doc]
+    word = np.full(len(doc), -1, np.int64)
+    word[sizes[doc] > 0] = ids
+    n = int(word.max()) + 2 if len(word) else 2
+    before = _earlier(doc * n + word + 1)
+    last = np.where(at > 0, np.r_[-1, word[:-1]], -1)
+    pair = np.unique(doc * n + last + 1, return_inverse=True)[1] * n + word + 1
+    followed = np.where(at > 0, np.r_[0, before[:-1]], 0)
+    share = np.where(at == segments[doc] - 1, end_share, 1 - end_share)
+    past = np.where(at > 0, before / np.maximum(at, 1), 0) * share
+    pairs = np.where(followed > 0, _earlier(pair) / np.maximum(followed, 1), 0) * share
+    own = np.where(at > 0, PAST, 0.0)
+    own_pairs = np.where(followed > 0, PAIRS, 0.0)
+    with np.errstate(under="ignore"):
+        mixed = np.log10(1 - own - own_pairs) + by_word
+        # Long unlikely words underflow as probabilities, so that the sum is taken in logs.
+        extra = own * past + own_pairs * pairs
+        with np.errstate(divide="ignore"):
+            mixed = np.logaddexp(mixed * LN10, np.log(extra)) / LN10
+    return np.bincount(doc, weights=mixed, minlength=len(texts))
+
+
 def build(grams: dict[int, tuple[np.ndarray, np.ndarray]], order: int) -> Trie:
     """Trie from ``grams[k]``: packed (context of k symbols, symbol) and counts, for contexts
     closed under dropping the first or the last symbol."""
@@ -224,6 +275,7 @@ def score(docs: DataFrame, order: int = ORDER, cells: int = CELLS,
     shared = spark.sparkContext.broadcast(
         (trie.column, trie.width, trie.after, trie.log10, top_keys[at], top_n[at]))
     end_known = int(n_texts > 0)
+    end_share = n_texts / tokens if tokens else 0.5
     del trie
 
     def run(batches):
@@ -251,10 +303,14 @@ def score(docs: DataFrame, order: int = ORDER, cells: int = CELLS,
             pair, tf = np.unique(owner[rare] * max(len(number), 1) + ids[rare], return_counts=True)
             who, what = np.divmod(pair, max(len(number), 1))
             offsets = np.searchsorted(who, np.arange(len(texts) + 1)).astype(np.int32)
-            del ids, owner, rare, number
-            scores = np.concatenate([model.score(
-                [symbols(ws, order) for ws in texts[k:k + 2000]]) for k in range(0, len(texts), 2000)]
-                or [np.zeros(0)])
+            del owner, rare, number
+            scores, done = [], 0
+            for first, run_ in lanes.groups([symbols(ws, order) for ws in texts]):
+                some = size[first:first + len(run_)]
+                scores.append(code_lengths(
+                    model, run_, ids[done:done + some.sum()], some, end_share))
+                done += some.sum()
+            scores = np.concatenate(scores or [np.zeros(0)])
             yield pa.RecordBatch.from_arrays([
                 pa.array(uid + np.arange(len(texts))), batch.column("doc_id"),
                 batch.column("held_out"), pa.array(size + 1), pa.array(n_known + end_known),
