@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setlog.llm import ppm, quality_classifier, quality_rules, secret_scan
+from setlog.llm import language_id, ppm, quality_classifier, quality_rules, secret_scan
 from setlog.llm.text import table
 
 
@@ -11,6 +11,10 @@ def op1_ppm_score(spark: SparkSession, folder: str) -> DataFrame:
     return ppm.score(table(spark, folder, "documents"))
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(table(spark, folder, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality_rules.apply_rules(
         table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -37,6 +41,7 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_ppm_score": op1_ppm_score,
+    "op5_language_id": op5_language_id,
     "op6_quality_rules": op6_quality_rules,
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_classifier": op9_quality_classifier,
