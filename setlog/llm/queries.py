@@ -3,7 +3,14 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from setlog.llm import language_id, ppm, quality_classifier, quality_rules, secret_scan
+from setlog.llm import (
+    language_id,
+    mixing,
+    ppm,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+)
 from setlog.llm.text import table
 
 
@@ -11,6 +18,12 @@ def op1_ppm_score(spark: SparkSession, folder: str) -> DataFrame:
     return ppm.score(table(spark, folder, "documents"))
 
 
+def op3_pivotal_mix(spark: SparkSession, folder: str) -> DataFrame:
+    rows = mixing.mix(table(spark, folder, "documents"))
+    return rows.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "m"))).select(
+        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(table(spark, folder, "documents"))
 
@@ -41,6 +54,7 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_ppm_score": op1_ppm_score,
+    "op3_pivotal_mix": op3_pivotal_mix,
     "op5_language_id": op5_language_id,
     "op6_quality_rules": op6_quality_rules,
     "op8_secret_scan": op8_secret_scan,
