@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from setlog.llm import (
     language_id,
+    line_dedup,
     mixing,
     ppm,
     quality_classifier,
@@ -35,6 +36,11 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
                        "n_repeat_words", "base_failed", "kept")
 
 
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_lines", "n_removed", F.md5("kept_text").alias("kept_md5"))
+
+
 def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     rows = secret_scan.find_secrets(table(spark, folder, "documents"))
     base = F.filter("spans", lambda s: s.kind.isin(*secret_scan.BASE_KINDS))
@@ -57,7 +63,44 @@ QUERIES = {
     "op3_pivotal_mix": op3_pivotal_mix,
     "op5_language_id": op5_language_id,
     "op6_quality_rules": op6_quality_rules,
+    "op7_line_dedup": op7_line_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_classifier": op9_quality_classifier,
 }
-ORACLE_SQL: dict[str, str] = {}
+
+
+def _line_dedup_sql() -> str:
+    ends = ", ".join(
+        f"list_filter(range(1, len(lines) + 1), lambda i: i = len(lines) or ({a} * hs[i] + {b} * "
+        f"(case when i > 1 then hs[i - 1] else 0 end)) % {line_dedup.PRIME} % {line_dedup.EVERY} = 0) "
+        f"as ends_{k}" for k, (a, b) in enumerate(line_dedup.CUTS))
+    spans = " union ".join(
+        f"select doc_id, case when k = 1 then 1 else ends_{c}[k - 1] + 1 end as s, ends_{c}[k] as e "
+        f"from (select doc_id, ends_{c}, unnest(range(1, len(ends_{c}) + 1)) as k from cut)"
+        for c in range(len(line_dedup.CUTS)))
+    return f"""
+with d as (select doc_id, text, string_split(text, chr(10)) as lines from documents),
+h as (select doc_id, lines, list_transform(lines, lambda l: ('0x' || substr(md5(l), 1, 7))::bigint)
+      as hs from d where len(lines) >= {line_dedup.LEAST_LINES}),
+cut as (select doc_id, lines, {ends} from h),
+spans as ({spans}),
+pieces as (select doc_id, s, e, array_to_string(lines[s:e], chr(10)) as piece
+           from spans join h using (doc_id) where e - s + 1 >= {line_dedup.LEAST_LINES}),
+marked as (select *, count(*) over (partition by piece) as n,
+           row_number() over (partition by piece order by doc_id, s, e) as place from pieces),
+covered as (select doc_id, i, bool_or(place = 1) as is_first
+            from (select *, unnest(range(s, e + 1)) as i from marked where n > 1) group by all),
+numbered as (select doc_id, unnest(lines) as line, unnest(range(1, len(lines) + 1)) as i from d),
+kept as (select doc_id, string_agg(line, chr(10) order by i) as text, count(*) as n
+         from numbered left join covered using (doc_id, i)
+         where is_first is null or is_first group by doc_id)
+select d.doc_id, coalesce(len(lines), 0) as n_lines,
+       coalesce(len(lines), 0) - coalesce(kept.n, 0) as n_removed,
+       case when d.text is null then null else md5(coalesce(kept.text, '')) end as kept_md5
+from d left join kept on kept.doc_id = d.doc_id
+"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_line_dedup": _line_dedup_sql(),
+}
