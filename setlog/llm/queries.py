@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from setlog.llm import (
+    decontamination,
     language_id,
     line_dedup,
     mixing,
@@ -58,6 +59,11 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.leaks(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("key")
+
+
 QUERIES = {
     "op1_ppm_score": op1_ppm_score,
     "op3_pivotal_mix": op3_pivotal_mix,
@@ -66,6 +72,7 @@ QUERIES = {
     "op7_line_dedup": op7_line_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_classifier": op9_quality_classifier,
+    "op10_decontamination": op10_decontamination,
 }
 
 
@@ -101,6 +108,50 @@ from d left join kept on kept.doc_id = d.doc_id
 """
 
 
+def _decontamination_sql() -> str:
+    d = decontamination
+
+    def words(text: str) -> str:
+        out = f"'. ' || {text} || ' '"
+        for pattern, replacement in d.STEPS:
+            sub = replacement.replace("$", "\\")
+            out = f"regexp_replace({out}, '{pattern}', '{sub}', 'g')"
+        return (f"list_filter(regexp_split_to_array(lower({out}), '{d.SPACE}+'), lambda w: w <> '')")
+    marks = ", ".join(f"'{m}'" for m in d.MARKS)
+
+    def windows(source: str, ids: str, step: int) -> str:
+        return (f"select {ids}, p, t[p + 1:p + {d.WINDOW}] as w from (select {ids}, t, "
+                f"unnest(range(0, len(t) - {d.WINDOW} + 1, {step})) as p from {source}) "
+                f"where len(list_filter(t[p + 1:p + {d.WINDOW}], lambda x: x not in ({marks}))) "
+                f">= {d.LITERALS}")
+    return f"""
+with items as (select item_id, {words("text")} as iv from benchmark where text is not null),
+docs as (select doc_id, {words("text")} as dv from documents where text is not null),
+it as (select *, list_transform(iv, lambda w: case when left(w, 1) in ({marks}) then left(w, 1)
+       else w end) as t from items),
+dt as (select *, list_transform(dv, lambda w: case when left(w, 1) in ({marks}) then left(w, 1)
+       else w end) as t from docs),
+iw as ({windows("it", "item_id", 1)}),
+dw as ({windows("dt", "doc_id", d.STRIDE)}),
+hits as (select distinct doc_id, item_id, dw.p - iw.p as shift from dw join iw using (w)),
+words as (select doc_id, item_id, shift, len(iv) as n_words, unnest(range(1, len(iv) + 1)) as j, iv, dv
+          from hits join items using (item_id) join docs using (doc_id)),
+pairs as (select doc_id, item_id, shift, n_words, iv[j] as b, dv[j + shift] as a from words
+          where j + shift between 1 and len(dv)),
+agreed as (select *, left(a, 1) in ({marks}) as slot from pairs
+           where a = b or (left(a, 1) = left(b, 1) and left(a, 1) in ({marks}))),
+found as (select doc_id, item_id, shift, n_words, count(*) as n_agree,
+                 count(distinct case when slot then (a, b) end) as n_slots,
+                 count(distinct case when slot then a end) as n_mine,
+                 count(distinct case when slot then b end) as n_theirs,
+                 bool_and(not slot or a = b) as same_values from agreed group by all)
+select doc_id, item_id, n_words, max(n_agree) as n_agree, bool_or(same_values) as same_values
+from found where n_slots = n_mine and n_slots = n_theirs and n_agree >= {d.COVER} * n_words
+group by all
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op10_decontamination": _decontamination_sql(),
     "op7_line_dedup": _line_dedup_sql(),
 }
