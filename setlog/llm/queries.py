@@ -8,6 +8,7 @@ from setlog.llm import (
     language_id,
     line_dedup,
     mixing,
+    ngram_join,
     ppm,
     quality_classifier,
     quality_rules,
@@ -26,6 +27,10 @@ def op3_pivotal_mix(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join(table(spark, folder, "documents"))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(table(spark, folder, "documents"))
 
@@ -67,6 +72,7 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_ppm_score": op1_ppm_score,
     "op3_pivotal_mix": op3_pivotal_mix,
+    "op4_ngram_join": op4_ngram_join,
     "op5_language_id": op5_language_id,
     "op6_quality_rules": op6_quality_rules,
     "op7_line_dedup": op7_line_dedup,
