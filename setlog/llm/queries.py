@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from setlog.llm import (
     decontamination,
+    html_extraction,
     language_id,
     line_dedup,
     mixing,
@@ -21,6 +22,10 @@ def op1_ppm_score(spark: SparkSession, folder: str) -> DataFrame:
     return ppm.score(table(spark, folder, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extraction.extract(table(spark, folder, "pages"))
+
+
 def op3_pivotal_mix(spark: SparkSession, folder: str) -> DataFrame:
     rows = mixing.mix(table(spark, folder, "documents"))
     return rows.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "m"))).select(
@@ -71,6 +76,7 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_ppm_score": op1_ppm_score,
+    "op2_html_extraction": op2_html_extraction,
     "op3_pivotal_mix": op3_pivotal_mix,
     "op4_ngram_join": op4_ngram_join,
     "op5_language_id": op5_language_id,
