@@ -15,13 +15,13 @@ link is lost and pairs already connected are skipped. Equal 64-bit hashes count
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from setlog.llm.components import components
 from setlog.llm.text import counted, folded_words, small, staged
 
-SHINGLE, PERCENT = 4, 85
+SHINGLE, PERCENT = 5, 80
 BLOCK, REPRESENTATIVES = 512, 8
 SKETCH = 1 << 18  # counters that order shingles by rarity; the result doesn't depend on it
 FILTER = 1 << 22  # cells that tell which nodes' sets are needed again
@@ -221,16 +221,12 @@ def families(keys: DataFrame) -> DataFrame:
         F.col("label").alias("family"), "node", "members"), "families")
 
 
-def join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row.
-
-    Null and empty texts have no shingles and are their own component. Rows with equal sets
-    are linked; repeated rows too, as their texts are. A null id is passed over when the
-    component's least id is chosen. An empty table gives an empty result; other columns
-    aren't looked at.
-    """
+def groups_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT,
+              block: int = BLOCK) -> DataFrame:
+    """key (of id and text), doc_id, n_shingles and label of every row; the label is one
+    node's of the row's component, null without shingles."""
     spark = docs.sparkSession
-    rows = docs.select("doc_id", "text")
+    rows = docs.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def count(batch, counters):
@@ -253,12 +249,13 @@ def join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block: int =
                 rare.append(s[np.lexsort((s, often[s & (SKETCH - 1)]))[:keep]])
             offsets = np.cumsum([0, *map(len, rare)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                [batch.column("key"), batch.column("doc_id"),
+                 pa.array([len(s) for s in sets], pa.int64()),
                  pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(
                      pa.array(offsets), pa.array(np.concatenate([*rare, np.zeros(0, np.int64)])))],
-                ["doc_id", "n_shingles", "node", "rarest"])
+                ["key", "doc_id", "n_shingles", "node", "rarest"])
     table = staged(rows.mapInArrow(
-        prefixes, f"doc_id {id_type}, n_shingles long, node long, rarest array<long>"), "shingles")
+        prefixes, f"key long, doc_id {id_type}, n_shingles long, node long, rarest array<long>"), "shingles")
     family = families(table.filter("node is not null").select(
         "node", F.explode("rarest").alias("key")))
 
@@ -315,10 +312,35 @@ def join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block: int =
                                   lambda k: k * n_right + _block("node", F.col("members"), block))).alias("block"))
         edges = edges.unionByName(_joined(left.unionByName(right), sets, percent))
         labels = _labelled(family, edges, "labels-all")
-    named = table.select("doc_id", "n_shingles", "node").join(
-        labels.select("node", "label"), "node", "left").withColumn(
-        "label", F.coalesce("label", "node"))
+    return table.select("key", "doc_id", "n_shingles", "node").join(
+        labels.select("node", "label"), "node", "left").select(
+        "key", "doc_id", "n_shingles", F.coalesce("label", "node").alias("label"))
+
+
+def join(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row.
+
+    Null and empty texts have no shingles and are their own component. Rows with equal sets
+    are linked; repeated rows too, as their texts are. A null id is passed over when the
+    component's least id is chosen. An empty table gives an empty result; other columns
+    aren't looked at.
+    """
+    named = groups_of(docs, n, percent, block)
     least = named.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     return named.join(least, "label", "left").select(
         "doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(
             F.col("least")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT,
+             block: int = BLOCK) -> DataFrame:
+    """``docs`` with one row of each component, that with the least id (null last); rows
+    without shingles all stay, and so do all columns."""
+    named = staged(groups_of(docs, n, percent, block), "groups")
+    chosen = named.filter("label is not null").groupBy("label").agg(F.min(F.struct(
+        F.col("doc_id").isNull(), "doc_id", "key")).getField("key").alias("key_"))
+    kept = chosen.select("key_", F.lit(True).alias("one_")).unionByName(named.filter(
+        "label is null").select(F.col("key").alias("key_"), F.lit(False).alias("one_")).distinct())
+    place = F.row_number().over(Window.partitionBy("key_").orderBy("one_"))
+    return docs.join(kept, F.xxhash64("doc_id", "text") == F.col("key_")).withColumn(
+        "place_", place).filter("not one_ or place_ = 1").select(*docs.columns)

@@ -33,7 +33,7 @@ def op3_pivotal_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_join.join(table(spark, folder, "documents"))
+    return ngram_join.join(table(spark, folder, "documents"), n=4, percent=85)
 
 
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
