@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from setlog.llm import lanes
-from setlog.llm.text import id_remainder
+from setlog.llm.text import id_remainder, small
 
 #: Per language: documents sampled for the automaton, characters of each, characters in all.
 FIT_DOCS, FIT_DOC_CHARS, FIT_CHARS = 64, 4_096, 24_000
@@ -165,7 +165,7 @@ def identify(docs: DataFrame) -> DataFrame:
     def run(batches):
         model = Model(*shared.value)
         n = len(model.languages)
-        for batch in batches:
+        for batch in small(batches):
             pred, score = [], []
             raw = batch.column("text").to_pylist()
             texts = [folded(t, model.letters) for t in raw]

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from setlog.llm import lanes
-from setlog.llm.text import folded_words, id_remainder, staged
+from setlog.llm.text import folded_words, id_remainder, least_count, small, staged
 
 ORDER = 5
 END, SPACE, BITS = 256, 32, 9
@@ -29,7 +29,7 @@ LN10 = float(np.log(10))
 PAST, PAIRS = 0.1, 0.1
 DISCOUNT = 0.5  # what each symbol that follows a context gives to its escape
 #: Contexts x symbols that the trie may hold; what reaches the driver and every task.
-CELLS = 12_000_000
+CELLS = 10_000_000
 #: Words whose counts every task holds; rarer ones meet their counts in a join.
 FREQUENT = 200_000
 
@@ -199,18 +199,14 @@ def corpus_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
     """(kind, key, n): kind 0 the grams of all texts, 1 their words, 2 the number of texts."""
     def run(batches):
         grams, words, n_texts = None, Counter(), 0
-        for batch in batches:
-            run_, held = [], 0
-            for x in [*batch.column("text").to_pylist(), False]:
-                if x is not False:
-                    ws = folded_words(x)
-                    words.update(ws)
-                    n_texts += 1
-                    run_.append(gram_keys(symbols(ws, order), order))
-                    held += len(run_[-1])
-                if run_ and (x is False or held > lanes.SYMBOLS_AT_ONCE):
-                    grams = _added(grams, np.concatenate(run_))
-                    run_, held = [], 0
+        for batch in small(batches):
+            keys = []
+            for x in batch.column("text").to_pylist():
+                ws = folded_words(x)
+                words.update(ws)
+                keys.append(gram_keys(symbols(ws, order), order))
+            n_texts += len(keys)
+            grams = _added(grams, np.concatenate(keys))
             if len(words) > 500_000:
                 yield out(1, np.fromiter(map(_word_key, words), np.int64, len(words)),
                           np.fromiter(words.values(), np.int64, len(words)))
@@ -241,10 +237,7 @@ def trie_of(counts: DataFrame, order: int = ORDER, cells: int = CELLS) -> Trie:
         "context", F.shiftright("key", BITS)), "grams")
     contexts = every.groupBy("k", "context").agg(F.sum("n").alias("seen"))
     width = every.filter("k = 0").count() + 1
-    most = max(cells // width, 1)
-    top = contexts.select("seen").orderBy(F.desc("seen")).limit(most + 1).agg(
-        F.count("*"), F.min("seen")).first()
-    least = top[1] + 1 if top[0] > most else 1
+    least = least_count(contexts, "seen", max(cells // width, 1))
     kept = every.join(contexts.filter(F.col("seen") >= least), ["k", "context"], "left_semi").select(
         "k", "key", "n").toArrow()
     k, key, n = (kept.column(c).to_numpy() for c in ("k", "key", "n"))
@@ -269,7 +262,7 @@ def score(docs: DataFrame, order: int = ORDER, cells: int = CELLS,
     tokens = n_words + n_texts
     log_all = float(np.log10(tokens + 0.5 * (n_kinds + bool(n_texts) + 1)))
     end = float(np.log10(n_texts + 0.5)) - log_all
-    top = known.orderBy(F.desc("n"), "key").limit(frequent).select("key", "n").toArrow()
+    top = known.filter(F.col("n") >= least_count(known, "n", frequent)).select("key", "n").toArrow()
     top_keys, top_n = top.column("key").to_numpy(), top.column("n").to_numpy()
     at = np.argsort(top_keys)
     shared = spark.sparkContext.broadcast(
@@ -283,7 +276,7 @@ def score(docs: DataFrame, order: int = ORDER, cells: int = CELLS,
         model = Trie(column, width, after, log10, order)
         gain = np.log10(n + 0.5) - log_all
         uid = TaskContext.get().partitionId() << 36
-        for batch in batches:
+        for batch in small(batches):
             texts = [folded_words(x) for x in batch.column("text").to_pylist()]
             number: dict[bytes, int] = {}
             size = np.array([len(ws) for ws in texts], np.int64)

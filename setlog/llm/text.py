@@ -7,6 +7,7 @@ Words are runs of other bytes than space and 0x09-0x0D, which is how ``bytes.spl
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,11 +30,48 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def columns(docs: DataFrame) -> list[Column]:
+    """All columns of ``docs`` by name, whatever the names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
 def id_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text modulo ``divisor``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def small(batches, column: str = "text", most: int = 4_000_000):
+    """The batches cut where their texts reach ``most`` bytes, or at one text, if longer."""
+    for batch in batches:
+        texts = batch.column(column)
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        begin = 0
+        while begin < len(sizes):
+            held = sizes[begin - 1] if begin else 0
+            end = max(int(np.searchsorted(sizes, held + most, side="right")), begin + 1)
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
+def least_count(rows: DataFrame, column: str, most: int) -> int:
+    """The lowest count such that no more than ``most`` rows have it or more (at least 1)."""
+    kinds = rows.groupBy(column).agg(F.count("*").alias("rows")).toArrow()
+    n, held = kinds.column(column).to_numpy(), kinds.column("rows").to_numpy()
+    order = np.argsort(-n)
+    fits = np.flatnonzero(np.cumsum(held[order]) <= most)
+    if len(fits) == len(n):
+        return 1
+    return int(n[order][fits[-1]]) if len(fits) else int(n.max()) + 1 if len(n) else 1
+
+
 def words(text: str | None) -> list[bytes]:
     return text.encode().split() if text else []
 
@@ -107,7 +145,7 @@ def with_stats(docs: DataFrame, **keep: Column) -> DataFrame:
                           if f.name != "text_"), STAT_TYPE])
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches, "text_"):
             stats = [count_stats(x) for x in batch.column("text_").to_pylist()]
             columns = zip(*stats, strict=True) if stats else [()] * len(STAT_FIELDS)
             yield pa.RecordBatch.from_arrays(
