@@ -10,6 +10,8 @@ occurrence of some chunk and in no first one, so first occurrences stay whole.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from setlog.llm.text import columns, unused
+
 #: (factor of a line, factor of the line before) of each boundary hash.
 CUTS = ((1, 31), (17, 5), (7, 101))
 PRIME, EVERY = 1_000_003, 2  # one line in EVERY ends a chunk, about
@@ -74,39 +76,49 @@ def removals(docs: DataFrame, cuts=CUTS, every: int = EVERY, least: int = LEAST_
         F.collect_set(F.when(F.col("is_first"), span)).alias("firsts"))
 
 
+def _shortened(docs: DataFrame, result: str, cuts, every: int, least: int) -> DataFrame:
+    """``docs`` with the struct ``result`` of kept text, n_lines and n_removed."""
+    gone = removals(docs, cuts, every, least).filter(F.size("later") > 0).select(
+        F.struct("key", "later", "firsts").alias(result))
+    joined = docs.join(gone, F.xxhash64("doc_id", "text") == F.col(f"{result}.key"), "left")
+    spans = ("flatten(transform({0}.later, c -> sequence(c.start, c.end)))",
+             "flatten(transform({0}.firsts, c -> sequence(c.start, c.end)))")
+    drop = F.expr(f"array_except({spans[0]}, {spans[1]})".format(f"`{result}`"))
+    joined = joined.select(*columns(docs), drop.alias(result))
+    lines = F.split("text", "\n", -1)
+    kept = F.expr(f"transform(array_except(sequence(1, size(split(text, '\\n', -1))), `{result}`), "
+                  "i -> element_at(split(text, '\\n', -1), i))")
+    return joined.select(*columns(docs), F.struct(
+        F.when(F.coalesce(F.size(result), F.lit(-1)) <= 0, F.col("text")).otherwise(
+            F.array_join(kept, "\n")).alias("kept_text"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.when(F.col(result).isNull(), 0).otherwise(F.size(result)).cast("long").alias("n_removed"),
+    ).alias(result))
+
+
 def dedup_lines(docs: DataFrame, cuts=CUTS, every: int = EVERY,
                 least: int = LEAST_LINES) -> DataFrame:
-    """``docs`` with ``kept_text``, ``n_lines`` and ``n_removed``.
+    """``docs`` with ``kept_text``, ``n_lines`` and ``n_removed`` (in place of such columns).
 
     First is the occurrence with the lowest id (null last), then key, then place. Rows alike in
     id and text are one document and get the same result. Null texts stay null with 0 lines; a
     text all of whose lines go becomes empty. An empty table gives an empty one.
     """
-    gone = removals(docs, cuts, every, least).filter(F.size("later") > 0).select(
-        F.col("key").alias("key_"), "later", "firsts")
-    joined = docs.join(gone, F.xxhash64("doc_id", "text") == F.col("key_"), "left")
-    # Lines by the spans that cover them: marks of removed and of protected lines.
-    drop = F.expr("array_except(flatten(transform(later, c -> sequence(c.start, c.end))), "
-                  "flatten(transform(firsts, c -> sequence(c.start, c.end))))")
-    lines = F.split("text", "\n", -1)
-    names = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_removed")]
-    out = joined.select(*(joined[c] for c in names), drop.alias("drop_"))
-    flags = F.expr("transform(sequence(1, size(split(text, '\\n', -1))), i -> i)")
-    return out.select(
-        *names,
-        F.when(F.coalesce(F.size("drop_"), F.lit(-1)) <= 0, F.col("text")).otherwise(
-            F.array_join(F.transform(F.array_except(flags, "drop_"),
-                                     lambda i: F.get(lines, i - 1)), "\n")).alias("kept_text"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.when(F.col("drop_").isNull(), 0).otherwise(F.size("drop_")).cast("long").alias("n_removed"))
+    result = unused(docs, "dedup")
+    out = _shortened(docs, result, cuts, every, least)
+    return out.drop("kept_text", "n_lines", "n_removed").select(
+        *columns(docs.drop("kept_text", "n_lines", "n_removed")), f"{result}.*")
 
 
-def without_repeats(docs: DataFrame, **options) -> DataFrame:
+def without_repeats(docs: DataFrame, cuts=CUTS, every: int = EVERY,
+                    least: int = LEAST_LINES) -> DataFrame:
     """``docs`` with shortened texts (and ``n_chars`` of them, where there is such a column)."""
-    out = dedup_lines(docs, **options)
-    changed = {"text": F.col("kept_text")}
+    result = unused(docs, "dedup")
+    out = _shortened(docs, result, cuts, every, least)
+    changed = {"text": F.col(f"{result}.kept_text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("kept_text").cast(
-            kind)).otherwise(F.col("n_chars"))
-    return out.select(*(changed.get(c, F.col(c)).alias(c) for c in docs.columns))
+        changed["n_chars"] = F.when(F.col(f"{result}.n_removed") > 0, F.char_length(
+            F.col(f"{result}.kept_text")).cast(kind)).otherwise(F.col("n_chars"))
+    return out.select(*(changed.get(name, column).alias(name)
+                        for name, column in zip(docs.columns, columns(docs), strict=True)))

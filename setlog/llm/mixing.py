@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from setlog.llm.text import staged
+from setlog.llm.text import columns, staged, unused
 
 WEIGHTS = (5, 2, 1)
 TOTAL, MOST = 1.5, 2  # of all words; times its size that a source or document may be taken
@@ -133,13 +133,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, total: float = TOTAL, most: float = MO
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: ``docs``' rows, each as often as it is taken, with ``copy`` from 1."""
+    name, copy = unused(docs, "taken"), unused(docs, "copy")
     taken = mix(docs, **options).filter("copies > 0").select(
-        F.col("doc_id").alias("id_"), F.col("source").alias("source_"), F.col("h").alias("h_"),
-        F.col("copies").alias("copies_"))
-    name = "copy"
-    while name in docs.columns:
-        name += "_"
-    hits = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("id_"))
-                     & F.col("source").eqNullSafe(F.col("source_"))
-                     & (F.xxhash64("text") == F.col("h_")))
-    return hits.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), "copies_")).alias(name))
+        F.struct("doc_id", "source", "h", "copies").alias(name))
+    hits = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(f"{name}.doc_id"))
+                     & F.col("source").eqNullSafe(F.col(f"{name}.source"))
+                     & (F.xxhash64("text") == F.col(f"{name}.h")))
+    return hits.select(*columns(docs), F.explode(F.sequence(
+        F.lit(1).cast("long"), F.col(f"{name}.copies"))).alias(copy))

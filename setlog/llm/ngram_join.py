@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from setlog.llm.components import components
-from setlog.llm.text import counted, folded_words, small, staged
+from setlog.llm.text import columns, counted, folded_words, small, staged, unused
 
 SHINGLE, PERCENT = 5, 80
 BLOCK, REPRESENTATIVES = 512, 8
@@ -338,9 +338,12 @@ def keep_one(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT,
     without shingles all stay, and so do all columns."""
     named = staged(groups_of(docs, n, percent, block), "groups")
     chosen = named.filter("label is not null").groupBy("label").agg(F.min(F.struct(
-        F.col("doc_id").isNull(), "doc_id", "key")).getField("key").alias("key_"))
-    kept = chosen.select("key_", F.lit(True).alias("one_")).unionByName(named.filter(
-        "label is null").select(F.col("key").alias("key_"), F.lit(False).alias("one_")).distinct())
-    place = F.row_number().over(Window.partitionBy("key_").orderBy("one_"))
-    return docs.join(kept, F.xxhash64("doc_id", "text") == F.col("key_")).withColumn(
-        "place_", place).filter("not one_ or place_ = 1").select(*docs.columns)
+        F.col("doc_id").isNull(), "doc_id", "key")).getField("key").alias("key"))
+    kept = chosen.select("key", F.lit(True).alias("one")).unionByName(named.filter(
+        "label is null").select("key", F.lit(False).alias("one")).distinct())
+    name, place = unused(docs, "kept"), unused(docs, "place")
+    rows = docs.join(kept.select(F.struct("key", "one").alias(name)),
+                     F.xxhash64("doc_id", "text") == F.col(f"{name}.key"))
+    return rows.withColumn(place, F.row_number().over(Window.partitionBy(
+        f"{name}.key").orderBy(f"{name}.one"))).filter(
+        ~F.col(f"{name}.one") | (F.col(place) == 1)).select(*columns(docs))

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from setlog.llm.text import ratios, staged, stats_udf, with_stats
+from setlog.llm.text import ratios, staged, stats_udf, unused, with_stats
 
 #: Labelled rows that the rules are learned from, at most (chosen by a hash of the id).
 FIT_ROWS = 20_000
@@ -158,9 +158,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> Data
     known = docs.select("doc_id", "text").join(
         F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")
     rules = fit(staged(with_stats(known, doc_id=F.col("doc_id")), "rule-stats"), labels, limit)
-    name = "stats_"
-    while name in docs.columns:
-        name += "_"
+    name = unused(docs, "stats")
     at = f"{name}."
     return docs.withColumn(name, stats_udf()(F.col("text"))).filter(
         ~base_failed(at) & verdict(rules, ratios(at))).drop(name)
