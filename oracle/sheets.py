@@ -2,22 +2,26 @@
 
 from oracle.star import BRONZE, bronze
 
-# One set per place in a sheet, with what the sheet shows around it.
+# Every set has a place in a sheet; further sets of a place are on further sheets.
 PLACED = BRONZE + """,
 placed AS (
-  SELECT o_custkey, sheet_name AS prio, numero_dia AS d, numero_microciclo AS m,
-         grupo_ejercicio AS letter, (numero_serie - 1) % 5 + 1 AS k, min(id) AS id,
-         arg_min({'reps': repeticiones, 'kg': carga_kg, 'rir': rir_rpe}, id) AS v
-  FROM ser GROUP BY ALL),
-src AS (SELECT p.*, '20240101atleta' || CAST(p.o_custkey AS VARCHAR) || '.xlsx' AS workbook,
-               'atleta' || CAST(p.o_custkey AS VARCHAR) AS athlete,
-               'Meso ' || p.prio AS sheet_name, 4 + CAST(substr(p.prio, 1, 1) AS INTEGER) AS sheet_pos,
-               s.tipo_ejercicio AS t, s.nombre_ejercicio AS n, s.url_ejercicio AS u, s.dosis AS dose,
-               s.l_orderkey AS ok, s.o_orderdate AS od
-        FROM placed p JOIN ser s ON p.id = s.id),
-exer AS (SELECT workbook, sheet_name, d, letter, arg_min({'t': t, 'n': n, 'u': u}, id) AS e
+  SELECT *, (numero_serie - 1) % 5 + 1 AS k,
+         row_number() OVER (PARTITION BY o_custkey, sheet_name, numero_dia, numero_microciclo,
+                            grupo_ejercicio, (numero_serie - 1) % 5 ORDER BY id) AS copy FROM ser),
+src AS (SELECT o_custkey, numero_dia AS d, numero_microciclo AS m, grupo_ejercicio AS letter, k, id,
+               {'reps': repeticiones, 'kg': carga_kg, 'rir': rir_rpe} AS v,
+               '20240101atleta' || CAST(o_custkey AS VARCHAR) || '.xlsx' AS workbook,
+               'atleta' || CAST(o_custkey AS VARCHAR) AS athlete,
+               'Meso ' || sheet_name || CASE WHEN copy > 1 THEN ' ' || CAST(copy AS VARCHAR) ELSE '' END
+                 AS sheet_name,
+               CASE WHEN copy > 1 THEN 1 ELSE 4 + CAST(substr(sheet_name, 1, 1) AS INTEGER) END
+                 AS sheet_pos,
+               tipo_ejercicio AS t, nombre_ejercicio AS n, url_ejercicio AS u, dosis AS dose,
+               l_orderkey AS ok, o_orderdate AS od
+        FROM placed),
+exer AS (SELECT workbook, sheet_name, sheet_pos, d, letter, arg_min({'t': t, 'n': n, 'u': u}, id) AS e
          FROM src GROUP BY ALL),
-dose AS (SELECT workbook, sheet_name, d, m, letter, arg_min(dose, id) AS dosis
+dose AS (SELECT workbook, sheet_name, sheet_pos, d, m, letter, arg_min(dose, id) AS dosis
          FROM src GROUP BY ALL),
 sess AS (SELECT athlete, workbook, sheet_name, sheet_pos, d, m, arg_min(ok, id) AS ok,
                 arg_min(od, id) AS od FROM src GROUP BY ALL),
@@ -39,8 +43,8 @@ series AS (
          CASE WHEN e.u IS NULL THEN e.n ELSE trim(e.n) END AS nombre_ejercicio,
          e.u AS url_ejercicio, dosis, CAST(k AS INTEGER) AS numero_serie, v.reps AS repeticiones,
          v.kg AS carga_kg, v.rir AS rir_rpe, 'RIR' AS tipo_metrica
-  FROM src JOIN exer USING (workbook, sheet_name, d, letter)
-  JOIN dose USING (workbook, sheet_name, d, m, letter)
+  FROM src JOIN exer USING (workbook, sheet_name, sheet_pos, d, letter)
+  JOIN dose USING (workbook, sheet_name, sheet_pos, d, m, letter)
   ANTI JOIN bad USING (workbook, sheet_name)),
 linked AS (
   SELECT series.*, s.id AS sesion_id
@@ -58,22 +62,23 @@ cells AS (
          7 + (m - 1) * 6 + k - 1 AS c, x.v AS value
   FROM src, LATERAL (VALUES (1, v.reps), (2, v.kg), (3, v.rir)) AS x(dr, v)
   UNION ALL
-  SELECT workbook, sheet_name, NULL, (d - 1) * 40 + 10 + (ascii(letter) - 65) * 4,
+  SELECT workbook, sheet_name, sheet_pos, (d - 1) * 40 + 10 + (ascii(letter) - 65) * 4,
          7 + (m - 1) * 6, dosis FROM dose
   UNION ALL
-  SELECT workbook, sheet_name, NULL, (d - 1) * 40 + 10 + (ascii(letter) - 65) * 4 + x.dr, x.c, x.v
+  SELECT workbook, sheet_name, sheet_pos, (d - 1) * 40 + 10 + (ascii(letter) - 65) * 4 + x.dr, x.c, x.v
   FROM exer, LATERAL (VALUES (0, 0, letter), (0, 1, e.t), (1, 1, e.n)) AS x(dr, c, v)
   UNION ALL
-  SELECT workbook, sheet_name, NULL, (d - 1) * 40 + x.dr, 7 + (m - 1) * 6 + x.dc, x.v
+  SELECT workbook, sheet_name, sheet_pos, (d - 1) * 40 + x.dr, 7 + (m - 1) * 6 + x.dc, x.v
   FROM sess, LATERAL (VALUES (1, 2, 'd'), (1, 4, 't'), (2, 1, CASE WHEN ok % 3 = 0 THEN 'x' END),
                              (2, 2, 'n'), (3, 1, 'n')) AS x(dr, dc, v)
   UNION ALL
-  SELECT workbook, sheet_name, NULL, CAST(x.d AS INTEGER) * 40 + y.dr, y.c, 'x' FROM sheets,
+  SELECT workbook, sheet_name, sheet_pos, CAST(x.d AS INTEGER) * 40 + y.dr, y.c, 'x' FROM sheets,
     range(0, 4) AS x(d), (VALUES (0, 0), (1, 1), (2, 1), (3, 1), (39, 1)) AS y(dr, c)
   UNION ALL
-  SELECT workbook, sheet_name, NULL, 0, 7 + 6 * CAST(x.m AS INTEGER), 'x' FROM sheets, range(0, 6) AS x(m)
+  SELECT workbook, sheet_name, sheet_pos, 0, 7 + 6 * CAST(x.m AS INTEGER), 'x' FROM sheets, range(0, 6) AS x(m)
   UNION ALL
-  SELECT DISTINCT workbook, 'Resumen', 0, 0, 0, 'x' FROM sheets)"""
+  SELECT DISTINCT workbook, y.n, y.p, 0, 0, 'x' FROM sheets,
+    (VALUES ('Resumen', 0), ('Notas', 12)) AS y(n, p))"""
 
 
 def sheets(select: str, ctes: str = "") -> str:
@@ -111,7 +116,8 @@ FROM cells WHERE value IS NOT NULL GROUP BY workbook, sheet_name""", CELLS),
     "sheet_filter": sheets("""
 SELECT x.regla, count(DISTINCT (workbook, sheet_name)) AS hojas, count(*) AS celdas
 FROM cells, (VALUES ('nombre'), ('posicion')) AS x(regla)
-WHERE value IS NOT NULL AND contains(sheet_name, 'Meso') GROUP BY x.regla""", CELLS),
+WHERE value IS NOT NULL AND CASE x.regla WHEN 'nombre' THEN contains(sheet_name, 'Meso')
+                                         ELSE sheet_pos >= 5 END GROUP BY x.regla""", CELLS),
     "latest_snapshot": """
 SELECT 'atleta' || CAST(o_custkey AS VARCHAR) AS athlete,
        max(strftime(o_orderdate, '%Y%m%d') || 'atleta' || CAST(o_custkey AS VARCHAR) || '.xlsx')

@@ -104,7 +104,7 @@ def _incremental_load(spark: SparkSession, folder: str) -> DataFrame:
         segment = order_tables.table(spark, folder, "customer").filter(
             "c_mktsegment = 'BUILDING'").select(
                 F.concat(F.lit("20240101atleta"), "c_custkey", F.lit(".xlsx")).alias("workbook"))
-        redated = F.concat(F.lit("2024"), F.lit("0201"), F.substring("workbook", 9, 100))
+        redated = F.concat(F.lit("20240201"), F.substring("workbook", 9, 100))
         newer = cells.join(segment, "workbook", "left_semi").filter(
             F.col("sheet_name") != "Meso 5-LOW").withColumn("workbook", redated)
         outdated = cells.join(segment, "workbook", "left_anti").filter(

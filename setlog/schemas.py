@@ -76,4 +76,12 @@ SILVER_TABLES = {
 }
 
 LOADS = _schema("athlete string, workbook string")
+
+# Per athlete the version and folder of the live rows, and the highest ids in use there.
+ID_COLUMNS = {
+    "bronze_sesiones": "id", "bronze_series": "id", "silver_dim_ejercicios": "ejercicio_id",
+    "silver_dim_fecha": "fecha_id", "silver_dim_plan": "plan_id", "silver_fact_series": "serie_id",
+}
+HOLDERS = _schema("athlete string, workbook string, held bigint, folder string, "
+                  + ", ".join(f"top_{name} bigint" for name in ID_COLUMNS))
 STREAM_TABLES = {**BRONZE_TABLES, **SILVER_TABLES, "rejects": REJECTS, "loads": LOADS}

@@ -9,11 +9,15 @@ from setlog.schemas import CELLS
 _FILE = r"^(?:\d{8})?(.*?)(?:\.[A-Za-z]+)?$"
 
 
-def read_cells(spark: SparkSession, path: str | list[str], source: str = "parquet") -> DataFrame:
+def read_cells(spark: SparkSession, path: str | list[str], source: str = "parquet",
+               multi_line: bool = False) -> DataFrame:
     """Cells from Parquet or CSV (with a header). Texts that stand for nothing become
-    null, but their row still counts as part of the sheet."""
+    null, but their row still counts as part of the sheet.
+
+    CSV files whose values hold line breaks need ``multi_line``; such a file is one task.
+    """
     reader = spark.read.schema(CELLS)
-    cells = reader.csv(path, header=True, quote='"', escape='"', multiLine=True) \
+    cells = reader.csv(path, header=True, quote='"', escape='"', multiLine=multi_line) \
         if source == "csv" else reader.format(source).load(path)
     return blank_empty_texts(cells)
 

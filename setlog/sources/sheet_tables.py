@@ -1,11 +1,11 @@
 """Training sheets written from the order tables: each customer is an athlete with one
 workbook, each order priority one of its sheets.
 
-The reverse of the extraction: a set per (day, microcycle, letter, set number) is placed
-in the grid, so reading the sheets has to give the same sets back.
+The reverse of the extraction: every line is a set placed in a grid by day, microcycle, letter
+and set number, so reading the sheets has to give the same sets back.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from setlog.sources.order_tables import series
@@ -15,24 +15,20 @@ _MICRO_WIDTH = 6
 
 
 def placed_sets(spark: SparkSession, folder: str) -> DataFrame:
-    """One set per place in a sheet, the one with the lowest id; exercise attributes are
+    """A place for every line: of lines that share one, the n-th by id goes on the n-th sheet
+    of its priority. First sheets stand from position 5 on, further ones before it. Exercise attributes are
     those of the lowest id of the (sheet, day, letter), session values those of the
     (sheet, day, microcycle)."""
-    lines = series(spark, folder)
-    picked = F.min_by(
-        F.struct("repeticiones", "carga_kg", "rir_rpe", "tipo_ejercicio", "nombre_ejercicio",
-                 "url_ejercicio", "dosis", "l_orderkey", "o_orderdate"), "id")
-    return (
-        lines.withColumn("k", F.expr("(numero_serie - 1) % 5 + 1"))
-        .groupBy("o_custkey", "sheet_name", "numero_dia", "numero_microciclo", "grupo_ejercicio", "k")
-        .agg(F.min("id").alias("id"), picked.alias("v"))
-        .select(
-            F.concat(F.lit("20240101atleta"), F.col("o_custkey"), F.lit(".xlsx")).alias("workbook"),
-            F.concat(F.lit("Meso "), F.col("sheet_name")).alias("sheet_name"),
-            F.expr("4 + cast(substr(sheet_name, 1, 1) as int)").alias("sheet_pos"),
-            F.col("numero_dia").alias("day"), F.col("numero_microciclo").alias("micro"),
-            F.col("grupo_ejercicio").alias("letter"), "k", "id", "v.*")
-    )
+    lines = series(spark, folder).withColumn("k", F.expr("(numero_serie - 1) % 5 + 1"))
+    place = Window.partitionBy("o_custkey", "sheet_name", "numero_dia", "numero_microciclo",
+                               "grupo_ejercicio", "k").orderBy("id")
+    return lines.withColumn("copy", F.row_number().over(place)).select(
+        F.concat(F.lit("20240101atleta"), F.col("o_custkey"), F.lit(".xlsx")).alias("workbook"),
+        F.expr("concat('Meso ', sheet_name, if(copy > 1, concat(' ', copy), ''))").alias("sheet_name"),
+        F.expr("if(copy > 1, 1, 4 + cast(substr(sheet_name, 1, 1) as int))").alias("sheet_pos"),
+        F.col("numero_dia").alias("day"), F.col("numero_microciclo").alias("micro"),
+        F.col("grupo_ejercicio").alias("letter"), "k", "id", "repeticiones", "carga_kg", "rir_rpe",
+        "tipo_ejercicio", "nombre_ejercicio", "url_ejercicio", "dosis", "l_orderkey", "o_orderdate")
 
 
 def _cell(row: Column, col: Column | int, value: Column) -> Column:
@@ -47,7 +43,8 @@ def _cells(df: DataFrame, *cells: Column) -> DataFrame:
 
 
 def sheet_cells(sets: DataFrame) -> DataFrame:
-    """All cells of the sheets that hold the given sets, and a title sheet per workbook."""
+    """All cells of the sheets that hold the given sets, and per workbook a title sheet in front
+    and a sheet of notes among the later positions."""
     sheet = ["workbook", "sheet_name", "sheet_pos"]
     start = (F.col("day") - 1) * _DAY_HEIGHT
     left = F.lit(7) + (F.col("micro") - 1) * _MICRO_WIDTH
@@ -87,9 +84,10 @@ def sheet_cells(sets: DataFrame) -> DataFrame:
     micros = sheets.withColumn("micro", F.explode(F.sequence(F.lit(1), F.lit(6))))
     micro_cells = _cells(
         micros, _cell(F.lit(0), left, F.concat(F.lit("MICROCICLO "), F.col("micro"))))
-    titles = sheets.select("workbook").distinct().select(
-        "workbook", F.lit("Resumen").alias("sheet_name"), F.lit(0).alias("sheet_pos"),
-        F.lit(0).alias("row_idx"), F.lit(0).alias("col_idx"), F.lit("Resumen").alias("value"))
+    others = F.inline(F.array(*(F.struct(F.lit(name).alias("sheet_name"), F.lit(pos).alias("sheet_pos"))
+                                for name, pos in (("Resumen", 0), ("Notas", 12)))))
+    titles = sheets.select("workbook").distinct().select("workbook", others).select(
+        "*", F.lit(0).alias("row_idx"), F.lit(0).alias("col_idx"), F.col("sheet_name").alias("value"))
     cells = set_cells
     for more in (dose_cells, exercise_cells, session_cells, day_cells, micro_cells, titles):
         cells = cells.unionByName(more)

@@ -6,11 +6,14 @@ from setlog.plans.silver import Star
 from setlog.schemas import BRONZE_TABLES, SILVER_TABLES
 from setlog.sources.versions import publish, read_current
 
+# Ranges of athletes and, within one, of time: a busy athlete spreads over several files.
+FACT_LAYOUT = {"silver_fact_series": ["athlete", "fecha", "mesociclo", "serie_id"]}
+
 
 def write_silver(star: Star, root: str, label: str = "") -> str:
-    """Publish the four tables at once; the fact is laid out by mesocycle for pruning."""
-    return publish(star.fact.sparkSession, root, star.tables(), SILVER_TABLES, label,
-                   {"silver_fact_series": ["mesociclo"]})
+    """Publish the four tables at once; the fact is laid out for reads of an athlete, a time
+    or a mesocycle."""
+    return publish(star.fact.sparkSession, root, star.tables(), SILVER_TABLES, label, FACT_LAYOUT)
 
 
 def read_silver(spark: SparkSession, root: str) -> Star:

@@ -1,12 +1,13 @@
 """Versioned table sets: all tables of a version become visible together.
 
-A version is written to its own folder; one small record appended to the ``versions``
-log publishes it. A failed write leaves readers on the previous version, and no path is
-overwritten while a plan still reads it.
+A version is written to its own folder; one small record file in ``versions`` publishes it. The
+record is created only where none of its number exists, so of two writers of one version the second
+fails. A failed write leaves readers on the previous version, and no path is overwritten while
+a plan still reads it.
 """
 
+import json
 import uuid
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,38 +17,74 @@ from pyspark.sql import types as T
 _LOG = "version long, folder string, label string"
 
 
+class VersionTaken(RuntimeError):
+    """Another writer published this version first."""
+
+
 def versions(spark: SparkSession, root: str) -> DataFrame:
-    """The publication log; empty when nothing was published yet."""
+    """The publication log; empty when nothing was published yet. Other errors are raised."""
     try:
         return spark.read.schema(_LOG).json(f"{root}/versions")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], _LOG)
 
 
-def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame],
-            schemas: dict[str, T.StructType], label: str = "",
-            partition_by: dict[str, list[str]] | None = None) -> str:
-    """Write every table to a new version folder, then append the log record.
+def next_version(spark: SparkSession, root: str) -> int:
+    return (versions(spark, root).agg(F.max("version")).first()[0] or 0) + 1
 
-    Rows carry their version number, so versions can also be read together.
+
+def write_tables(spark: SparkSession, root: str, version: int, tables: dict[str, DataFrame],
+                 schemas: dict[str, T.StructType], sort: dict[str, list[str]] | None = None,
+                 folder: str | None = None) -> str:
+    """Tables in a new folder of the version, not yet visible. Rows carry the version number.
+
+    ``sort`` names columns by which a table is laid out in ranges and sorted within, so that
+    row-group statistics prune; the number of files is that of the ranges.
     """
-    version = (versions(spark, root).agg(F.max("version")).first()[0] or 0) + 1
-    folder = f"v{version}-{uuid.uuid4().hex[:8]}"
+    folder = folder or f"v{version}-{uuid.uuid4().hex[:8]}"
     for name, df in tables.items():
         rows = conform(df, schemas[name]).withColumn("version", F.lit(version).cast("bigint"))
-        writer = rows.write
-        if partition_by and name in partition_by:
-            writer = writer.partitionBy(*partition_by[name])
-        writer.parquet(f"{root}/{folder}/{name}")
-    record = spark.createDataFrame([(version, folder, label)], _LOG)
-    record.coalesce(1).write.mode("append").json(f"{root}/versions")
+        if sort and name in sort:
+            rows = rows.repartitionByRange(*sort[name]).sortWithinPartitions(*sort[name])
+        rows.write.parquet(f"{root}/{folder}/{name}")
+    return folder
+
+
+def commit(spark: SparkSession, root: str, version: int, folder: str, label: str = "") -> None:
+    """Publish a written folder as ``version``; ``VersionTaken`` if that exists already."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/versions/{version:010d}.json")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(path):
+        raise VersionTaken(f"version {version} of {root} is published")
+    try:
+        out = files.create(path, False)
+    except Exception as error:
+        if files.exists(path):
+            raise VersionTaken(f"version {version} of {root} is published") from error
+        raise
+    try:
+        record = {"version": version, "folder": folder, "label": label}
+        out.write(bytearray(json.dumps(record).encode() + b"\n"))
+    finally:
+        out.close()
+
+
+def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame],
+            schemas: dict[str, T.StructType], label: str = "",
+            sort: dict[str, list[str]] | None = None) -> str:
+    """Write every table to a new version folder, then publish it."""
+    version = next_version(spark, root)
+    folder = write_tables(spark, root, version, tables, schemas, sort)
+    commit(spark, root, version, folder, label)
     return folder
 
 
 def read_current(spark: SparkSession, root: str,
                  schemas: dict[str, T.StructType]) -> dict[str, DataFrame] | None:
     """Tables of the newest published version, None before the first."""
-    newest = versions(spark, root).orderBy(F.desc("version"), "folder").first()
+    newest = versions(spark, root).orderBy(F.desc("version")).first()
     if newest is None:
         return None
     return {
@@ -56,16 +93,13 @@ def read_current(spark: SparkSession, root: str,
     }
 
 
-def read_all(spark: SparkSession, root: str, name: str, schema: T.StructType,
-             only: set[int] | None = None) -> DataFrame:
-    """One table over all published versions, or those listed, with its ``version`` column."""
+def read_folders(spark: SparkSession, root: str, name: str, schema: T.StructType,
+                 folders: list[str]) -> DataFrame:
+    """One table over the given version folders in one scan, with its ``version`` column."""
     full = T.StructType([*schema.fields, T.StructField("version", T.LongType())])
-    paths = [f"{root}/{r['folder']}/{name}" for r in versions(spark, root).collect()
-             if only is None or r["version"] in only]
-    if not paths:
+    if not folders:
         return spark.createDataFrame([], full)
-    frames = [spark.read.schema(full).parquet(path) for path in paths]
-    return reduce(DataFrame.unionByName, frames)
+    return spark.read.schema(full).parquet(*(f"{root}/{f}/{name}" for f in folders))
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
