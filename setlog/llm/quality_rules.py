@@ -90,13 +90,18 @@ def learn(x: np.ndarray, bad: np.ndarray, names: list[str], max_rules: int = 12,
             p, n = (hit & bad).sum(), (hit & ~bad).sum()
             return (p - n) / (p + n) if p + n else -1.0, p, n
 
-        while len(conditions) > 1 and worth(conditions[:-1], prune)[0] >= worth(conditions, prune)[0]:
-            conditions.pop()
-        _, p, n = worth(conditions, part >= 0) if conditions else (0, 0, 0)
-        held, hp, hn = worth(conditions, prune) if conditions else (-1.0, 0, 0)
-        if p < min_cover or p < precision * (p + n) or hp < precision * (hp + hn):
+        def holds_up(cs):
+            _, p, n = worth(cs, part >= 0)
+            _, hp, hn = worth(cs, prune)
+            return p >= min_cover and p >= precision * (p + n) and hp >= precision * (hp + hn)
+
+        short = list(conditions)
+        while len(short) > 1 and worth(short[:-1], prune)[0] >= worth(short, prune)[0]:
+            short.pop()
+        found = next((cs for cs in (short, conditions) if cs and holds_up(cs)), None)
+        if found is None:
             break
-        rules.append(Rule(tuple(conditions)))
+        rules.append(Rule(tuple(found)))
         left = ~rules[-1].covers(x, names)
         x, bad, part = x[left], bad[left], part[left]
     return rules
