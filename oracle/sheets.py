@@ -175,6 +175,24 @@ renewed AS (SELECT 'atleta' || CAST(c_custkey AS VARCHAR) AS athlete FROM custom
             WHERE c_mktsegment = 'BUILDING'),
 left_over AS (SELECT * FROM linked WHERE NOT (sheet_name = 'Meso 5-LOW'
                                               AND athlete IN (SELECT athlete FROM renewed)))"""),
+    # An emptied sheet loses its rows unless it was rejected, and then it never had any.
+    "sheet_reload": sheets("""
+SELECT athlete, sheet_name, count(*) AS series, count(DISTINCT id) AS ids,
+       count(DISTINCT sesion_id) AS sesiones
+FROM linked WHERE sheet_name NOT LIKE 'Meso 3-MEDIUM%' GROUP BY ALL"""),
+    "position_load": sheets("""
+SELECT athlete, sheet_name, count(*) AS series, count(DISTINCT id) AS ids,
+       count(DISTINCT sesion_id) AS sesiones
+FROM linked JOIN (SELECT DISTINCT athlete, sheet_name, sheet_pos FROM src) USING (athlete, sheet_name)
+WHERE sheet_pos >= 5 GROUP BY athlete, sheet_name"""),
+    "streak_all_athletes": """
+WITH days AS (SELECT DISTINCT o_custkey AS c, CAST(o_orderdate AS DATE) AS f FROM orders),
+marked AS (SELECT *, CASE WHEN date_diff('day', lag(f) OVER w, f) > 61 THEN 1 ELSE 0 END AS gap
+           FROM days WINDOW w AS (PARTITION BY c ORDER BY f)),
+runs AS (SELECT *, sum(gap) OVER (PARTITION BY c ORDER BY f) AS run FROM marked),
+best AS (SELECT c, max(n) AS racha FROM (SELECT c, run, count(*) AS n FROM runs GROUP BY ALL) GROUP BY c)
+SELECT CAST(c_custkey AS VARCHAR) AS athlete, coalesce(racha, 0) AS racha
+FROM customer LEFT JOIN best ON c = c_custkey""",
     "athlete_kpis": sheets("""
 SELECT athlete, count(*) AS total_series, count(DISTINCT nombre) AS ejercicios,
        CAST(max(kg) AS DOUBLE) AS max_carga, count(DISTINCT fecha) AS dias

@@ -9,10 +9,11 @@ from setlog.operators import grid
 from setlog.operators.ids import append_with_ids
 from setlog.plans import analytics, bronze, filters, metrics, profile, silver
 from setlog.plans.filters import Filters
+from setlog.plans.reload import reload_sheets
 from setlog.session import fresh_path
 from setlog.sources import cells as cell_tables
 from setlog.sources import order_tables, workspace
-from setlog.sources.silver_store import read_silver, write_silver
+from setlog.sources.silver_store import read_bronze, read_silver, write_silver
 from setlog.streaming.snapshots import live_star, load_new
 
 EXERCISE = "red widget"
@@ -115,6 +116,40 @@ def _incremental_load(spark: SparkSession, folder: str) -> DataFrame:
     return workspace.once(spark, folder, "incremental", load)
 
 
+def _sheet_counts(series: DataFrame) -> DataFrame:
+    return series.groupBy("athlete", "sheet_name").agg(
+        F.count("*").alias("series"), F.countDistinct("id").alias("ids"),
+        F.countDistinct("sesion_id").alias("sesiones"))
+
+
+def _sheet_reload(spark: SparkSession, folder: str) -> DataFrame:
+    """All sheets; then one priority's sheets twice, and another's emptied of sets."""
+    def load() -> DataFrame:
+        root = fresh_path(spark, "reload")
+        cells = workspace.cells(spark, folder)
+        reload_sheets(root, cells)
+        again = cells.filter("sheet_name like 'Meso 2-HIGH%'")
+        emptied = cells.filter("sheet_name like 'Meso 3-MEDIUM%' and row_idx = 0")
+        reload_sheets(root, again)
+        reload_sheets(root, again.unionByName(emptied))
+        return _sheet_counts(read_bronze(spark, root)[1])
+    return workspace.once(spark, folder, "reload", load)
+
+
+def _position_load(cells: DataFrame) -> DataFrame:
+    return _sheet_counts(bronze.extract_bronze(
+        cells, choose=cell_tables.sheets_from_position).series)
+
+
+def _streak_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers' longest runs of order days; 0 for those without an order."""
+    orders = order_tables.table(spark, folder, "orders").select(
+        F.col("o_custkey").cast("string").alias("athlete"), F.col("o_orderdate").cast("date").alias("fecha"))
+    customers = order_tables.table(spark, folder, "customer").select(
+        F.col("c_custkey").cast("string").alias("athlete"))
+    return analytics.for_all(analytics.longest_streak(orders, 60), customers)
+
+
 def _on_cells(build):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return build(workspace.cells(spark, folder))
@@ -205,6 +240,8 @@ QUERIES = {
     "sheet_replace": _on_bronze(_sheet_replace),
     "append_ids": _append_ids,
     "incremental_load": _incremental_load,
+    "sheet_reload": _sheet_reload,
+    "position_load": _on_cells(_position_load),
     # All athletes' sheets to metrics.
     "athlete_kpis": _athletes(metrics.kpis),
     "athlete_weekly_volume": _athletes(metrics.weekly_volume),
@@ -251,6 +288,7 @@ QUERIES = {
     "longest_streak": _freq(analytics.longest_streak),
     "longest_streak_n": _freq(analytics.longest_streaks),
     "streak_by_user": _streak_by_user,
+    "streak_all_athletes": _streak_all,
     "days_per_month_full": _freq(lambda f: analytics.days_per_month(f, drop_partial_first=True)),
     "days_per_month": _freq(analytics.days_per_month),
     "best_worst_month": _freq(analytics.best_worst_month),

@@ -28,6 +28,14 @@ def longest_streak(dates: DataFrame, rest_days: int | Column = 1,
     return runs.groupBy(*by).agg(F.max("racha").alias("racha"))
 
 
+def for_all(rows: DataFrame, athletes: DataFrame) -> DataFrame:
+    """``rows`` for every listed athlete; those without any have 0 and dashes."""
+    listed = athletes.select("athlete").distinct().join(rows, "athlete", "left")
+    kinds = dict(rows.dtypes)
+    return listed.fillna({c: NO_VALUE if kinds[c] == "string" else 0
+                          for c in rows.columns if c != "athlete"})
+
+
 def longest_streaks(dates: DataFrame, up_to: int = 5,
                     by: tuple[str, ...] = ("athlete",)) -> DataFrame:
     """Longest streak for 1, 2, ... ``up_to`` rest days."""
@@ -64,7 +72,7 @@ def days_per_month(freq: DataFrame, drop_partial_first: bool = False) -> DataFra
 def best_worst_month(freq: DataFrame) -> DataFrame:
     """Months with the most and the fewest training days, the earlier one among equals.
 
-    Athletes come from ``freq``; with no rows at all there is one row of dashes.
+    Athletes without a date have no row; ``for_all`` gives them one of dashes.
     """
     months = days_per_month(freq, drop_partial_first=True)
     when = F.struct("anio", "mes", "dias")
