@@ -2,10 +2,11 @@
 
 A document is its set of hashed shingles. Documents with equal sets are one node. Two linked
 nodes share a shingle among each one's rarest ones (as many as a linked partner may lack, and one), so
-nodes that share none are never compared; what such shared shingles chain together is a
-family. A family's nodes, sorted by size, become leaves of a tree whose inner nodes hold the union of
+nodes that share none are never compared; the nodes that share one are a family. A family's nodes, sorted by size, become leaves of a tree whose inner nodes hold the union of
 bitmaps and the range of sizes below; pairs of tree nodes are descended together and left where
-sizes or the most overlap the bitmaps allow rule out a link. Remaining pairs are compared exactly.
+sizes or the most overlap the bitmaps allow rule out a link. That is done twice: with bitmaps
+alone, then, in the families that possible links form, with their whole sets, where remaining
+pairs are compared exactly.
 
 Large families are cut into blocks: first joined within blocks, then by some members of each
 group found so far, and at last every node outside the family's largest group meets all blocks, so that no
@@ -23,9 +24,10 @@ from setlog.llm.text import columns, counted, folded_words, small, staged, unuse
 
 SHINGLE, PERCENT = 5, 80
 BLOCK, REPRESENTATIVES = 512, 8
-SKETCH = 1 << 18  # counters that order shingles by rarity; the result doesn't depend on it
+SKETCH = 1 << 22  # counters that order shingles by rarity; the result doesn't depend on it
 FILTER = 1 << 22  # cells that tell which nodes' sets are needed again
 LEAF, FANOUT = 8, 8
+BITS = 4096  # of a node's bitmap
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -85,17 +87,17 @@ class Groups:
             self.parent[max(a, b)] = min(a, b)
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    row = np.zeros(BITS, bool)
+    row[shingles & (BITS - 1)] = True
+    return np.packbits(row, bitorder="little").view(np.uint64)
+
+
 class SignatureTree:
     """Levels from leaves to the root: bitmaps, size ranges and the most shingles that share
     a bit with others of their set."""
 
-    def __init__(self, sets: list[np.ndarray], bits: int):
-        self.sets = sets
-        rows = np.zeros((len(sets), bits // 64), np.uint64)
-        for k, s in enumerate(sets):
-            at = s & (bits - 1)
-            np.bitwise_or.at(rows[k], at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
-        size = np.array([len(s) for s in sets])
+    def __init__(self, rows: np.ndarray, size: np.ndarray):
         spare = size - np.bitwise_count(rows).sum(1)
         self.levels = [(rows, size, size, spare)]
         fan = LEAF
@@ -122,17 +124,18 @@ def possible(one, i: np.ndarray, two, j: np.ndarray, percent: int) -> np.ndarray
 
 
 def join_trees(left: SignatureTree, right: SignatureTree, groups: Groups, a: np.ndarray,
-               b: np.ndarray, percent: int) -> None:
-    """Joins the groups of linked pairs between the trees' sets, at positions ``a`` and ``b``.
-
-    With one tree on both sides each pair is met once.
+               b: np.ndarray, percent: int, sets: list[np.ndarray] | None) -> None:
+    """Joins the groups of linked pairs between the trees' nodes, at positions ``a`` and ``b``
+    of ``sets``; without sets, of pairs that may be linked. With one tree on both sides each
+    pair is met once.
     """
     same = left is right
     stack = [(len(left.levels) - 1, 0, len(right.levels) - 1, 0)]
     while stack:
         p, i, q, j = stack.pop()
         if not p and not q:
-            if groups.find(a[i]) != groups.find(b[j]) and linked(left.sets[i], right.sets[j], percent):
+            if groups.find(a[i]) != groups.find(b[j]) and (
+                    sets is None or linked(sets[a[i]], sets[b[j]], percent)):
                 groups.join(a[i], b[j])
             continue
         p_next, is_ = (p - 1, left.children(p, i)) if p >= q and p else (p, np.array([i]))
@@ -144,44 +147,53 @@ def join_trees(left: SignatureTree, right: SignatureTree, groups: Groups, a: np.
             stack.append((p_next, int(is_[x]), q_next, int(js[y])))
 
 
-def join_block(nodes: np.ndarray, labels: np.ndarray, sides: np.ndarray, sets: list[np.ndarray],
-               percent: int) -> list[tuple[int, int]]:
+def join_block(nodes: np.ndarray, labels: np.ndarray, sides: np.ndarray, sizes: np.ndarray,
+               maps: np.ndarray, sets: list[np.ndarray] | None, percent: int) -> list[tuple[int, int]]:
     """(node, other node of its group) of what links in a block: side 0 with side 1, or all
     with each other where all are on side 0."""
-    order = np.lexsort((np.array([s[0] for s in sets]), np.array([len(s) for s in sets])))
-    bits = 1024
-    while bits < 8 * max(len(s) for s in sets) and bits < 1 << 16:
-        bits *= 2
+    order = np.lexsort((nodes, sizes))
     groups = Groups(labels)
-    first = [k for k in order if sides[k] == 0]
-    second = [k for k in order if sides[k] == 1]
-    left = SignatureTree([sets[k] for k in first], bits)
-    right = SignatureTree([sets[k] for k in second], bits) if second else left
-    join_trees(left, right, groups, np.array(first), np.array(second or first), percent)
+    if len(nodes) <= LEAF and not sides.any():
+        leaf = (maps, sizes, sizes, sizes - np.bitwise_count(maps).sum(1))
+        at = np.arange(len(nodes))
+        for i, j in zip(*np.nonzero(np.triu(possible(leaf, at, leaf, at, percent), 1)), strict=True):
+            if groups.find(i) != groups.find(j) and (
+                    sets is None or linked(sets[i], sets[j], percent)):
+                groups.join(int(i), int(j))
+        return [(int(nodes[k]), int(nodes[groups.find(k)])) for k in range(len(nodes))
+                if groups.find(k) != k]
+    first, second = order[sides[order] == 0], order[sides[order] == 1]
+    left = SignatureTree(maps[first], sizes[first])
+    right = SignatureTree(maps[second], sizes[second]) if len(second) else left
+    join_trees(left, right, groups, first, second if len(second) else first, percent, sets)
     return [(int(nodes[k]), int(nodes[groups.find(k)])) for k in range(len(nodes))
             if groups.find(k) != k]
 
 
-def _joined(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) from blocks (family, block, node, label, side)."""
-    n = rows.count()
-    buckets = max(n // (2 * BLOCK), 1)
+def _joined(rows: DataFrame, data: DataFrame, percent: int, exact: bool) -> DataFrame:
+    """Edges (a, b) from blocks (family, block, node, label, side) and the nodes' (node, size,
+    data): whole sets if ``exact``, else bitmaps."""
+    buckets = max(rows.count() // (2 * BLOCK), 1)
 
     def run(table: pa.Table) -> pa.Table:
-        family, block, node, label, side = (table.column(c).to_numpy() for c in (
-            "family", "block", "node", "label", "side"))
-        data = table.column("shingles")
+        family, block, node, label, side, size = (table.column(c).to_numpy() for c in (
+            "family", "block", "node", "label", "side", "size"))
+        held = table.column("data")
         edges = []
         order = np.lexsort((node, block, family))
         new = np.r_[True, (family[order][1:] != family[order][:-1])
                     | (block[order][1:] != block[order][:-1])]
         for at in np.split(order, np.flatnonzero(new)[1:]):
-            if len(at) > 1:
-                edges += join_block(node[at], label[at], side[at], [
-                    np.frombuffer(data[int(k)].as_py(), np.int64) for k in at], percent)
+            if len(at) < 2:
+                continue
+            raw = [held[int(k)].as_py() for k in at]
+            sets = [np.frombuffer(x, np.int64) for x in raw] if exact else None
+            maps = np.array([bitmap(x) for x in sets]) if exact else np.array(
+                [np.frombuffer(x, np.uint64) for x in raw])
+            edges += join_block(node[at], label[at], side[at], size[at], maps, sets, percent)
         a, b = zip(*edges, strict=True) if edges else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-    return staged(rows.join(sets, "node").withColumn(
+    return staged(rows.join(data, "node").withColumn(
         "bucket", F.pmod(F.xxhash64("family", "block"), F.lit(buckets))).groupBy(
         "bucket").applyInArrow(run, "a long, b long"), "links")
 
@@ -195,11 +207,11 @@ def _labelled(family: DataFrame, edges: DataFrame, name: str) -> DataFrame:
 def _unsettled(labelled: DataFrame, block: int) -> DataFrame:
     """Nodes of families of several blocks with several groups, with the group's size."""
     groups = labelled.filter(F.col("members") > block).groupBy("family", "label").agg(
-        F.count("*").alias("size"))
+        F.count("*").alias("size_"))
     families = groups.groupBy("family").agg(
-        F.count("*").alias("groups"), F.max(F.struct("size", "label")).alias("top")).filter("groups > 1")
+        F.count("*").alias("groups"), F.max(F.struct("size_", "label")).alias("top")).filter("groups > 1")
     open_ = groups.join(families, "family").select(
-        "family", "label", "size", F.col("top.label").alias("largest"))
+        "family", "label", "size_", F.col("top.label").alias("largest"))
     return staged(labelled.join(open_, ["family", "label"]), "unsettled")
 
 
@@ -207,20 +219,67 @@ def _block(column: str, members, block: int):
     return F.pmod(F.xxhash64(column), F.ceil(members / block)).cast("long")
 
 
-def families(keys: DataFrame) -> DataFrame:
-    """(family, node, members) of nodes that share a key with another, from (key, node)."""
-    shared = keys.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("top")).filter(
-        "b < top").select("key", "b")
-    edges = staged(keys.join(shared, "key").filter("node > b").select(
-        F.col("node").alias("a"), "b").distinct(), "shared-keys")
-    found = components(edges, "families")
-    roots = found.select(F.col("label").alias("node"), "label").distinct()
-    every = found.unionByName(roots)
+def sized(labels: DataFrame) -> DataFrame:
+    """(family, node, members) of the components (node, label), which leave out the label's
+    own node."""
+    every = labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct())
     sizes = every.groupBy("label").agg(F.count("*").alias("members"))
     return staged(every.join(sizes, "label").select(
         F.col("label").alias("family"), "node", "members"), "families")
 
 
+def families(keys: DataFrame) -> DataFrame:
+    """(family, node, members) of nodes that share a key, from (key, node); of keys with the
+    same nodes one is kept."""
+    shared = keys.groupBy("key").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"),
+        F.sum(F.shiftright(F.xxhash64("node"), 24)).alias("one"),
+        F.sum(F.hash("node").cast("long")).alias("two")).filter("low < high")
+    chosen = shared.groupBy("low", "high", "n", "one", "two").agg(F.min("key").alias("key"))
+    rows = staged(keys.join(chosen.select("key"), "key").select(
+        F.col("key").alias("family"), "node").distinct(), "key-groups")
+    sizes = rows.groupBy("family").agg(F.count("*").alias("members"))
+    return staged(rows.join(sizes, "family"), "families")
+
+
+def linked_within(family: DataFrame, data: DataFrame, percent: int, block: int,
+                  exact: bool) -> DataFrame:
+    """(node, label) of the groups that links (or, by bitmaps alone, possible links) form within
+    the families; every node has a label."""
+    within = family.select("family", _block("node", F.col("members"), block).alias("block"), "node",
+                           F.col("node").alias("label"), F.lit(0).alias("side"))
+    edges = _joined(within, data, percent, exact)
+    labels = _labelled(family, edges, "labels-blocks")
+    unsettled = _unsettled(labels, block)
+    if unsettled.count():
+        some = unsettled.filter((F.col("node") == F.col("label")) | (F.pmod(
+            F.xxhash64("node"), F.ceil(F.col("size_") / REPRESENTATIVES)) == 0))
+        counts = some.groupBy("family").agg(F.count("*").alias("chosen"))
+        chosen = some.join(counts, "family").select(
+            "family", _block("label", F.col("chosen"), block).alias("block"), "node", "label",
+            F.lit(0).alias("side"))
+        edges = edges.unionByName(_joined(chosen, data, percent, exact)).unionByName(
+            unsettled.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
+        labels = _labelled(family, edges, "labels-some")
+        unsettled = _unsettled(labels, block)
+    if unsettled.count():
+        outside = unsettled.filter("label <> largest")
+        outsiders = outside.groupBy("family").agg(F.count("*").alias("outside"))
+        n_left = F.ceil(F.col("outside") / block)
+        n_right = F.ceil(F.col("members") / block)
+        left = outside.join(outsiders, "family").select(
+            "family", "node", "label", F.lit(0).alias("side"),
+            F.explode(F.transform(F.sequence(F.lit(0).cast("long"), n_right - 1),
+                                  lambda k: _block("node", F.col("outside"), block) * n_right + k)).alias("block"))
+        right = unsettled.join(outsiders, "family").select(
+            "family", "node", "label", F.lit(1).alias("side"),
+            F.explode(F.transform(F.sequence(F.lit(0).cast("long"), n_left - 1),
+                                  lambda k: k * n_right + _block("node", F.col("members"), block))).alias("block"))
+        edges = edges.unionByName(_joined(left.unionByName(right), data, percent, exact))
+        labels = _labelled(family, edges, "labels-all")
+    return labels.select("node", "label").distinct()
+
+
 def groups_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT,
               block: int = BLOCK) -> DataFrame:
     """key (of id and text), doc_id, n_shingles and label of every row; the label is one
@@ -232,11 +291,9 @@ def groups_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT,
     def count(batch, counters):
         for part in small([batch]):
             for s in shingle_sets(part.column("text").to_pylist(), n):
-                counters += np.bincount(s & (SKETCH - 1), minlength=SKETCH)[:SKETCH] if len(
-                    s) > SKETCH // 8 else 0
-                if len(s) <= SKETCH // 8:
-                    np.add.at(counters, s & (SKETCH - 1), 1)
-    rarity = spark.sparkContext.broadcast(counted(rows.select("text"), count, SKETCH, "rarity"))
+                np.add.at(counters, s & (SKETCH - 1), 1)
+    rarity = spark.sparkContext.broadcast(
+        counted(rows.select("text"), count, SKETCH, "rarity").astype(np.float32))
 
     def prefixes(batches):
         often = rarity.value
@@ -252,12 +309,18 @@ def groups_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT,
                 [batch.column("key"), batch.column("doc_id"),
                  pa.array([len(s) for s in sets], pa.int64()),
                  pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(
-                     pa.array(offsets), pa.array(np.concatenate([*rare, np.zeros(0, np.int64)])))],
-                ["key", "doc_id", "n_shingles", "node", "rarest"])
+                     pa.array(offsets), pa.array(np.concatenate([*rare, np.zeros(0, np.int64)]))),
+                 pa.array([bitmap(s).tobytes() for s in sets], pa.binary())],
+                ["key", "doc_id", "n_shingles", "node", "rarest", "data"])
     table = staged(rows.mapInArrow(
-        prefixes, f"key long, doc_id {id_type}, n_shingles long, node long, rarest array<long>"), "shingles")
-    family = families(table.filter("node is not null").select(
+        prefixes, f"key long, doc_id {id_type}, n_shingles long, node long, rarest array<long>, "
+        "data binary"), "shingles")
+    sharing = families(table.filter("node is not null").select(
         "node", F.explode("rarest").alias("key")))
+    maps = table.select("node", F.col("n_shingles").alias("size"), "data").join(
+        sharing.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    family = sized(linked_within(sharing, staged(maps, "bitmaps"), percent, block, False).filter(
+        "node <> label"))
 
     def mark(batch, counters):
         counters[batch.column("node").to_numpy() & (FILTER - 1)] = 1
@@ -276,42 +339,12 @@ def groups_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT,
                         sent.add(node)
                         out.append((node, s.tobytes()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())],
-                ["node", "shingles"])
-    sets = staged(rows.select("text").mapInArrow(needed, "node long, shingles binary").join(
+                [pa.array([x[0] for x in out], pa.int64()),
+                 pa.array([len(x[1]) // 8 for x in out], pa.int64()),
+                 pa.array([x[1] for x in out], pa.binary())], ["node", "size", "data"])
+    sets = staged(rows.select("text").mapInArrow(needed, "node long, size long, data binary").join(
         family.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
-
-    within = family.select("family", _block("node", F.col("members"), block).alias("block"), "node",
-                           F.col("node").alias("label"), F.lit(0).alias("side"))
-    edges = _joined(within, sets, percent)
-    labels = _labelled(family, edges, "labels-blocks")
-    unsettled = _unsettled(labels, block)
-    if unsettled.count():
-        some = unsettled.filter((F.col("node") == F.col("label")) | (F.pmod(
-            F.xxhash64("node"), F.ceil(F.col("size") / REPRESENTATIVES)) == 0))
-        counts = some.groupBy("family").agg(F.count("*").alias("chosen"))
-        chosen = some.join(counts, "family").select(
-            "family", _block("label", F.col("chosen"), block).alias("block"), "node", "label",
-            F.lit(0).alias("side"))
-        edges = edges.unionByName(_joined(chosen, sets, percent)).unionByName(
-            unsettled.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
-        labels = _labelled(family, edges, "labels-some")
-        unsettled = _unsettled(labels, block)
-    if unsettled.count():
-        outside = unsettled.filter("label <> largest")
-        outsiders = outside.groupBy("family").agg(F.count("*").alias("outside"))
-        n_left = F.ceil(F.col("outside") / block)
-        n_right = F.ceil(F.col("members") / block)
-        left = outside.join(outsiders, "family").select(
-            "family", "node", "label", F.lit(0).alias("side"),
-            F.explode(F.transform(F.sequence(F.lit(0).cast("long"), n_right - 1),
-                                  lambda k: _block("node", F.col("outside"), block) * n_right + k)).alias("block"))
-        right = unsettled.join(outsiders, "family").select(
-            "family", "node", "label", F.lit(1).alias("side"),
-            F.explode(F.transform(F.sequence(F.lit(0).cast("long"), n_left - 1),
-                                  lambda k: k * n_right + _block("node", F.col("members"), block))).alias("block"))
-        edges = edges.unionByName(_joined(left.unionByName(right), sets, percent))
-        labels = _labelled(family, edges, "labels-all")
+    labels = linked_within(family, sets, percent, block, True)
     return table.select("key", "doc_id", "n_shingles", "node").join(
         labels.select("node", "label"), "node", "left").select(
         "key", "doc_id", "n_shingles", F.coalesce("label", "node").alias("label"))
