@@ -2,7 +2,7 @@
 
 A document is its set of hashed shingles. Documents with equal sets are one node. Two linked
 nodes share a shingle among each one's rarest ones (as many as a linked partner may lack, and one), so
-nodes that share none are never compared; the nodes that share one are a family. A family's nodes, sorted by size, become leaves of a tree whose inner nodes hold the union of
+nodes that share none are never compared; nodes of like sizes that share one are a family. A family's nodes, sorted by size, become leaves of a tree whose inner nodes hold the union of
 bitmaps and the range of sizes below; pairs of tree nodes are descended together and left where
 sizes or the most overlap the bitmaps allow rule out a link. That is done twice: with bitmaps
 alone, then, in the families that possible links form, with their whole sets, where remaining
@@ -228,18 +228,27 @@ def sized(labels: DataFrame) -> DataFrame:
         F.col("label").alias("family"), "node", "members"), "families")
 
 
-def families(keys: DataFrame) -> DataFrame:
-    """(family, node, members) of nodes that share a key, from (key, node); of keys with the
-    same nodes one is kept."""
-    shared = keys.groupBy("key").agg(
-        F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"),
+def families(keys: DataFrame, percent: int) -> DataFrame:
+    """(family, node, members) of nodes that share a key and may be alike in size, from (key,
+    node, size); of families with the same nodes one is kept.
+
+    A key's nodes fall into size classes as wide as a link allows, so that two linked nodes
+    stand in one class or in neighbouring ones: each node joins its class and the next.
+    """
+    shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter(
+        "low < high").select("key")
+    width = max(float(np.log(100 / percent) * (1 + 1e-6)), 1e-9)
+    size_class = F.floor(F.log("size") / width)
+    rows = staged(keys.join(shared, "key").select(
+        F.explode(F.array(size_class, size_class + 1)).alias("class"), "key", "node").select(
+        F.xxhash64("key", "class").alias("key"), "node").distinct(), "key-groups")
+    groups = rows.groupBy("key").agg(
+        F.count("*").alias("members"), F.min("node").alias("low"), F.max("node").alias("high"),
         F.sum(F.shiftright(F.xxhash64("node"), 24)).alias("one"),
-        F.sum(F.hash("node").cast("long")).alias("two")).filter("low < high")
-    chosen = shared.groupBy("low", "high", "n", "one", "two").agg(F.min("key").alias("key"))
-    rows = staged(keys.join(chosen.select("key"), "key").select(
-        F.col("key").alias("family"), "node").distinct(), "key-groups")
-    sizes = rows.groupBy("family").agg(F.count("*").alias("members"))
-    return staged(rows.join(sizes, "family"), "families")
+        F.sum(F.hash("node").cast("long")).alias("two")).filter("members > 1")
+    chosen = groups.groupBy("low", "high", "members", "one", "two").agg(F.min("key").alias("key"))
+    return staged(rows.join(chosen.select("key", "members"), "key").select(
+        F.col("key").alias("family"), "node", "members"), "families")
 
 
 def linked_within(family: DataFrame, data: DataFrame, percent: int, block: int,
@@ -316,7 +325,7 @@ def groups_of(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT,
         prefixes, f"key long, doc_id {id_type}, n_shingles long, node long, rarest array<long>, "
         "data binary"), "shingles")
     sharing = families(table.filter("node is not null").select(
-        "node", F.explode("rarest").alias("key")))
+        "node", F.col("n_shingles").alias("size"), F.explode("rarest").alias("key")), percent)
     maps = table.select("node", F.col("n_shingles").alias("size"), "data").join(
         sharing.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
     family = sized(linked_within(sharing, staged(maps, "bitmaps"), percent, block, False).filter(
