@@ -124,7 +124,7 @@ def _decontamination_sql() -> str:
     d = decontamination
 
     def words(text: str) -> str:
-        out = f"'. ' || {text} || ' '"
+        out = f"'. ' || translate({text}, '{d.MARKS}^', '') || ' '"
         for pattern, replacement in d.STEPS:
             sub = replacement.replace("$", "\\")
             out = f"regexp_replace({out}, '{pattern}', '{sub}', 'g')"
