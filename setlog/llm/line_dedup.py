@@ -5,6 +5,10 @@ begin alike wherever a passage stands. Chunks of two lines or more that occur ag
 all but their first occurrence, after their bytes were compared with it. Several boundary hashes
 cut every text in several ways, which catches shorter passages. A line goes if it is in a later
 occurrence of some chunk and in no first one, so first occurrences stay whole.
+
+``without_repeats`` looks at more: at the shortest run of lines of ``LEAST_WORDS`` words from every
+line on and up to every line, blank lines aside. Each line of a shared run of so many words is in one of them,
+wherever the run stands. There a line goes if it is in a later occurrence of anything; its first one stays.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -14,8 +18,10 @@ from setlog.llm.text import columns, unused
 
 #: (factor of a line, factor of the line before) of each boundary hash.
 CUTS = ((1, 31), (17, 5), (7, 101))
+WORD = r"[^\\x20\\x09-\\x0D]+"  # as a literal of SQL
 PRIME, EVERY = 1_000_003, 2  # one line in EVERY ends a chunk, about
 LEAST_LINES = 2
+LEAST_WORDS = 50  # of a shared run of lines that counts whatever its lines
 
 
 def spans_of(lines: str, hashes: str, cuts=CUTS, every: int = EVERY,
@@ -33,26 +39,55 @@ def spans_of(lines: str, hashes: str, cuts=CUTS, every: int = EVERY,
             F.expr(f"filter(array_distinct(concat({chunks})), c -> c.end - c.start + 1 >= {least})"))
 
 
-def _cut(docs: DataFrame, cuts, every: int, least: int) -> DataFrame:
-    """key, doc_id, lines and spans of every text with a chunk to look at."""
+def _runs(filled: str, counts: str, words: int) -> str:
+    """(start, end, tight) of the shortest runs of ``words`` words that begin or end at each line
+    of ``filled``, the places of lines with words; ``counts`` has their words."""
+    def lengths(of: str) -> str:
+        return (f"transform(sequence(1, size({of})), i -> aggregate(slice({of}, i, {words}), "
+                "named_struct('n', 0, 'words', 0), (a, x) -> if(a.words >= "
+                f"{words}, a, named_struct('n', a.n + 1, 'words', a.words + x)), "
+                f"a -> if(a.words >= {words}, a.n, 0)))")
+    ahead = (f"transform({lengths(counts)}, (n, k) -> if(n = 0, null, struct({filled}[k] as start, "
+             f"{filled}[k + n - 1] as end, true as tight)))")
+    back = (f"transform({lengths(f'reverse({counts})')}, (n, k) -> if(n = 0, null, struct("
+            f"{filled}[size({filled}) - k - n] as start, {filled}[size({filled}) - 1 - k] as end, true as tight)))")
+    return (f"if(size({filled}) = 0, array(), filter(concat({ahead}, {back}), c -> c is not null))")
+
+
+def _cut(docs: DataFrame, cuts, every: int, least: int, words: int | None = None) -> DataFrame:
+    """key, doc_id, lines and spans of every text with a chunk (or run of ``words``) to look at."""
     keyed = docs.filter("text is not null").select(
         F.xxhash64("doc_id", "text").alias("key"), "doc_id", F.split("text", "\n", -1).alias("lines"))
-    hashed = keyed.filter(F.size("lines") >= least).withColumn("hashes", F.expr(
+    hashed = (keyed if words else keyed.filter(F.size("lines") >= least)).withColumn("hashes", F.expr(
         "transform(lines, l -> cast(conv(substring(md5(l), 1, 7), 16, 10) as bigint))"))
     ends, spans = spans_of("lines", "hashes", cuts, every, least)
-    return hashed.select("key", "doc_id", "lines", *ends).select("key", "doc_id", "lines", spans.alias("spans"))
-
-
-def _piece(start: str, end: str) -> str:
-    return f"array_join(slice(lines, {start}, {end} - {start} + 1), '\\n')"
-
-
-def removals(docs: DataFrame, cuts=CUTS, every: int = EVERY, least: int = LEAST_LINES) -> DataFrame:
+    cut = hashed.select("key", "doc_id", "lines", *ends).select(
+        "key", "doc_id", "lines",
+        F.transform(spans, lambda c: F.struct(c.start, c.end, F.lit(False).alias("tight"))).alias("spans"))
+    if not words:
+        return cut
+    counted = cut.withColumn("counts", F.expr(
+        rf"transform(lines, l -> regexp_count(l, '{WORD}'))")).withColumn("filled", F.expr(
+            "filter(sequence(1, size(lines)), i -> counts[i - 1] > 0)")).withColumn(
+        "counts", F.expr("filter(counts, n -> n > 0)"))
+    return counted.select("key", "doc_id", "lines", F.expr(
+        f"array_distinct(concat(spans, {_runs('filled', 'counts', words)}))").alias("spans")).filter(
+        F.size("spans") > 0)
+
+
+def _piece(c: str) -> str:
+    """The chunk's bytes; those of its lines with words where it is ``tight``."""
+    part = f"slice(lines, {c}.start, {c}.end - {c}.start + 1)"
+    return f"array_join(if({c}.tight, filter({part}, l -> l rlike '{WORD}'), {part}), '\\n')"
+
+
+def removals(docs: DataFrame, cuts=CUTS, every: int = EVERY, least: int = LEAST_LINES,
+             words: int | None = None) -> DataFrame:
     """key, and the arrays ``later`` and ``firsts`` of (start, end), of texts with repeated chunks."""
-    cut = _cut(docs, cuts, every, least)
+    cut = _cut(docs, cuts, every, least, words)
     found = cut.select("key", "doc_id", F.expr(
-        "inline(transform(spans, c -> struct(c.start as start, c.end as end, "
-        f"xxhash64({_piece('c.start', 'c.end')}) as hash)))"))
+        "inline(transform(spans, c -> struct(c.start as start, c.end as end, c.tight as tight, "
+        f"xxhash64({_piece('c')}) as hash)))"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "start", "end")
     again = found.groupBy("hash").agg(
         F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").select(
@@ -61,12 +96,12 @@ def removals(docs: DataFrame, cuts=CUTS, every: int = EVERY, least: int = LEAST_
     is_first = (F.col("key") == F.col("first_key")) & (F.col("start") == F.col("first_start")) & (
         F.col("end") == F.col("first_end"))
     marked = found.join(again, "hash").groupBy("key").agg(F.collect_set(
-        F.struct("start", "end", "hash", is_first.alias("is_first"))).alias("found"))
+        F.struct("start", "end", "tight", "hash", is_first.alias("is_first"))).alias("found"))
     # The bytes of repeated chunks alone move: each later one meets its first.
     lines = cut.select("key", "lines").join(marked, "key")
     pieces = lines.select("key", F.expr(
         "inline(transform(found, c -> struct(c.start as start, c.end as end, c.hash as hash, "
-        f"c.is_first as is_first, {_piece('c.start', 'c.end')} as piece)))"))
+        f"c.is_first as is_first, {_piece('c')} as piece)))"))
     firsts = pieces.filter("is_first").select(
         "hash", F.col("piece").alias("first_piece")).dropDuplicates(["hash"])
     checked = pieces.join(firsts, "hash").filter("is_first or piece = first_piece")
@@ -76,14 +111,16 @@ def removals(docs: DataFrame, cuts=CUTS, every: int = EVERY, least: int = LEAST_
         F.collect_set(F.when(F.col("is_first"), span)).alias("firsts"))
 
 
-def _shortened(docs: DataFrame, result: str, cuts, every: int, least: int) -> DataFrame:
+def _shortened(docs: DataFrame, result: str, cuts, every: int, least: int,
+               words: int | None = None) -> DataFrame:
     """``docs`` with the struct ``result`` of kept text, n_lines and n_removed."""
-    gone = removals(docs, cuts, every, least).filter(F.size("later") > 0).select(
+    gone = removals(docs, cuts, every, least, words).filter(F.size("later") > 0).select(
         F.struct("key", "later", "firsts").alias(result))
     joined = docs.join(gone, F.xxhash64("doc_id", "text") == F.col(f"{result}.key"), "left")
     spans = ("flatten(transform({0}.later, c -> sequence(c.start, c.end)))",
              "flatten(transform({0}.firsts, c -> sequence(c.start, c.end)))")
-    drop = F.expr(f"array_except({spans[0]}, {spans[1]})".format(f"`{result}`"))
+    drop = F.expr((f"array_distinct({spans[0]})" if words else
+                   f"array_except({spans[0]}, {spans[1]})").format(f"`{result}`"))
     joined = joined.select(*columns(docs), drop.alias(result))
     lines = F.split("text", "\n", -1)
     kept = F.expr(f"transform(array_except(sequence(1, size(split(text, '\\n', -1))), `{result}`), "
@@ -111,10 +148,11 @@ def dedup_lines(docs: DataFrame, cuts=CUTS, every: int = EVERY,
 
 
 def without_repeats(docs: DataFrame, cuts=CUTS, every: int = EVERY,
-                    least: int = LEAST_LINES) -> DataFrame:
-    """``docs`` with shortened texts (and ``n_chars`` of them, where there is such a column)."""
+                    least: int = LEAST_LINES, words: int = LEAST_WORDS) -> DataFrame:
+    """``docs`` without repeated chunks and runs of ``words`` words (and ``n_chars`` of what is left, where there is
+    such a column)."""
     result = unused(docs, "dedup")
-    out = _shortened(docs, result, cuts, every, least)
+    out = _shortened(docs, result, cuts, every, least, words)
     changed = {"text": F.col(f"{result}.kept_text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

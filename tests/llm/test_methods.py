@@ -332,6 +332,23 @@ def test_line_dedup_by_hand(spark):
     assert sum(r.n_removed for r in got.values()) > 60
 
 
+def test_runs_of_fifty_words_go_wherever_they_stand(spark):
+    rng = random.Random(13)
+    runs = [[prose(rng, 60, 9999)], [prose(rng, 30, 9999), prose(rng, 30, 9999)],
+            [prose(rng, 20, 9999), "", prose(rng, 20, 9999), prose(rng, 20, 9999), prose(rng, 9, 9999)]]
+    rows = [(100 * k + i, "\n".join([prose(rng, 7, 9999), *run, prose(rng, 7, 9999)]))
+            for k, run in enumerate(runs) for i in range(12)]
+    rows += [(900 + k, "\n".join(run)) for k, run in enumerate(runs)]
+    got = {r.doc_id: r.text.split("\n") for r in line_dedup.without_repeats(documents(spark, rows)).collect()}
+    for i, t in rows:
+        lines = t.split("\n")
+        own = i < 900 and [lines[0], lines[-1]]
+        assert got[i] == (lines if i < 900 and i % 100 == 0 else own or [""]), i
+    same = dict(rows) | {1: "short line", 2: "other\nshort line"}
+    left = line_dedup.without_repeats(documents(spark, [(1, same[1]), (2, same[2])]))
+    assert {r.doc_id: r.text for r in left.collect()} == {1: same[1], 2: same[2]}
+
+
 def der(tag, body):
     size = len(body)
     return bytes([tag]) + (bytes([size]) if size < 128 else b"\x82" + size.to_bytes(2, "big")) + body
