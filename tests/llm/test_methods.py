@@ -100,6 +100,15 @@ def test_base_scores_and_held_out_gain(spark):
     assert uniform * 0.5 < sum(r.score for r in held) < 0
 
 
+def test_contexts_beyond_the_held_trie_count(spark):
+    rng = random.Random(22)
+    rows = [(i, prose(rng, rng.randrange(0, 60), 400)) for i in range(200)] + [(300, None), (301, "Łódź ~")]
+    docs = documents(spark, rows)
+    whole, cut = ({r.doc_id: r.score for r in ppm.score(docs, cells=cells).collect()}
+                  for cells in (10 ** 7, 600))
+    assert cut == pytest.approx(whole, abs=1e-3)
+
+
 def test_long_texts_score_alike_in_blocks():
     x = ppm.symbols([b"abc", b"de"] * 900)
     grams = ppm._added(None, ppm.gram_keys(x, ppm.ORDER))
