@@ -397,3 +397,18 @@ def test_reparameterised_questions(spark, monkeypatch):
     monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
     assert {(r.doc_id, r.same_values) for r in decontamination.leaks(docs, benchmark).collect()} == got
     assert sorted(r.doc_id for r in decontamination.without_leaks(docs, benchmark).collect()) == [3, 4]
+
+
+def test_edited_questions_go(spark):
+    rng = random.Random(23)
+    item = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(36)]
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    around = lambda ws: " ".join([prose(rng, 11, 99), *ws, prose(rng, 9, 99)])
+    thirds = [*item[:12], "oh", *item[12:24], "well", *item[24:], "now"]
+    rows = [(1, around(thirds)), (2, around(item[:9] + item[10:20] + item[21:])),
+            (30, around(item[:12])), (31, around(["no"] * 36))]
+    for shift in range(7):  # one word in seven replaced
+        rows.append((10 + shift, around([w if (k + shift) % 7 else "zz" for k, w in enumerate(item)])))
+        rows.append((20 + shift, " ".join(["pad"] * shift + [w if k % 7 else "zz" for k, w in enumerate(item)])))
+    left = decontamination.without_leaks(documents(spark, rows), benchmark).collect()
+    assert sorted(r.doc_id for r in left) == [30, 31]
