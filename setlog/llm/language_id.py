@@ -2,7 +2,8 @@
 
 Per language, a suffix automaton of labelled text. A document is cut greedily into the longest
 substrings that occur in that text; a phrase costs the logarithm of the text's length. The
-automaton with its restarts is one table, so all documents and languages are parsed in lanes.
+automaton with its restarts is one table, so all documents and languages are parsed in lanes; a table
+that would be large is kept as a hash table of its moves.
 A phrase ends at a block's end, for every language alike.
 """
 
@@ -16,10 +17,8 @@ from pyspark.sql import functions as F
 from setlog.llm import lanes
 from setlog.llm.text import id_remainder, small
 
-#: Per language: documents sampled for the automaton, characters of each, characters in all.
-FIT_DOCS, FIT_DOC_CHARS, FIT_CHARS = 64, 4_096, 24_000
-LETTERS = 60  # letters told apart, the most frequent of the labelled text
-CELLS = 16_000_000  # states x letters over all languages
+FIT_DOCS = 64  # documents sampled for a language's automaton, about
+CELLS = 16_000_000  # states x letters over all languages, beyond which moves are hashed
 PAD, BREAK, OTHER = 0, 1, 2
 UNKNOWN = "und"
 
@@ -41,11 +40,11 @@ def letter_table() -> np.ndarray:
 def folded(text: str | None, table: np.ndarray) -> np.ndarray:
     """Letters' numbers, each run of anything else as one BREAK."""
     x = table[code_points(text or "")]
-    return x[~((x == BREAK) & (np.r_[np.uint8(BREAK), x[:-1]] == BREAK))] if len(x) else x
+    return x[~((x == BREAK) & (np.r_[x.dtype.type(BREAK), x[:-1]] == BREAK))] if len(x) else x
 
 
-def suffix_automaton(x: np.ndarray, width: int) -> np.ndarray:
-    """Transitions (states x width, -1 for none) of the automaton of all substrings of ``x``."""
+def automaton_moves(x: np.ndarray) -> list[dict[int, int]]:
+    """Per state, letter to state, of the automaton of all substrings of ``x``."""
     link, length, go = [-1], [0], [{}]
     last = 0
     for c in x.tolist():
@@ -71,6 +70,12 @@ def suffix_automaton(x: np.ndarray, width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = clone
         last = new
+    return go
+
+
+def suffix_automaton(x: np.ndarray, width: int) -> np.ndarray:
+    """The same as a table (states x width, -1 for none)."""
+    go = automaton_moves(x)
     table = np.full((len(go), width), -1, np.int32)
     for state, moves in enumerate(go):
         for c, target in moves.items():
@@ -89,12 +94,68 @@ def parser(x: np.ndarray, width: int) -> np.ndarray:
     return table
 
 
+def _slot(key: np.ndarray, slots: int) -> np.ndarray:
+    return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(
+        64 - (slots.bit_length() - 1))).astype(np.int64)
+
+
+def hashed_parser(x: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``parser``'s moves as keys (state x width + letter, -1 for none) and values of an open hash
+    table, and the moves where the state has none by that letter."""
+    go = automaton_moves(x)
+    sizes = np.fromiter(map(len, go), np.int64, len(go))
+    n = int(sizes.sum())
+    letter = np.fromiter((c for moves in go for c in moves), np.int64, n)
+    target = np.fromiter((t for moves in go for t in moves.values()), np.int64, n)
+    state = np.repeat(np.arange(len(go)), sizes)
+    del go
+    known = (letter != PAD) & (letter != OTHER)
+    letter, target, state = letter[known], target[known], state[known]
+    restart = np.ones(width, np.int32)
+    restart[letter[state == 0]] = target[state == 0] * 2 + 1
+    restart[PAD] = 0
+    at = state > 0  # the first state's moves all begin phrases
+    key, value = state[at] * width + letter[at], (target[at] * 2).astype(np.int32)
+    slots = 1 << max(2 * len(key), 2).bit_length()
+    keys, values = np.full(slots, -1, np.int64), np.zeros(slots, np.int32)
+    slot = _slot(key, slots)
+    while len(key):
+        free = keys[slot] < 0
+        keys[slot[free]] = key[free]  # of several the last stays
+        done = keys[slot] == key
+        values[slot[done]] = value[done]
+        key, value, slot = key[~done], value[~done], (slot[~done] + 1) & (slots - 1)
+    return keys, values, restart
+
+
+def moved(table, width: int, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+    """Next state times 2, plus 1 where a new phrase begins."""
+    if isinstance(table, np.ndarray):
+        return table[state * width + letter]
+    keys, values, restart = table
+    key = state.astype(np.int64) * width + letter
+    slot = _slot(key, len(keys))
+    held = keys[slot]
+    hit = held == key
+    out = np.where(hit, values[slot], restart[letter])
+    left = np.flatnonzero(~hit & (held >= 0))
+    slot = slot[left]
+    while len(left):
+        slot = (slot + 1) & (len(keys) - 1)
+        held = keys[slot]
+        hit = held == key[left]
+        out[left[hit]] = values[slot[hit]]
+        on = ~hit & (held >= 0)
+        left, slot = left[on], slot[on]
+    return out
+
+
 @dataclass
 class Model:
     languages: list[str]
     letters: np.ndarray
     width: int
-    tables: list[np.ndarray]
+    tables: list  # of a parser or a hashed parser
     bits: np.ndarray  # of a phrase, per language
 
     def costs(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -108,7 +169,7 @@ class Model:
                 phrases = np.zeros(len(owner), np.int32)
                 for t in range(len(matrix)):
                     live = running[t]
-                    move = table[state[:live] * self.width + matrix[t, :live]]
+                    move = moved(table, self.width, state[:live], matrix[t, :live])
                     phrases[:live] += move & 1
                     state[:live] = move >> 1
                 np.add.at(out[:, k], first + owner, phrases)
@@ -117,21 +178,20 @@ class Model:
 
 
 def fit(texts: dict[str, list[str]]) -> Model:
-    """Automata from the texts of each language, as much as ``CELLS`` holds."""
+    """Automata from the texts of each language; every letter of theirs is told apart."""
     languages = sorted(texts, key=lambda x: x.encode())
     points = [code_points(t) for lang in languages for t in texts[lang]]
     kinds = letter_table()
-    every, counts = np.unique(np.concatenate(points or [np.zeros(0, np.uint32)]), return_counts=True)
+    every = np.unique(np.concatenate(points or [np.zeros(0, np.uint32)]))
     known = kinds[every] == OTHER
-    top = np.argsort(-counts[known], kind="stable")[:LETTERS]
-    kinds[every[known][top]] = np.arange(OTHER + 1, OTHER + 1 + len(top))
-    width = OTHER + 1 + len(top)
-    chars = min(FIT_CHARS, CELLS // (2 * width * max(len(languages), 1)))
-    tables, bits = [], []
-    for lang in languages:
-        x = np.concatenate([np.r_[np.uint8(BREAK), folded(t, kinds)] for t in texts[lang]])[:chars]
-        tables.append(parser(x, width).ravel())
-        bits.append(np.log2(max(len(x), 2)))
+    width = OTHER + 1 + int(known.sum())
+    kinds = kinds.astype(np.min_scalar_type(width))
+    kinds[every[known]] = np.arange(OTHER + 1, width)
+    learned = [np.concatenate([np.r_[kinds.dtype.type(BREAK), folded(t, kinds)] for t in texts[lang]])
+               for lang in languages]
+    small_enough = sum(map(len, learned)) * 2 * width <= CELLS
+    tables = [parser(x, width).ravel() if small_enough else hashed_parser(x, width) for x in learned]
+    bits = [np.log2(max(len(x), 2)) for x in learned]
     return Model(languages, kinds, width, tables, np.array(bits))
 
 
@@ -141,8 +201,7 @@ def sample(rows: DataFrame) -> dict[str, list[str]]:
     chosen = rows.join(share, "lang").filter(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
     out: dict[str, list[str]] = {}
-    for lang, text in chosen.select("lang", F.substring("text", 1, FIT_DOC_CHARS).alias("text")
-                                    ).orderBy("lang", F.xxhash64("text"), "text").collect():
+    for lang, text in chosen.select("lang", "text").orderBy("lang", F.xxhash64("text"), "text").collect():
         out.setdefault(lang, []).append(text)
     return out
 

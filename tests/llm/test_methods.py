@@ -412,3 +412,26 @@ def test_edited_questions_go(spark):
         rows.append((20 + shift, " ".join(["pad"] * shift + [w if k % 7 else "zz" for k, w in enumerate(item)])))
     left = decontamination.without_leaks(documents(spark, rows), benchmark).collect()
     assert sorted(r.doc_id for r in left) == [30, 31]
+
+
+def test_rare_letters_and_late_text_tell_languages_apart(spark):
+    rng = random.Random(24)
+    words = lambda first, n: " ".join("".join(chr(first + rng.randrange(24)) for _ in range(3)) for _ in range(n))
+    first = {"aa": 0x61, "el": 0x3B1, "ka": 0x10D0, "ru": 0x430}
+    rows = [(1000 * k + i, words(first[lang], 200 if lang in ("aa", "el", "ka") else 20), lang, None)
+            for k, lang in enumerate(first) for i in range(40)]
+    same = words(0x100, 1200)  # two languages whose long texts differ only after 4,096 characters
+    rows += [(9000 + i, same + " " + words(0x531 if i % 2 else 0x5D0, 100), "hy" if i % 2 else "he", None)
+             for i in range(60)]
+    rows += [(9900 + i, words(0x531 if i % 2 else 0x5D0, 30), "hy" if i % 2 else "he", None) for i in range(20)]
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(spark.createDataFrame(rows, DOCS)).collect()}
+    assert {r[0]: r[2] for r in rows if r[0] < 9000 or r[0] >= 9900} == {
+        i: p for i, p in got.items() if i < 9000 or i >= 9900}
+
+
+def test_hashed_moves_are_those_of_the_table():
+    rng = np.random.default_rng(25)
+    source, x = rng.integers(1, 9, 900).astype(np.uint16), rng.integers(1, 12, 3000).astype(np.uint16)
+    dense, thin = (language_id.Model(["l"], None, 12, [t], np.ones(1)).costs([x]) for t in (
+        language_id.parser(source, 12).ravel(), language_id.hashed_parser(source, 12)))
+    assert np.array_equal(dense, thin)
