@@ -4,7 +4,8 @@ A page is a run of words and tags. Words score positive, tags negative: pages th
 their article (``article`` or ``main``) label all pages' words and tags, and a word weighs the share
 of such words that lie inside articles, a tag the share that lies outside. Menus, adverts,
 comments and the like, known by tag, role, class or id, are passed over. One linear scan finds the contiguous region with the highest sum;
-its blocks are the text.
+its blocks are the text. Tags of articles weigh like others. Forms are passed over unless they hold most of
+a page's words.
 """
 
 import html
@@ -46,7 +47,7 @@ MARKS = {
     "widget",
 }
 CLOSES_P = BLOCKS - {"html", "body"}
-BARRIER, PASSED, UNKNOWN = -1e6, -0.5, 0.5
+PASSED, UNKNOWN = -0.5, 0.5
 
 
 def _marked(rest: str, in_region: bool) -> bool:
@@ -92,10 +93,20 @@ def tokens(page: str):
 
 
 def events(page: str | None):
-    """Items of a page: ("tag", name), ("barrier",), ("passed",), ("break",) and
+    """Items of a page: ("tag", name), ("passed",), ("break",) and
     ("words", words, innermost block, inside a marked region)."""
     if not page:
-        return
+        return iter(())
+    if "<form" in page.lower():
+        every = list(_events(page, DROPPED - {"form"}))
+        n, rest = (sum(len(e[1].split()) for e in found if e[0] == "words")
+                   for found in (every, _events(page, DROPPED)))
+        if 2 * rest < n:
+            return iter(every)
+    return _events(page, DROPPED)
+
+
+def _events(page: str, passed_over: set[str]):
     stack: list[tuple[str, bool]] = []
     dropped, regions = 0, 0
 
@@ -105,7 +116,17 @@ def events(page: str | None):
         dropped -= out
         regions -= tag in REGIONS
 
+    def part_of(tag: str) -> str:
+        """A region within another is a section of it."""
+        return "section" if tag in REGIONS and regions else tag
+
     for kind, what, rest in tokens(page):
+        # Text or a block ends a head that isn't closed.
+        if stack and ((kind == "text" and stack[-1][0] == "head" and what.strip()) or (
+                kind == "open" and what in BLOCKS and any(t == "head" for t, _ in stack))):
+            while stack[-1][0] != "head":
+                pop()
+            pop()
         if kind == "text":
             if dropped:
                 continue
@@ -125,7 +146,7 @@ def events(page: str | None):
             if was and not dropped:
                 yield "break", "", "", False
             elif not dropped:
-                yield ("barrier" if what in REGIONS else "tag"), what, "", regions > 0
+                yield "tag", part_of(what), "", regions > 0
                 if what in BLOCKS:
                     yield "break", "", "", False
             continue
@@ -137,14 +158,14 @@ def events(page: str | None):
                 pop()
         if what == "li" and stack and stack[-1][0] == "li":
             pop()
-        out = what in DROPPED or what in RAW or (
+        out = what in passed_over or what in RAW or (
             what == "header" and not regions) or (
             what not in ("html", "body", *REGIONS) and _marked(rest, regions > 0))
         if out and not dropped:
             yield "passed", what, "", regions > 0
             yield "break", "", "", False
         elif not dropped:
-            yield ("barrier" if what in REGIONS else "tag"), what, "", regions > 0
+            yield "tag", part_of(what), "", regions > 0
             if what in BLOCKS:
                 yield "break", "", "", False
             elif what in ("br", "td", "th"):
@@ -197,8 +218,6 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
         if kind == "words":
             blocks[-1].append(what)
             score = len(what.split()) * weights.get(feature("word", where), UNKNOWN)
-        elif kind == "barrier":
-            score = BARRIER
         elif kind == "passed":
             score = PASSED
         else:

@@ -435,3 +435,22 @@ def test_hashed_moves_are_those_of_the_table():
     dense, thin = (language_id.Model(["l"], None, 12, [t], np.ones(1)).costs([x]) for t in (
         language_id.parser(source, 12).ravel(), language_id.hashed_parser(source, 12)))
     assert np.array_equal(dense, thin)
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<body><article><h2>The first of two</h2><p>{0}</p></article><article><h2>Then the second one</h2><p>{0}</p></article></body>",
+     "The first of two\n{0}\nThen the second one\n{0}"),
+    ("<main><h1>Title</h1><p>Lead</p><article><p>{0}</p></article></main>",
+     "Title\nLead\n{0}"),
+    ("<html><head><title>T</title><body><p>{0}</p></body></html>", "{0}"),
+    ("<html><head><title>T</title><p>{0}</p></html>", "{0}"),
+    ("<body><form action=x><div><p>{0}</p></div><input></form></body>", "{0}"),
+])
+def test_no_tag_alone_picks_the_region(page, text):
+    own = " ".join(f"word{k}" for k in range(40))
+    seen = collections.Counter()
+    for marked in (PAGE, PAGE.replace("h2", "h1").replace("head&gt;line", "one")):
+        for name, (inside, outside) in html_extraction.page_counts(marked.format("article")).items():
+            seen.update({(name, 0): 20 * inside, (name, 1): 20 * outside})
+    weights = html_extraction.weigh({n: (seen[n, 0], seen[n, 1]) for n, _ in seen})
+    assert html_extraction.main_text(page.format(own), weights) == text.format(own)
