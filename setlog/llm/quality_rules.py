@@ -115,12 +115,13 @@ def labelled(labels: DataFrame, limit: int) -> DataFrame:
 def fit(stats: DataFrame, labels: DataFrame, limit: int = FIT_ROWS) -> list[Rule]:
     """Rules from the figures of labelled documents.
 
-    ``stats`` holds doc_id and the counts; ids with several labels count once per label,
-    null labels don't count. No labels: no rules, and everything is kept.
+    ``stats`` holds doc_id and the counts; ids with several labels count once per label, rows
+    alike in id and figures once, null labels don't count. At most ``limit`` of them are taken. No labels: no rules, and everything is kept.
     """
     figures = ratios()
     rows = stats.join(labelled(labels, limit), "doc_id").select(
-        "doc_id", "quality", *(c.alias(k) for k, c in figures.items())).toPandas()
+        "doc_id", "quality", *(c.alias(k) for k, c in figures.items())).distinct().orderBy(
+        F.xxhash64("doc_id"), "doc_id", "quality", *figures).limit(limit).toPandas()
     if rows.empty:
         return []
     rows = rows.sort_values(["doc_id", "quality", *figures], kind="stable")

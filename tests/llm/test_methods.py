@@ -454,3 +454,14 @@ def test_no_tag_alone_picks_the_region(page, text):
             seen.update({(name, 0): 20 * inside, (name, 1): 20 * outside})
     weights = html_extraction.weigh({n: (seen[n, 0], seen[n, 1]) for n, _ in seen})
     assert html_extraction.main_text(page.format(own), weights) == text.format(own)
+
+
+def test_a_repeated_document_counts_once_for_the_rules(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_rules, "learn", lambda x, bad, names: seen.append(len(x)) or [])
+    docs = documents(spark, [(1, "a b c")] * 300 + [(2, f"a b {'c ' * k}") for k in range(50)] + [(3, "d")])
+    stats = text.with_stats(docs, doc_id=docs.doc_id)
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "doc_id long, quality int")
+    quality_rules.fit(stats, labels)
+    quality_rules.fit(stats, labels, 20)
+    assert seen == [52, 20]
