@@ -55,7 +55,7 @@ def _runs(filled: str, counts: str, words: int) -> str:
 
 
 def _cut(docs: DataFrame, cuts, every: int, least: int, words: int | None = None) -> DataFrame:
-    """key, doc_id, lines and spans of every text with a chunk (or run of ``words``) to look at."""
+    """key, doc_id, lines and spans (chunks, runs of ``words``) of every text; there may be none."""
     keyed = docs.filter("text is not null").select(
         F.xxhash64("doc_id", "text").alias("key"), "doc_id", F.split("text", "\n", -1).alias("lines"))
     hashed = (keyed if words else keyed.filter(F.size("lines") >= least)).withColumn("hashes", F.expr(
@@ -70,9 +70,9 @@ def _cut(docs: DataFrame, cuts, every: int, least: int, words: int | None = None
         rf"transform(lines, l -> regexp_count(l, '{WORD}'))")).withColumn("filled", F.expr(
             "filter(sequence(1, size(lines)), i -> counts[i - 1] > 0)")).withColumn(
         "counts", F.expr("filter(counts, n -> n > 0)"))
+    # No filter on the spans: it would be pushed below the projections and work the lambdas anew per line.
     return counted.select("key", "doc_id", "lines", F.expr(
-        f"array_distinct(concat(spans, {_runs('filled', 'counts', words)}))").alias("spans")).filter(
-        F.size("spans") > 0)
+        f"array_distinct(concat(spans, {_runs('filled', 'counts', words)}))").alias("spans"))
 
 
 def _piece(c: str) -> str:
@@ -121,10 +121,10 @@ def _shortened(docs: DataFrame, result: str, cuts, every: int, least: int,
              "flatten(transform({0}.firsts, c -> sequence(c.start, c.end)))")
     drop = F.expr((f"array_distinct({spans[0]})" if words else
                    f"array_except({spans[0]}, {spans[1]})").format(f"`{result}`"))
-    joined = joined.select(*columns(docs), drop.alias(result))
-    lines = F.split("text", "\n", -1)
-    kept = F.expr(f"transform(array_except(sequence(1, size(split(text, '\\n', -1))), `{result}`), "
-                  "i -> element_at(split(text, '\\n', -1), i))")
+    # Lines are a column used twice, so that no lambda splits the text anew for each of them.
+    lines = unused(docs, "text_lines")
+    joined = joined.select(*columns(docs), drop.alias(result), F.split("text", "\n", -1).alias(lines))
+    kept = F.expr(f"transform(array_except(sequence(1, size(`{lines}`)), `{result}`), i -> element_at(`{lines}`, i))")
     return joined.select(*columns(docs), F.struct(
         F.when(F.coalesce(F.size(result), F.lit(-1)) <= 0, F.col("text")).otherwise(
             F.array_join(kept, "\n")).alias("kept_text"),
