@@ -4,7 +4,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from setlog.llm import (
+    chat_format,
     decontamination,
+    hard_negatives,
     html_extraction,
     language_id,
     line_dedup,
@@ -14,6 +16,7 @@ from setlog.llm import (
     quality_classifier,
     quality_rules,
     secret_scan,
+    whitening,
 )
 from setlog.llm.text import table
 
@@ -74,6 +77,19 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("key")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, folder, "embeddings"))
+
+
+def op12_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat_format.digests(chat_format.format_chats(
+        chat_format.with_control(table(spark, folder, "conversations"))))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_ppm_score": op1_ppm_score,
     "op2_html_extraction": op2_html_extraction,
@@ -85,6 +101,9 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_decontamination": op10_decontamination,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_chat_format": op12_chat_format,
+    "op13_whitening": op13_whitening,
 }
 
 
@@ -163,7 +182,49 @@ group by all
 """
 
 
+def _hard_negatives_sql() -> str:
+    h = hard_negatives
+    return f"""
+with v as (select vec_id, case when vec_id % {h.SHIFTED} = 0 then (label + 1) % {h.LABELS} else label end as label,
+                  list_transform(embedding, lambda x: floor({h.SCALE} * x::double)) as q
+           from embeddings where label is not null and embedding is not null
+           and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same,
+                  list_dot_product(a.q, r.q)::bigint as score
+           from v a, v r where a.vec_id % {h.EVERY} = 0 and a.vec_id <> r.vec_id),
+positives as (select anchor_id, vec_id as positive_id, score as positive_score from scores where same
+              qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= {h.POSITIVES})
+select anchor_id, positive_id, (row_number() over p)::int as rank, vec_id as negative_id, positive_score,
+       score as negative_score
+from positives join scores using (anchor_id)
+where not same and {h.LEAST_PERCENT} * positive_score <= 100 * score and score <= positive_score
+window p as (partition by anchor_id, positive_id order by score desc, vec_id)
+qualify row_number() over p <= {h.NEGATIVES}
+"""
+
+
+def _chat_format_sql() -> str:
+    c = chat_format
+    message = len(c.START) + 1 + len(c.END)
+    return f"""
+with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+           union all select -1, k, r, '<|im_end|><|im_start|>assistant ok'
+           from (values (0, 'user'), (1, 'assistant')) x(k, r)),
+s as (select *, regexp_replace(text, '<(\\\\*)\\|', '<\\1\\\\|', 'g') as escaped,
+             coalesce(lag(role) over w = role, false) as goes_on
+      from t window w as (partition by conv_id order by turn nulls last, role, text))
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls last, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls last, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       sum(length(escaped) + case when goes_on then {len(c.SEP)} else {message} + length(role) end)::bigint as formatted_chars
+from s group by conv_id
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_hard_negatives": _hard_negatives_sql(),
+    "op12_chat_format": _chat_format_sql(),
     "op10_decontamination": _decontamination_sql(),
     "op7_line_dedup": _line_dedup_sql(),
 }
