@@ -1,16 +1,20 @@
 """Session and set extraction from sheet grids, for all sheets in one plan.
 
 A sheet stacks training days downwards (a day label in column 0 opens a block) and lays
-microcycles side by side (labels in one header row). Cells arrive one per row; they are
-gathered to grid rows, each a map from column to text, and everything else is windows
-over a sheet's rows. The cells move once, by sheet, and no join pairs cells with
-anything: days, labels and exercises reach a row by running over the rows above it.
+microcycles side by side (labels in one header row). Cells arrive one per row.
+
+``sheet_index`` makes one small row per sheet from its marks alone: days with their label rows,
+microcycles and exercises. Cells move once, to their sheet's index row, where row and column tell
+what they are; a cell becomes a value of a set, an exercise or a session, and one aggregation puts
+the values of each together. Nothing is gathered by grid row, and no cell meets another but those
+of its own set, exercise or session.
 
 Rules kept as they are in the source format: the day mark needs its accent; a scan starts
 at a letter with blanks around it but accepts only a bare one; an exercise whose fourth
 row is the block's last row is dropped; rows over sixty below the last day's start are cut;
 the label search takes any text containing the label; error texts are blanked in session
-data but stay as text in sets; day names are stripped, microcycle names are not.
+data but stay as text in sets; day names are stripped, microcycle names are not. Of a cell given
+twice the first text that fits, in text order, counts.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,289 +22,272 @@ from pyspark.sql import functions as F
 
 from setlog.functions.casts import NUMBER_PATTERN, last_word_int, strip
 from setlog.functions.fixed import (
-    BLOCK_LETTERS, DATE_OFFSET, DAY_MARK, ERROR_MARK, HEADER_ROWS, LABEL_END_COL, LABEL_FIRST_COL,
-    LABEL_ROWS, LAST_DAY_ROWS, LINK_MARK, METRIC_KIND, MICRO_END_COL, MICRO_FIRST_COL, MICRO_MARK,
-    MISSING_NAME, NUMBER_OFFSETS, ROWS_PER_EXERCISE, SESSION_LABELS, SETS_PER_EXERCISE, TIME_OFFSET,
+    BLOCK_LETTERS, DAY_MARK, ERROR_MARK, LINK_MARK, METRIC_KIND, MICRO_MARK, MISSING_NAME,
+    ROWS_PER_EXERCISE, SESSION_LABELS,
 )
+from setlog.functions.layout import LAYOUT, Layout
+from setlog.operators.ids import staged
 
 SHEET = ["workbook", "sheet_name"]
-# Session number or set columns reach at most this far right of the last microcycle.
-_LAST_COL = MICRO_END_COL - 1 + NUMBER_OFFSETS
-_LABEL_BITS = {label: 1 << i for i, label in enumerate(SESSION_LABELS)}
-_MICRO_BIT = 1 << len(SESSION_LABELS)
-# SQL for a microcycle ``m``, the ``i``-th of its sheet, with its session's values.
-_MICRO_FIELDS = (
-    "m.col as micro_col, m.name as microciclo, m.number as numero_microciclo,"
-    " get(fechas, i) as fecha, get(horas, i) as hora, get(prs, i) as prs_pre_sesion,"
-    " get(rpe, i) as rpe_sesion"
-)
-
+_DAY, _LETTER, _MICRO = 1, 2, 4
+_LABELS = {label: 8 << i for i, label in enumerate(SESSION_LABELS)}
+_ANY_LABEL = sum(_LABELS.values())
+#: Number of a value's set, from 0 on; these are values of an exercise or its dose, and of a session.
+_EXERCISE, _SESSION = -1, -2
 
-def grid_rows(cells: DataFrame) -> DataFrame:
-    """One row per non-empty grid row: its cells by column, and which marks it holds.
 
-    Marks are found before the cells move. Columns right of the layout only count as
-    proof that the row exists.
-    """
-    text = F.upper("value")
-    entry = F.when((F.col("col_idx") <= _LAST_COL) & F.col("value").isNotNull(),
-                   F.struct("col_idx", "value"))
-    in_labels = F.col("col_idx").between(LABEL_FIRST_COL, LABEL_END_COL - 1)
-    in_micros = F.col("col_idx").between(MICRO_FIRST_COL, MICRO_END_COL - 1) & (
-        F.col("row_idx") < HEADER_ROWS)
-    mark = F.when(in_micros & text.contains(MICRO_MARK), _MICRO_BIT).otherwise(0)
-    for label, bit in _LABEL_BITS.items():
-        mark = mark.bitwiseOR(F.when(in_labels & text.contains(label), bit).otherwise(0))
-    gathered = (
-        cells.select(*SHEET, "sheet_pos", "row_idx", entry.alias("entry"), mark.alias("mark"))
-        .repartition(*SHEET)
-        .groupBy(*SHEET, "row_idx")
-        .agg(F.min("sheet_pos").alias("sheet_pos"), F.collect_list("entry").alias("entries"),
-             F.bit_or("mark").alias("mark"))
-    )
-    # A cell given twice counts once, with its first text in text order.
-    ordered = F.sort_array("entries")
-    once = F.filter(
-        ordered, lambda e, i: (i == 0) | (F.get(ordered, i - 1)["col_idx"] != e["col_idx"]))
-    repeated = F.size(F.array_distinct(F.col("entries.col_idx"))) < F.size("entries")
-    micros = F.when(
-        F.col("mark").bitwiseAND(_MICRO_BIT) != 0,
-        F.transform(
-            F.filter(F.sort_array("entries"),
-                     lambda e: e["col_idx"].between(MICRO_FIRST_COL, MICRO_END_COL - 1)
-                     & F.upper(e["value"]).contains(MICRO_MARK)),
-            lambda e, i: F.struct(
-                e["col_idx"].alias("col"), e["value"].alias("name"),
-                F.coalesce(last_word_int(e["value"]), i + 1).alias("number"))))
-    return (
-        gathered.withColumn("entries", F.when(repeated, once).otherwise(F.col("entries")))
-        .withColumns({"micros": micros, "cells": F.map_from_entries("entries")})
-        .drop("entries")
-    )
-
-
-def _day_columns() -> list[Column]:
-    return [F.col("sheet_pos"), F.col("start").alias("day_row"),
-            F.col("day_number").alias("numero_dia"), F.col("day_name").alias("nombre_dia")]
-
-
-def _safe(value: str) -> str:
-    """SQL for a session cell; error texts are empty."""
-    return f"if(contains({value}, '{ERROR_MARK}'), null, {value})"
-
-
-def _first_number(col: str) -> str:
-    """SQL for the first number right of a microcycle's column."""
-    near = [_safe(f"cells[{col} + {offset}]") for offset in range(1, NUMBER_OFFSETS + 1)]
-    return "coalesce(" + ", ".join(
-        f"if({value} rlike r'{NUMBER_PATTERN}', {value}, null)" for value in near) + ")"
-
-
-def day_rows(rows: DataFrame) -> DataFrame:
-    """The rows of day blocks that mark something (day, label, exercise letter, end of
-    block), with their day, the sheet's microcycles, the block's session values (one
-    entry per microcycle) and the cells of the three rows below (r1 to r3).
-
-    One pass over all rows looks down a sheet; blocks are worked on the marked rows only.
-    """
-    sheet = Window.partitionBy(*SHEET)
-    down = sheet.orderBy("row_idx")
-    whole_sheet = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    block = Window.partitionBy(*SHEET, "block").orderBy("row_idx").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing)
-
-    def row_below(offset: int) -> Column:
-        """Cells ``offset`` rows below; empty rows are absent, so look at what follows."""
-        return F.coalesce(*[
-            F.when(F.col(f"row{j}") == F.col("row_idx") + offset, F.col(f"cells{j}"))
-            for j in range(1, offset + 1)])
-
-    following = {f"{name}{j}": F.lead(column, j).over(down)
-                 for j in (1, 2, 3) for name, column in (("row", "row_idx"), ("cells", "cells"))}
-    is_day = F.coalesce(F.upper("c0").contains(DAY_MARK), F.lit(False))
-    is_letter = F.coalesce(strip(F.col("c0")).isin(*BLOCK_LETTERS), F.lit(False))
-    is_label = F.col("mark").bitwiseAND(sum(_LABEL_BITS.values())) != 0
-    marked = (
-        rows.withColumn("c0", F.col("cells")[F.lit(0)])
-        .withColumns({"is_day": is_day, "is_letter": is_letter})
-        .withColumns({
-            "block": F.sum(F.col("is_day").cast("int")).over(
-                down.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-            "micros": F.first("micros", ignorenulls=True).over(whole_sheet),
-            "last_row": F.max("row_idx").over(whole_sheet),
-            "day_below": F.coalesce(F.lead("is_day").over(down), F.lit(False)),
-            **following,
-        })
-        .filter((F.col("block") > 0)
-                & (F.col("is_day") | F.col("is_letter") | is_label | F.col("day_below")))
-        .withColumn("next_start", F.when(F.col("day_below"), F.col("row1")))
-        .withColumns({f"r{offset}": row_below(offset) for offset in (1, 2, 3)})
-        .drop(*following, "day_below")
-    )
-
-    def at_label(label: str, value: str) -> Column:
-        """Values at the block's first row with the label, one per microcycle ``m``."""
-        return F.first(F.expr(
-            f"if((mark & {_LABEL_BITS[label]}) <> 0 and row_idx < least(start + {LABEL_ROWS}, end),"
-            f" transform(micros, m -> {value}), null)"), ignorenulls=True).over(block)
-
-    fecha, prs, rpe = SESSION_LABELS
-    opens_scan = F.col("is_letter") & (F.col("row_idx") <= F.col("end"))
-    return (
-        marked.withColumns({
-            "start": F.first("row_idx").over(block),
-            "day_name": F.first(strip(F.col("c0"))).over(block),
-            "next_start": F.max("next_start").over(block),
-        })
-        .withColumns({
-            "end": F.coalesce(F.col("next_start") - 1,
-                              F.least(F.col("start") + LAST_DAY_ROWS, F.col("last_row"))),
-            "day_number": F.coalesce(last_word_int(F.col("day_name")), F.col("block").cast("int")),
-        })
-        .withColumns({
-            "fechas": at_label(fecha, _safe(f"cells[m.col + {DATE_OFFSET}]")),
-            "horas": at_label(fecha, _safe(f"cells[m.col + {TIME_OFFSET}]")),
-            "prs": at_label(prs, _first_number("m.col")),
-            "rpe": at_label(rpe, _first_number("m.col")),
-            "first_letter": F.min(F.when(opens_scan, F.col("row_idx"))).over(block),
-        })
-        .drop("next_start", "last_row", "mark", "is_letter")
-    )
+def _between(column: str, first: int, end: int) -> Column:
+    return (F.col(column) >= first) & (F.col(column) < end)
 
 
 def _is_day() -> Column:
     return (F.col("col_idx") == 0) & F.upper("value").contains(DAY_MARK)
 
 
-def detect_days(cells: DataFrame) -> DataFrame:
-    """Day blocks of every sheet: name, number, first and last row.
+def _is_micro(layout: Layout) -> Column:
+    return (F.col("row_idx") < layout.header_rows) & F.upper("value").contains(MICRO_MARK) & _between(
+        "col_idx", layout.micro_first_col, layout.micro_end_col)
 
-    Only day labels and the last row number leave the scan.
+
+def _is_label(label: str, layout: Layout) -> Column:
+    return _between("col_idx", layout.label_first_col, layout.label_end_col) & F.upper("value").contains(label)
+
+
+def _marks(cells: DataFrame, layout: Layout, wanted: int) -> DataFrame:
+    """Per sheet with a wanted mark: sheet_pos, last_row and the sorted array ``marks``.
+
+    Marks alone are gathered; the last row comes from a plain aggregate.
     """
-    label = F.when(_is_day(), F.struct("row_idx", "value"))
+    tests = {_DAY: _is_day(), _LETTER: (F.col("col_idx") == 0) & F.col("value").isin(*BLOCK_LETTERS),
+             _MICRO: _is_micro(layout), **{bit: _is_label(label, layout) for label, bit in _LABELS.items()}}
+    bits = sum((F.when(test, bit).otherwise(0) for bit, test in tests.items() if bit & wanted), F.lit(0))
     sheets = cells.groupBy(*SHEET).agg(
-        F.max("row_idx").alias("last_row"), F.array_sort(F.collect_list(label)).alias("days"))
-    start, name = F.col("day.row_idx"), strip(F.col("day.value"))
-    following = F.get("days", F.col("i") + 1)["row_idx"]
-    return sheets.select(
-        *SHEET, "last_row", "days", F.posexplode("days").alias("i", "day"),
-    ).select(
-        *SHEET, name.alias("nombre_dia"),
-        F.coalesce(last_word_int(name), F.col("i") + 1).alias("numero_dia"),
-        start.alias("fila_inicio"),
-        F.coalesce(following - 1, F.least(start + LAST_DAY_ROWS, F.col("last_row")))
-        .alias("fila_fin"))
-
-
-def detect_microcycles(cells: DataFrame) -> DataFrame:
-    """Microcycles of every sheet: name, number and first column.
+        F.min("sheet_pos").alias("sheet_pos"), F.max("row_idx").alias("last_row"))
+    marks = cells.select(*SHEET, "row_idx", "col_idx", "value", bits.alias("bits")).filter("bits <> 0")
+    return sheets.join(marks.groupBy(*SHEET).agg(F.array_sort(F.collect_list(
+        F.struct("row_idx", "col_idx", "value", "bits"))).alias("marks")), SHEET)
 
-    Labels of the first rows only leave the scan, at most a few dozen per row.
+
+def _first_of(marks: str, by: str) -> Column:
+    """The first mark of each ``by`` in a sorted array column."""
+    return F.expr(f"filter({marks}, (m, i) -> i = 0 or {marks}[greatest(i - 1, 0)].{by} <> m.{by})")
+
+
+def _of_kind(bits: int) -> Column:
+    return F.filter("marks", lambda m: m["bits"].bitwiseAND(bits) != 0)
+
+
+def _with_days(index: DataFrame, layout: Layout) -> DataFrame:
+    """Adds ``days``: start, end, name and number, from the top."""
+    def day(mark: Column, i: Column) -> Column:
+        start, name = mark["row_idx"], strip(mark["value"])
+        return F.struct(
+            start.alias("start"),
+            F.coalesce(F.get("day_marks", i + 1)["row_idx"] - 1,
+                       F.least(start + layout.last_day_rows, F.col("last_row"))).alias("end"),
+            name.alias("name"), F.coalesce(last_word_int(name), i + 1).alias("number"))
+    return index.withColumn("day_marks", _of_kind(_DAY)).withColumn(
+        "day_marks", _first_of("day_marks", "row_idx")).withColumn("days", F.transform("day_marks", day))
+
+
+def _with_micros(index: DataFrame) -> DataFrame:
+    """Adds ``micros``: col, name and number, from the left, of the first row that has some."""
+    return index.withColumn("micro_marks", _of_kind(_MICRO)).withColumn("micro_marks", F.expr(
+        "filter(micro_marks, m -> m.row_idx = micro_marks[0].row_idx)")).withColumn(
+        "micro_marks", _first_of("micro_marks", "col_idx")).withColumn("micros", F.transform(
+            "micro_marks", lambda m, i: F.struct(
+                m["col_idx"].alias("col"), m["value"].alias("name"),
+                F.coalesce(last_word_int(m["value"]), i + 1).alias("number"))))
+
+
+def _with_labels(index: DataFrame, layout: Layout) -> DataFrame:
+    """Adds to each of ``days`` the first row of each session label (fecha, prs, rpe), if any."""
+    def labelled(day: Column) -> Column:
+        end = F.least(day["start"] + layout.label_rows, day["end"])
+
+        def first_row(bit: int) -> Column:
+            fits = F.filter("label_marks", lambda m: (m["bits"].bitwiseAND(bit) != 0) & (
+                m["row_idx"] >= day["start"]) & (m["row_idx"] < end))
+            return F.array_min(F.transform(fits, lambda m: m["row_idx"]))
+        rows = [first_row(bit).alias(label.lower()) for label, bit in _LABELS.items()]
+        return F.struct(*(day[c].alias(c) for c in ("start", "end", "name", "number")), *rows)
+    return index.withColumn("label_marks", _of_kind(_ANY_LABEL)).withColumn("days", F.transform("days", labelled))
+
+
+def _opened(day: Column) -> Column:
+    """First rows of the day's exercises: bare letters four or more rows below the last one taken."""
+    letters = F.filter("letter_marks", lambda m: (m["row_idx"] >= day["start"]) & (m["row_idx"] < day["end"] - 3))
+    return F.aggregate(letters, F.array().cast("array<int>"), lambda kept, m: F.when(
+        (F.size(kept) == 0) | (m["row_idx"] >= F.try_element_at(kept, F.lit(-1)) + ROWS_PER_EXERCISE),
+        F.concat(kept, F.array(m["row_idx"]))).otherwise(kept))
+
+
+def sheet_index(cells: DataFrame, layout: Layout = LAYOUT) -> DataFrame:
+    """One small row per sheet with marks: sheet_pos, last_row, days (start, end, name, number, and the
+    rows of the session labels), micros (col, name, number) and exercises (their first rows)."""
+    index = _marks(cells, layout, _DAY | _LETTER | _MICRO | _ANY_LABEL)
+    index = _with_labels(_with_micros(_with_days(index, layout)), layout).withColumn(
+        "letter_marks", _of_kind(_LETTER)).withColumn("letter_marks", _first_of("letter_marks", "row_idx"))
+    return index.select(*SHEET, "sheet_pos", "last_row", "days", "micros",
+                        F.flatten(F.transform("days", _opened)).alias("exercises"))
+
+
+def _at_index(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """``rows`` beside their sheet's index row; rows move by sheet, and aren't sorted for it."""
+    return rows.join(index.hint("shuffle_hash"), SHEET)
+
+
+# By grid row the place of its day and the first row of its exercise, by column the last microcycle that
+# starts there or before: a cell is looked up, not searched for. Bounded by the sheet, which the file format bounds.
+_DAY_AT = ("flatten(transform(days, (d, i) -> concat(array_repeat(-1, if(i = 0, d.start, 0)), "
+           "array_repeat(i, coalesce(get(days, i + 1).start, last_row + 1) - d.start))))")
+_EXERCISE_AT = (f"flatten(transform(exercises, (r, i) -> concat(array_repeat(-1, r - "
+                f"coalesce(get(exercises, i - 1) + {ROWS_PER_EXERCISE}, 0)), array_repeat(r, {ROWS_PER_EXERCISE}))))")
+
+
+def _micro_at(layout: Layout) -> str:
+    return ("flatten(transform(micros, (m, i) -> concat(array_repeat(-1, if(i = 0, m.col, 0)), "
+            f"array_repeat(i, coalesce(get(micros, i + 1).col, {layout.last_col + 1}) - m.col))))")
+
+
+def _places(layout: Layout) -> Column:
+    """What a cell is to the microcycle ``away`` columns left of it: (at, number, slot, value) of each
+    value it gives, null for those it doesn't.
+
+    ``at`` is the first row of the exercise or, for session values, of the day.
     """
-    labels = cells.filter(
-        (F.col("row_idx") < HEADER_ROWS)
-        & F.col("col_idx").between(MICRO_FIRST_COL, MICRO_END_COL - 1)
-        & F.upper("value").contains(MICRO_MARK))
-    header = labels.groupBy(*SHEET).agg(
-        F.min("row_idx").alias("header"),
-        F.array_sort(F.collect_list(F.struct("col_idx", "row_idx", "value"))).alias("found"))
-    return header.select(
-        *SHEET,
-        F.posexplode(F.filter("found", lambda m: m["row_idx"] == F.col("header"))).alias("i", "m"),
-    ).select(
-        *SHEET, F.col("m.value").alias("microciclo"),
-        F.coalesce(last_word_int(F.col("m.value")), F.col("i") + 1).alias("numero_microciclo"),
-        F.col("m.col_idx").alias("col_inicio"))
-
-
-def label_rows(cells: DataFrame) -> DataFrame:
-    """First row of each session label in each day block; null where it is missing.
-
-    Label cells find their day by running over the day labels above them, so no pairs of
-    days and labels are formed.
+    def place(condition: str, at: str, number: str, slot: str, value: str = "value") -> str:
+        return (f"if({condition}, named_struct('at', {at}, 'number', {number}, 'slot', {slot}, "
+                f"'value', {value}), null)")
+    text = f"not contains(value, '{ERROR_MARK}')"
+    number = f"away between 1 and {layout.number_offsets} and value rlike r'{NUMBER_PATTERN}' and {text}"
+    # Numbers carry how far right they stand, so that the least is the first.
+    first = "concat(lpad(away, 5, '0'), value)"
+    return F.expr("inline(array(" + ", ".join([
+        place(f"row_idx >= exercise and if(row_idx = exercise, away = 0, away between 0 and {layout.sets - 1})",
+              "exercise", f"if(row_idx = exercise, {_EXERCISE}, away)", "row_idx - exercise"),
+        place(f"row_idx = fecha and away = {layout.date_offset} and {text}", "day_row", f"{_SESSION}", "0"),
+        place(f"row_idx = fecha and away = {layout.time_offset} and {text}", "day_row", f"{_SESSION}", "1"),
+        place(f"row_idx = prs and {number}", "day_row", f"{_SESSION}", "2", first),
+        place(f"row_idx = rpe and {number}", "day_row", f"{_SESSION}", "3", first),
+        # The exercise's own: type, name and notes, and its letter.
+        place("micro = -1 and col_idx = 1 and row_idx < exercise + 3", "exercise", f"{_EXERCISE}", "row_idx - exercise"),
+        place("micro = -1 and col_idx = 0 and row_idx = exercise", "exercise", f"{_EXERCISE}", "3"),
+    ]) + "))")
+
+
+def read_sheets(cells: DataFrame, index: DataFrame, layout: Layout = LAYOUT) -> DataFrame:
+    """The values of all sets (``number`` from 0) and sessions (``number`` -2): at, micro, number, four
+    values v0 to v3, for sets the exercise's values and dose, and the columns of day and microcycle.
+
+    Cells move once, by sheet. Rows of one exercise or session meet by sorting within their sheet.
     """
-    text = F.upper("value")
-    in_labels = F.col("col_idx").between(LABEL_FIRST_COL, LABEL_END_COL - 1)
-    has = {label: in_labels & text.contains(label) for label in SESSION_LABELS}
-    to_here = Window.partitionBy(*SHEET).orderBy("row_idx", "col_idx").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    any_label = has[SESSION_LABELS[0]]
-    for label in SESSION_LABELS[1:]:
-        any_label = any_label | has[label]
-    start = F.last(F.when(_is_day(), F.col("row_idx")), ignorenulls=True).over(to_here)
-    marks = cells.filter(_is_day() | any_label).withColumn("fila_inicio", start).filter(
-        F.col("row_idx") < F.col("fila_inicio") + LABEL_ROWS)
-    days = detect_days(cells).select(*SHEET, "numero_dia", "fila_inicio", "fila_fin")
-    found = marks.join(days, [*SHEET, "fila_inicio"])
-    before_end = F.col("row_idx") < F.col("fila_fin")
-    return found.groupBy(*SHEET, "numero_dia", "fila_inicio").agg(*[
-        F.min(F.when(has[label] & before_end, F.col("row_idx"))).alias(f"fila_{label.lower()}")
-        for label in SESSION_LABELS])
-
-
-def session_metadata(cells: DataFrame) -> DataFrame:
-    """Every day of a sheet under every microcycle, sets or not, values still texts."""
-    days = day_rows(grid_rows(cells)).filter("is_day")
-    return days.select(*SHEET, *_day_columns(), F.inline(F.expr(
-        f"transform(micros, (m, i) -> struct({_MICRO_FIELDS}))")))
+    wanted = cells.filter(F.col("value").isNotNull() & (F.col("col_idx") <= layout.last_col)).select(
+        *SHEET, "row_idx", "col_idx", "value")
+    by_place = index.select(*SHEET, "days", "micros", F.expr(_DAY_AT).alias("day_at"), F.expr(
+        _EXERCISE_AT).alias("exercise_at"), F.expr(_micro_at(layout)).alias("micro_at"))
+    # Microcycles that reach the cell, as a rule one; and none, for an exercise's own values.
+    reach = layout.last_col - layout.micro_end_col + 1
+    reaching = F.expr(
+        f"concat(if(col_idx <= 1, array(-1), array()), if(get(micro_at, col_idx) > coalesce(get(micro_at, col_idx - {reach + 1}), -1), "
+        f"sequence(coalesce(get(micro_at, col_idx - {reach + 1}), -1) + 1, get(micro_at, col_idx)), array()))")
+    day = F.get("days", F.get("day_at", F.col("row_idx")))
+    placed = _at_index(wanted, by_place).select(
+        *SHEET, "row_idx", "col_idx", "value", "micros", F.get("exercise_at", F.col("row_idx")).alias("exercise"),
+        day["start"].alias("day_row"), *(day[label.lower()].alias(label.lower()) for label in SESSION_LABELS),
+        reaching.alias("reaching"),
+    ).filter("exercise >= 0 or row_idx in (fecha, prs, rpe)").select("*", F.explode("reaching").alias("micro")).select(
+        *SHEET, "row_idx", "col_idx", "value", "micro", F.when(F.col("exercise") >= 0, F.col("exercise")).alias("exercise"),
+        "day_row", *(label.lower() for label in SESSION_LABELS),
+        (F.col("col_idx") - F.get("micros", F.col("micro"))["col"]).alias("away"),
+    ).select(*SHEET, "micro", _places(layout)).filter(F.col("at").isNotNull())
+    together = placed.groupBy(*SHEET, "at", "micro", "number").agg(*(
+        F.min(F.when(F.col("slot") == k, F.col("value"))).alias(f"v{k}") for k in range(4)))
+    exercise = Window.partitionBy(*SHEET, "at")
+    block = Window.partitionBy(*SHEET, "at", "micro")
+    own = {name: F.first(F.when(F.col("micro") == -1, F.col(f"v{k}")), ignorenulls=True).over(exercise)
+           for k, name in enumerate(("kind", "full_name", "notes", "letter"))}
+    dose = F.first(F.when((F.col("micro") >= 0) & (F.col("number") == _EXERCISE), F.col("v0")),
+                   ignorenulls=True).over(block)
+    whole = together.withColumns({**own, "dose": dose}).filter(
+        (F.col("number") == _SESSION) | ((F.col("number") >= 0) & F.col("v1").isNotNull()))
+    found = _at_index(whole, index.select(*SHEET, "sheet_pos", "days", "micros", F.expr(_DAY_AT).alias("day_at")))
+    day, micro = F.get("days", F.get("day_at", F.col("at"))), F.get("micros", F.col("micro"))
+    return found.withColumns({
+        "day_row": day["start"], "numero_dia": day["number"], "nombre_dia": day["name"],
+        "micro_col": micro["col"], "microciclo": micro["name"], "numero_microciclo": micro["number"],
+    }).drop("days", "micros", "day_at")
+
+
+def sets_of(read: DataFrame) -> DataFrame:
+    """All sets with reps, each with its exercise and its day and microcycle."""
+    sets = read.filter("number >= 0")
+    full_name = F.coalesce("full_name", F.lit(MISSING_NAME))
+    parts, linked = F.split(full_name, LINK_MARK), full_name.contains(LINK_MARK)
+    return sets.select(
+        *SHEET, "sheet_pos", "day_row", "numero_dia", "nombre_dia", F.col("at").alias("row_idx"),
+        F.col("letter").alias("grupo_ejercicio"), F.col("kind").alias("tipo_ejercicio"),
+        F.when(linked, strip(F.get(parts, F.lit(0)))).otherwise(full_name).alias("nombre_ejercicio"),
+        F.when(linked, F.concat(F.lit(LINK_MARK), F.get(parts, F.lit(1)))).alias("url_ejercicio"),
+        F.col("notes").alias("notas_ejercicio"), F.lit(METRIC_KIND).alias("tipo_metrica"),
+        "micro_col", "microciclo", "numero_microciclo", F.col("dose").alias("dosis"),
+        (F.col("number") + 1).alias("numero_serie"), F.col("v1").alias("repeticiones"),
+        F.col("v2").alias("carga_kg"), F.col("v3").alias("rir_rpe"))
+
+
+def session_values(read: DataFrame) -> DataFrame:
+    """Values of the sessions that have some, by day_row and micro_col; still texts."""
+    return read.filter(F.col("number") == _SESSION).select(
+        *SHEET, "day_row", "micro_col", F.col("v0").alias("fecha"), F.col("v1").alias("hora"),
+        F.substring("v2", 6, 1 << 30).alias("prs_pre_sesion"), F.substring("v3", 6, 1 << 30).alias("rpe_sesion"))
+
+
+def detect_days(cells: DataFrame, layout: Layout = LAYOUT) -> DataFrame:
+    """Day blocks of every sheet: name, number, first and last row.
 
+    Day labels alone are gathered.
+    """
+    days = _with_days(_marks(cells, layout, _DAY), layout)
+    return days.select(*SHEET, F.explode("days").alias("day")).select(
+        *SHEET, F.col("day.name").alias("nombre_dia"), F.col("day.number").alias("numero_dia"),
+        F.col("day.start").alias("fila_inicio"), F.col("day.end").alias("fila_fin"))
 
-def exercise_rows(days: DataFrame) -> DataFrame:
-    """Marked rows that open an exercise, with the cells of their four rows (r0 to r3).
 
-    From the block's first letter downwards, a bare letter opens an exercise unless it
-    lies within the four rows of the one before. Candidates four or more rows below the
-    previous candidate always open one, so only runs of closer candidates (as a rule,
-    single ones) are folded in order.
-    """
-    block = Window.partitionBy(*SHEET, "block").orderBy("row_idx")
-    run = Window.partitionBy(*SHEET, "block", "run")
-    candidate = (F.col("c0").isin(*BLOCK_LETTERS) & (F.col("row_idx") >= F.col("first_letter"))
-                 & (F.col("row_idx") < F.col("end") - 3))
-    gap = F.col("row_idx") - F.lag("row_idx").over(block)
-    folded = F.aggregate(
-        F.array_sort(F.collect_list("row_idx").over(run)),
-        F.array().cast("array<int>"),
-        lambda kept, r: F.when(
-            (F.size(kept) == 0) | (r >= F.try_element_at(kept, F.lit(-1)) + ROWS_PER_EXERCISE),
-            F.concat(kept, F.array(r))).otherwise(kept))
-    return (
-        days.filter(F.col("micros").isNotNull() & candidate)
-        .withColumn("apart", F.coalesce((gap >= ROWS_PER_EXERCISE).cast("int"), F.lit(1)))
-        .withColumn("run", F.sum("apart").over(
-            block.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .withColumn("opened", folded)
-        .filter(F.array_contains("opened", F.col("row_idx")))
-        .withColumnRenamed("cells", "r0")
-    )
-
-
-def extract_sets(cells: DataFrame) -> DataFrame:
-    """All sets with reps, each with its exercise and the values of its session.
-
-    Microcycles and set columns unfold in one step, so the cell maps aren't copied.
+def detect_microcycles(cells: DataFrame, layout: Layout = LAYOUT) -> DataFrame:
+    """Microcycles of every sheet: name, number and first column.
+
+    Labels of the first rows only leave the scan, at most a few dozen per row.
     """
-    slots = ", ".join(
-        f"struct({_MICRO_FIELDS}, r0[m.col] as dosis, {k + 1} as numero_serie,"
-        f" r1[m.col + {k}] as repeticiones, r2[m.col + {k}] as carga_kg, r3[m.col + {k}] as rir_rpe)"
-        for k in range(SETS_PER_EXERCISE))
-    sets = F.expr(f"flatten(transform(micros, (m, i) ->"
-                  f" filter(array({slots}), s -> s.repeticiones is not null)))")
-    full_name = F.coalesce(F.col("r1")[F.lit(1)], F.lit(MISSING_NAME))
-    parts = F.split("full_name", LINK_MARK)
-    linked = F.col("full_name").contains(LINK_MARK)
-    return (
-        exercise_rows(day_rows(grid_rows(cells)))
-        .withColumn("full_name", full_name)
-        .select(
-            *SHEET, *_day_columns(), "row_idx",
-            F.col("c0").alias("grupo_ejercicio"),
-            F.col("r0")[F.lit(1)].alias("tipo_ejercicio"),
-            F.when(linked, strip(F.get(parts, F.lit(0)))).otherwise(F.col("full_name"))
-            .alias("nombre_ejercicio"),
-            F.when(linked, F.concat(F.lit(LINK_MARK), F.get(parts, F.lit(1)))).alias("url_ejercicio"),
-            F.col("r2")[F.lit(1)].alias("notas_ejercicio"),
-            F.lit(METRIC_KIND).alias("tipo_metrica"),
-            F.inline(sets),
-        )
-    )
+    labels = cells.filter(_is_micro(layout)).groupBy(*SHEET).agg(F.array_sort(F.collect_list(F.struct(
+        "row_idx", "col_idx", "value", F.lit(_MICRO).alias("bits")))).alias("marks"))
+    return _with_micros(labels).select(*SHEET, F.explode("micros").alias("m")).select(
+        *SHEET, F.col("m.name").alias("microciclo"), F.col("m.number").alias("numero_microciclo"),
+        F.col("m.col").alias("col_inicio"))
+
+
+def label_rows(cells: DataFrame, layout: Layout = LAYOUT) -> DataFrame:
+    """First row of each session label in each day block; null where it is missing, blocks without
+    any label left out."""
+    days = _with_labels(_with_days(_marks(cells, layout, _DAY | _ANY_LABEL), layout), layout)
+    rows = days.select(*SHEET, F.explode("days").alias("day")).select(
+        *SHEET, F.col("day.number").alias("numero_dia"), F.col("day.start").alias("fila_inicio"),
+        *(F.col(f"day.{label.lower()}").alias(f"fila_{label.lower()}") for label in SESSION_LABELS))
+    return rows.filter(F.coalesce(*(f"fila_{label.lower()}" for label in SESSION_LABELS)).isNotNull())
+
+
+def session_metadata(cells: DataFrame, layout: Layout = LAYOUT) -> DataFrame:
+    """Every day of a sheet under every microcycle, sets or not, values still texts."""
+    index = staged(sheet_index(cells, layout), "sheet-index")
+    every = index.select(*SHEET, "sheet_pos", F.explode("days").alias("d"), "micros").select(
+        *SHEET, "sheet_pos", "d", F.explode("micros").alias("m")).select(
+        *SHEET, "sheet_pos", F.col("d.start").alias("day_row"), F.col("d.number").alias("numero_dia"),
+        F.col("d.name").alias("nombre_dia"), F.col("m.col").alias("micro_col"), F.col("m.name").alias("microciclo"),
+        F.col("m.number").alias("numero_microciclo"))
+    return every.join(session_values(read_sheets(cells, index, layout)),
+                      [*SHEET, "day_row", "micro_col"], "left")
+
+
+def extract_sets(cells: DataFrame, layout: Layout = LAYOUT) -> DataFrame:
+    """All sets with reps, each with its exercise."""
+    index = staged(sheet_index(cells, layout), "sheet-index")
+    return sets_of(read_sheets(cells, index, layout))
