@@ -82,6 +82,12 @@ ID_COLUMNS = {
     "bronze_sesiones": "id", "bronze_series": "id", "silver_dim_ejercicios": "ejercicio_id",
     "silver_dim_fecha": "fecha_id", "silver_dim_plan": "plan_id", "silver_fact_series": "serie_id",
 }
+# Links that every loaded row has.
+LINK_COLUMNS = {"bronze_series": ["sesion_id"],
+                "silver_fact_series": ["sesion_id", "ejercicio_id", "plan_id"]}
 HOLDERS = _schema("athlete string, workbook string, held bigint, folder string, "
                   + ", ".join(f"top_{name} bigint" for name in ID_COLUMNS))
+# Per sheet the version and folder of its bronze rows, and the highest ids there.
+SHEET_HOLDERS = _schema("athlete string, sheet_name string, held bigint, folder string, "
+                        "top_bronze_sesiones bigint, top_bronze_series bigint")
 STREAM_TABLES = {**BRONZE_TABLES, **SILVER_TABLES, "rejects": REJECTS, "loads": LOADS}
