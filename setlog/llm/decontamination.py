@@ -80,17 +80,16 @@ def _aligned(docs: DataFrame, benchmark: DataFrame, window: int, stride: int, li
         wanted = F.broadcast(wanted)
     texts = docs.filter("text is not null").select(
         F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
-    # A small benchmark is probed where the text is at hand; else places alone move.
-    kept = ["key", "doc_id", "text"] if few else ["key", "doc_id"]
+    # Windows unfold without their text, which would be copied for each; texts join the few that hit.
     found = texts.withColumn("t", template(F.col("text"))).select(
-        *kept, F.inline(windows("t", stride, window)).alias("place", "hash"))
-    hits = found.join(wanted, "hash").withColumn("shift", F.col("place") - F.col("at"))
-    if not few:
-        hits = hits.select("key", "doc_id", "item_id", "shift").distinct().join(
-            texts.select("key", "text"), "key")
+        "key", "doc_id", F.inline(windows("t", stride, window)).alias("place", "hash"))
+    hits = staged(found.join(wanted, "hash").select(
+        "key", "doc_id", "item_id", (F.col("place") - F.col("at")).alias("shift")).distinct(), "benchmark-shifts")
+    valued_texts = texts.join(hits.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"]).select(
+        "key", valued(F.col("text")).alias("words"))
+    hits = hits.join(valued_texts, "key")
     lo = "greatest(0, -shift)"
-    return hits.join(items if not few else F.broadcast(items), "item_id").withColumn(
-        "words", valued(F.col("text"))).select(
+    return hits.join(items if not few else F.broadcast(items), "item_id").select(
         "key", "doc_id", "item_id", "shift", F.size("item_words").alias("n_words"), F.expr(
             f"slice(words, {lo} + shift + 1, least(size(item_words), size(words) - shift) - {lo})"
         ).alias("mine"), F.expr(
