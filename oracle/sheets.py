@@ -56,7 +56,16 @@ rows_of AS (
   FROM linked l JOIN (SELECT id AS sesion_id, fecha FROM sesiones) s USING (sesion_id)
   WHERE trim(nombre_ejercicio) NOT IN ('', 'nan'))"""
 
-CELLS = """
+BEYOND = """
+beyond AS (
+  SELECT workbook, sheet_name, sheet_pos, x.r, x.c, x.v, x.motivo FROM sheets, (VALUES
+    (2, 60, 'RPE', 'etiqueta'), (40, 8, 'MICROCICLO 9', 'microciclo'), (178, 0, 'F', 'ejercicio'),
+    (190, 3, 'fin', 'fila')) AS x(r, c, v, motivo) WHERE sheet_name LIKE 'Meso 5%'
+  UNION ALL
+  SELECT workbook, sheet_name, sheet_pos, 11, 43, '9', 'serie' FROM exer
+  WHERE d = 1 AND letter = 'A' AND sheet_name LIKE 'Meso 5%')"""
+
+CELLS = BEYOND + """,
 cells AS (
   SELECT workbook, sheet_name, sheet_pos, (d - 1) * 40 + 10 + (ascii(letter) - 65) * 4 + x.dr AS r,
          7 + (m - 1) * 6 + k - 1 AS c, x.v AS value
@@ -77,6 +86,8 @@ cells AS (
   UNION ALL
   SELECT workbook, sheet_name, sheet_pos, 0, 7 + 6 * CAST(x.m AS INTEGER), 'x' FROM sheets, range(0, 6) AS x(m)
   UNION ALL
+  SELECT workbook, sheet_name, sheet_pos, r, c, v FROM beyond
+  UNION ALL
   SELECT DISTINCT workbook, y.n, y.p, 0, 0, 'x' FROM sheets,
     (VALUES ('Resumen', 0), ('Notas', 12)) AS y(n, p))"""
 
@@ -126,7 +137,7 @@ FROM orders GROUP BY o_custkey""",
     "grid_days": sheets("""
 SELECT workbook, sheet_name, 'DÍA ' || CAST(d + 1 AS VARCHAR) AS nombre_dia,
        CAST(d + 1 AS INTEGER) AS numero_dia, CAST(d * 40 AS INTEGER) AS fila_inicio,
-       CAST(d * 40 + 39 AS INTEGER) AS fila_fin
+       CAST(CASE WHEN d = 3 AND sheet_name LIKE 'Meso 5%' THEN 180 ELSE d * 40 + 39 END AS INTEGER) AS fila_fin
 FROM sheets, range(0, 4) AS x(d)"""),
     "grid_micros": sheets("""
 SELECT workbook, sheet_name, 'MICROCICLO ' || CAST(m + 1 AS VARCHAR) AS microciclo,
@@ -148,6 +159,21 @@ SELECT h.workbook, h.sheet_name, h.sheet_pos, CAST(x.d AS INTEGER) AS numero_dia
        CAST(ok % 10 + 1 AS VARCHAR) AS rpe_sesion
 FROM sheets h CROSS JOIN range(1, 5) AS x(d) CROSS JOIN range(1, 7) AS y(m)
 LEFT JOIN sess s ON s.workbook = h.workbook AND s.sheet_name = h.sheet_name AND s.d = x.d AND s.m = y.m"""),
+    "grid_cuts": sheets("""
+SELECT workbook, sheet_name, r AS row_idx, c AS col_idx, v AS value, motivo FROM beyond""", BEYOND),
+    "load_verification": sheets("""
+SELECT * FROM (VALUES
+  ('bronze_sesiones', (SELECT count(*) FROM sesiones)), ('bronze_series', (SELECT count(*) FROM linked)),
+  ('silver_fact_series', (SELECT count(*) FROM rows_of)),
+  ('silver_dim_ejercicios', (SELECT count(DISTINCT (athlete, nombre)) FROM rows_of)),
+  ('silver_dim_fecha', (SELECT count(DISTINCT (athlete, fecha)) FROM sesiones WHERE fecha IS NOT NULL)),
+  ('silver_dim_plan', (SELECT count(DISTINCT (athlete, sheet_name, numero_dia, numero_microciclo)) FROM sesiones)),
+  ('rejects', (SELECT count(*) FROM bad)), ('loads', (SELECT count(DISTINCT workbook) FROM sheets)),
+  ('holders', (SELECT count(DISTINCT workbook) FROM sheets))) AS t("table", rows), (SELECT 0::BIGINT AS missing)"""),
+    "bronze_clean": bronze("""
+SELECT * FROM (VALUES ('antes', 'bronze_sesiones', (SELECT count(*) FROM ses)),
+                      ('antes', 'bronze_series', (SELECT count(*) FROM ser)),
+                      ('limpio', 'bronze_sesiones', 0), ('limpio', 'bronze_series', 0)) AS t(estado, tabla, filas)"""),
     "grid_sessions": sheets("SELECT * FROM sesiones"),
     "grid_series": sheets("SELECT * FROM linked"),
     "sheet_rejects": sheets("SELECT athlete, sheet_name, 'prs_pre_sesion' AS reason, cells FROM bad"),

@@ -6,14 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from setlog.operators import grid
-from setlog.operators.ids import append_with_ids
+from setlog.operators.ids import append_with_ids, staged
 from setlog.plans import analytics, bronze, filters, metrics, profile, silver
 from setlog.plans.filters import Filters
 from setlog.plans.reload import reload_sheets
 from setlog.session import fresh_path
 from setlog.sources import cells as cell_tables
-from setlog.sources import order_tables, workspace
-from setlog.sources.silver_store import read_bronze, read_silver, write_silver
+from setlog.sources import order_tables, versions, workspace
+from setlog.sources.silver_store import (
+    clean_bronze, read_bronze, read_silver, verify_bronze, write_bronze, write_silver,
+)
 from setlog.streaming.snapshots import live_star, load_new
 
 EXERCISE = "red widget"
@@ -89,10 +91,10 @@ def _share_by_exercise(star) -> DataFrame:
                          F.round("pct", 9).alias("pct"))
 
 
-def _incremental_load(spark: SparkSession, folder: str) -> DataFrame:
-    """Two deliveries of training sheets: first everyone's; then new workbooks of one
+def _loads(spark: SparkSession, folder: str) -> str:
+    """A store after two deliveries of training sheets: first everyone's; then new workbooks of one
     market segment, without their last sheet, beside outdated workbooks of the others."""
-    def load() -> DataFrame:
+    def load() -> str:
         root = fresh_path(spark, "loads")
         landing, store = f"{root}/landing", f"{root}/store"
         cells = workspace.cells(spark, folder)
@@ -112,10 +114,32 @@ def _incremental_load(spark: SparkSession, folder: str) -> DataFrame:
             F.col("sheet_name") == "Meso 1-URGENT").withColumn(
                 "workbook", F.concat(F.lit("20231231"), F.substring("workbook", 9, 100)))
         deliver(newer.unionByName(outdated), "second")
-        return metrics.mesocycle_volume(live_star(spark, store))
+        return store
     return workspace.once(spark, folder, "incremental", load)
 
 
+def _incremental_load(spark: SparkSession, folder: str) -> DataFrame:
+    return metrics.mesocycle_volume(live_star(spark, _loads(spark, folder)))
+
+
+def _load_verification(spark: SparkSession, folder: str) -> DataFrame:
+    """What was counted and compared while the first delivery was written."""
+    return versions.checks(spark, _loads(spark, folder)).filter("version = 1").drop("version")
+
+
+def _bronze_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of stored bronze tables before and after they are emptied."""
+    root, out = fresh_path(spark, "clean"), []
+
+    def counted(state: str) -> DataFrame:
+        return verify_bronze(spark, root).filter("table like 'bronze%'").select(
+            F.lit(state).alias("estado"), F.col("table").alias("tabla"), F.col("rows").alias("filas"))
+    write_bronze(*workspace.bronze(spark, folder), root)
+    out = staged(counted("antes"), "before-clean")
+    clean_bronze(spark, root)
+    return out.unionByName(counted("limpio"))
+
+
 def _sheet_counts(series: DataFrame) -> DataFrame:
     return series.groupBy("athlete", "sheet_name").agg(
         F.count("*").alias("series"), F.countDistinct("id").alias("ids"),
@@ -231,6 +255,7 @@ QUERIES = {
     "grid_days": _on_cells(lambda c: grid.detect_days(cell_tables.meso_sheets(c))),
     "grid_micros": _on_cells(lambda c: grid.detect_microcycles(cell_tables.meso_sheets(c))),
     "grid_labels": _on_cells(lambda c: grid.label_rows(cell_tables.meso_sheets(c))),
+    "grid_cuts": _on_cells(lambda c: grid.grid_cuts(cell_tables.meso_sheets(c))),
     "grid_session_values": _on_cells(
         lambda c: grid.session_metadata(cell_tables.meso_sheets(c)).drop("day_row", "micro_col")),
     "grid_sessions": _sheet_sessions,
@@ -240,7 +265,9 @@ QUERIES = {
     "sheet_replace": _on_bronze(_sheet_replace),
     "append_ids": _append_ids,
     "incremental_load": _incremental_load,
+    "load_verification": _load_verification,
     "sheet_reload": _sheet_reload,
+    "bronze_clean": _bronze_clean,
     "position_load": _on_cells(_position_load),
     # All athletes' sheets to metrics.
     "athlete_kpis": _athletes(metrics.kpis),

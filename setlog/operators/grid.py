@@ -291,3 +291,40 @@ def extract_sets(cells: DataFrame, layout: Layout = LAYOUT) -> DataFrame:
     """All sets with reps, each with its exercise."""
     index = staged(sheet_index(cells, layout), "sheet-index")
     return sets_of(read_sheets(cells, index, layout))
+
+
+def grid_cuts(cells: DataFrame, layout: Layout = LAYOUT) -> DataFrame:
+    """Cells that the layout's limits leave out, by address and reason (``motivo``).
+
+    ``microciclo``: a microcycle label below the header rows or beside their columns; ``etiqueta``: a
+    session label right of the label columns, or below the label rows of a day that has none
+    of its kind above; ``fila``: anything below the last day's rows; ``ejercicio``: a letter whose four
+    rows don't end before the day does; ``serie``: reps right of a microcycle's last set. A
+    cell can be listed for more than one reason; sheets without marks have no layout to be cut by.
+    """
+    index = staged(sheet_index(cells, layout), "sheet-index").select(
+        *SHEET, "days", "micros", F.expr(_DAY_AT).alias("day_at"), F.expr(_EXERCISE_AT).alias("exercise_at"),
+        F.expr(_micro_at(layout)).alias("micro_at"))
+    rows = cells.filter(F.col("value").isNotNull()).select(*SHEET, "row_idx", "col_idx", "value")
+    text, row, col = F.upper("value"), F.col("row_idx"), F.col("col_idx")
+    placed = _at_index(rows, index).select(
+        *SHEET, "row_idx", "col_idx", "value", "micros",
+        F.get("days", F.get("day_at", row)).alias("day"), F.get("exercise_at", row).alias("exercise"),
+        F.get("micros", F.get("micro_at", F.least(col, F.lit(layout.last_col)))).alias("micro"))
+    day = F.col("day")
+    below = row >= day["start"] + layout.label_rows
+    missed = F.lit(False)
+    for label in SESSION_LABELS:
+        has = text.contains(label)
+        missed = missed | (has & (col >= layout.label_end_col)) | (
+            has & (col >= layout.label_first_col) & below & (row < day["end"]) & day[label.lower()].isNull())
+    reasons = {
+        "microciclo": text.contains(MICRO_MARK) & ~_is_micro(layout),
+        "etiqueta": missed,
+        "fila": row > day["end"],
+        "ejercicio": (col == 0) & F.col("value").isin(*BLOCK_LETTERS) & (row >= day["end"] - 3) & (row <= day["end"]),
+        "serie": (row == F.col("exercise") + 1) & (F.col("exercise") >= 0)
+        & (col - F.col("micro")["col"] >= layout.sets),
+    }
+    return placed.select(*SHEET, "row_idx", "col_idx", "value", F.explode(F.array_compact(F.array(*(
+        F.when(test, F.lit(name)) for name, test in reasons.items())))).alias("motivo"))

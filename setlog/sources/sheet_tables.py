@@ -84,11 +84,18 @@ def sheet_cells(sets: DataFrame) -> DataFrame:
     micros = sheets.withColumn("micro", F.explode(F.sequence(F.lit(1), F.lit(6))))
     micro_cells = _cells(
         micros, _cell(F.lit(0), left, F.concat(F.lit("MICROCICLO "), F.col("micro"))))
+    # Sheets of the last priority also hold what the layout leaves out.
+    beyond = _cells(
+        sheets.filter("sheet_name like 'Meso 5%'"),
+        *(_cell(F.lit(r), c, F.lit(v)) for r, c, v in (
+            (2, 60, "RPE"), (40, 8, "MICROCICLO 9"), (178, 0, "F"), (190, 3, "fin"))))
+    sixth = _cells(sets.filter("sheet_name like 'Meso 5%' and day = 1 and letter = 'A'").select(*sheet).distinct(),
+                   _cell(F.lit(11), 43, F.lit("9")))
     others = F.inline(F.array(*(F.struct(F.lit(name).alias("sheet_name"), F.lit(pos).alias("sheet_pos"))
                                 for name, pos in (("Resumen", 0), ("Notas", 12)))))
     titles = sheets.select("workbook").distinct().select("workbook", others).select(
         "*", F.lit(0).alias("row_idx"), F.lit(0).alias("col_idx"), F.col("sheet_name").alias("value"))
     cells = set_cells
-    for more in (dose_cells, exercise_cells, session_cells, day_cells, micro_cells, titles):
+    for more in (dose_cells, exercise_cells, session_cells, day_cells, micro_cells, beyond, sixth, titles):
         cells = cells.unionByName(more)
     return cells.withColumn("value_type", F.lit("str"))

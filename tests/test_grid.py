@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 
+from setlog.functions.layout import Layout
 from setlog.operators import grid
 from setlog.plans.bronze import extract_bronze
 from setlog.sources.cells import (
@@ -166,3 +167,16 @@ def test_latest_snapshot(spark):
         [("20240101Ana.xlsx",), ("20240301Ana.xlsx",), ("20240201Eva Paz.xlsx",)], "workbook string")
     assert sorted(as_rows(latest_snapshot(names))) == [
         ("Ana", "20240301Ana.xlsx"), ("Eva Paz", "20240201Eva Paz.xlsx")]
+
+
+def test_cuts_are_listed_and_a_wider_layout_takes_them(spark):
+    sheet = {**header("MICROCICLO 1"), **day(letter_rows=(10, 36)), (40, 8): "MICROCICLO 2", (2, 60): "RPE",
+             (11, 12): "6", (11, 6): "no set", (99, 3): "x"}
+    sheet.update({(40, 0): "DÍA 2", (57, 1): "PRS", (90, 0): "B", (104, 2): "y"})
+    cut = sorted(as_rows(grid.grid_cuts(cells(spark, sheet)), "row_idx", "col_idx", "motivo"))
+    assert cut == [(2, 60, "etiqueta"), (11, 12, "serie"), (36, 0, "ejercicio"), (40, 8, "microciclo"),
+                   (57, 1, "etiqueta"), (104, 2, "fila")]
+    wide = Layout(label_end_col=100, label_rows=30, last_day_rows=90, sets=6, header_rows=50)
+    assert sorted(as_rows(grid.grid_cuts(cells(spark, sheet), wide), "row_idx", "motivo")) == [(36, "ejercicio")]
+    found = grid.extract_sets(cells(spark, sheet), wide)
+    assert (10, 6, "6") in as_rows(found, "row_idx", "numero_serie", "repeticiones")
