@@ -270,6 +270,19 @@ CROSS JOIN (SELECT DISTINCT semana FROM wide WHERE fecha IS NOT NULL) w
 LEFT JOIN freq f ON f.nombre_dia_semana = d.nombre
   AND CAST(f.anio AS VARCHAR) || '-S' || lpad(CAST(f.semana_anio AS VARCHAR), 2, '0') = w.semana
 GROUP BY d.orden, d.nombre, w.semana""", _FREQ),
+    "calendar_wide": star("""
+SELECT CAST((dia_semana + 6) % 7 AS INTEGER) AS orden, nombre_dia_semana, """ + ", ".join(
+        f"CAST(coalesce(sum(series) FILTER (CAST(anio AS VARCHAR) || '-S' || "
+        f"lpad(CAST(semana_anio AS VARCHAR), 2, '0') = '{week}'), 0) AS BIGINT) AS \"{week}\""
+        for week in ("1997-S01", "1997-S02", "1998-S30")) + """
+FROM freq GROUP BY 1, 2""", _FREQ),
+    "describe_fact": """
+SELECT CAST(row_number() OVER () AS INTEGER) AS posicion, columna, tipo FROM (VALUES
+  ('athlete', 'string'), ('serie_id', 'bigint'), ('sesion_id', 'bigint'), ('ejercicio_id', 'bigint'),
+  ('fecha_id', 'bigint'), ('plan_id', 'bigint'), ('grupo_ejercicio', 'string'), ('numero_serie', 'int'),
+  ('repeticiones_ejecutadas', 'int'), ('repeticiones_texto', 'string'), ('carga_kg', 'decimal(6,2)'),
+  ('rir_rpe', 'int'), ('tipo_metrica', 'string'), ('dosis_prescrita', 'string'), ('notas', 'string'),
+  ('fecha', 'date'), ('fecha_carga', 'timestamp'), ('mesociclo', 'string')) AS t(columna, tipo)""",
     "group_share_others": star("""
 SELECT CASE WHEN pct < 0.02 THEN 'Otros' ELSE tipo_ejercicio END AS tipo_ejercicio,
        sum(volumen) AS volumen, sum(pct) AS pct

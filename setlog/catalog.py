@@ -19,6 +19,7 @@ from setlog.sources.silver_store import (
 from setlog.streaming.snapshots import live_star, load_new
 
 EXERCISE = "red widget"
+WEEKS = ("1997-S01", "1997-S02", "1998-S30")
 SOME = Filters(
     mesociclos=("1-URGENT", "2-HIGH"),
     tipos=("ECONOMY", "PROMO"),
@@ -321,6 +322,8 @@ QUERIES = {
     "best_worst_month": _freq(analytics.best_worst_month),
     "days_per_week_avg": _freq(analytics.days_per_week),
     "calendar_heatmap": _freq(analytics.calendar_heatmap),
+    "calendar_wide": _freq(lambda f: analytics.calendar_heatmap_wide(f, list(WEEKS))),
+    "describe_fact": lambda spark, folder: profile.describe(workspace.star(spark, folder).fact),
     "group_share_others": _on_star(
         lambda s: analytics.share_with_others(metrics.group_distribution(s))),
     "share_by_exercise": _on_star(_share_by_exercise),

@@ -172,16 +172,18 @@ def load_trend(best_sets: DataFrame, by: tuple[str, ...] = ("athlete",)) -> Data
 
     Groups of under three points, or under two with a load, have no line.
     """
+    # The line's sums run over the same window as the index: one shuffle, one sort, no second pass.
     mine = Window.partitionBy(*by)
-    points = best_sets.withColumn(
-        "indice", F.row_number().over(mine.orderBy("fecha", "mesociclo")) - 1)
-    fit = points.groupBy(*by).agg(
-        F.count("*").alias("_points"), F.count("carga_kg").alias("_loaded"),
-        F.regr_slope("carga_kg", "indice").alias("pendiente"),
-        F.regr_intercept("carga_kg", "indice").alias("ordenada"),
-    ).filter("_points >= 3 and _loaded >= 2").drop("_points", "_loaded")
-    return points.join(fit, list(by)).withColumn(
-        "tendencia", F.col("ordenada") + F.col("pendiente") * F.col("indice"))
+    return (
+        best_sets.withColumn("indice", F.row_number().over(mine.orderBy("fecha", "mesociclo")) - 1)
+        .withColumns({
+            "_points": F.count("*").over(mine), "_loaded": F.count("carga_kg").over(mine),
+            "pendiente": F.regr_slope("carga_kg", "indice").over(mine),
+            "ordenada": F.regr_intercept("carga_kg", "indice").over(mine),
+        })
+        .filter("_points >= 3 and _loaded >= 2").drop("_points", "_loaded")
+        .withColumn("tendencia", F.col("ordenada") + F.col("pendiente") * F.col("indice"))
+    )
 
 
 def top_records(records: DataFrame, n: int = TOP_RECORDS) -> DataFrame:
