@@ -10,6 +10,7 @@ a page's words.
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +24,8 @@ TOKEN = re.compile(
     r"|<(?P<close2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest2>[^>]*)(?:>|\Z)", re.DOTALL)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|\b(hidden)\b")
 RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "xmp"}
+#: Where a raw element ends, in the page itself: lower case may be longer.
+RAW_END = {tag: re.compile(f"</{tag}", re.IGNORECASE | re.ASCII) for tag in RAW}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
         "track", "wbr"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog",
@@ -73,7 +76,7 @@ def _marked(rest: str, in_region: bool) -> bool:
 
 def tokens(page: str):
     """("word run", text) and ("open" or "close", tag, attributes) in page order."""
-    at, low = 0, None
+    at = 0
     for m in iter(lambda: TOKEN.search(page, at), None):
         if m.start() > at:
             yield "text", page[at:m.start()], ""
@@ -85,9 +88,8 @@ def tokens(page: str):
         close = m["close"] or m["close2"]
         yield ("close" if close else "open"), tag, m["rest"] or m["rest2"] or ""
         if not close and tag in RAW:
-            low = low if low is not None else page.lower()
-            end = low.find(f"</{tag}", at)
-            at = len(page) if end < 0 else end
+            end = RAW_END[tag].search(page, at)
+            at = end.start() if end else len(page)
     if at < len(page):
         yield "text", page[at:], ""
 
@@ -108,11 +110,16 @@ def events(page: str | None):
 
 def _events(page: str, passed_over: set[str]):
     stack: list[tuple[str, bool]] = []
+    blocks: list[str] = []  # those of the stack's tags that are blocks
+    held = Counter()  # tags on the stack
     dropped, regions = 0, 0
 
     def pop() -> None:
         nonlocal dropped, regions
         tag, out = stack.pop()
+        held[tag] -= 1
+        if tag in BLOCKS:
+            blocks.pop()
         dropped -= out
         regions -= tag in REGIONS
 
@@ -123,7 +130,7 @@ def _events(page: str, passed_over: set[str]):
     for kind, what, rest in tokens(page):
         # Text or a block ends a head that isn't closed.
         if stack and ((kind == "text" and stack[-1][0] == "head" and what.strip()) or (
-                kind == "open" and what in BLOCKS and any(t == "head" for t, _ in stack))):
+                kind == "open" and what in BLOCKS and held["head"])):
             while stack[-1][0] != "head":
                 pop()
             pop()
@@ -131,13 +138,12 @@ def _events(page: str, passed_over: set[str]):
             if dropped:
                 continue
             ws = html.unescape(what)
-            inner = next((t for t, _ in reversed(stack) if t in BLOCKS), "body")
+            inner = blocks[-1] if blocks else "body"
             anchored = any(t == "a" for t, _ in stack[-3:])
             yield "words", ws, "a" if anchored else inner, regions > 0
             continue
         if kind == "close":
-            names = [t for t, _ in stack]
-            if what not in names:
+            if not held[what]:
                 continue
             was = dropped
             while stack[-1][0] != what:
@@ -150,12 +156,10 @@ def _events(page: str, passed_over: set[str]):
                 if what in BLOCKS:
                     yield "break", "", "", False
             continue
-        if what in CLOSES_P and stack:
-            names = [t for t, _ in stack]
-            if "p" in names and not (set(names[len(names) - names[::-1].index("p"):]) & BLOCKS):
-                while stack[-1][0] != "p":
-                    pop()
+        if what in CLOSES_P and blocks and blocks[-1] == "p":
+            while stack[-1][0] != "p":
                 pop()
+            pop()
         if what == "li" and stack and stack[-1][0] == "li":
             pop()
         out = what in passed_over or what in RAW or (
@@ -172,6 +176,9 @@ def _events(page: str, passed_over: set[str]):
                 yield "words", " ", "", regions > 0
         if what not in VOID:
             stack.append((what, out))
+            held[what] += 1
+            if what in BLOCKS:
+                blocks.append(what)
             dropped += out
             regions += what in REGIONS
 
