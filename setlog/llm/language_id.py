@@ -11,13 +11,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from setlog.llm import lanes
-from setlog.llm.text import id_remainder, small
+from setlog.llm.text import id_remainder, small, staged
 
-FIT_DOCS = 64  # documents sampled for a language's automaton, about
+FIT_DOCS = 64  # documents sampled for a language's automaton, at most
 CELLS = 16_000_000  # states x letters over all languages, beyond which moves are hashed
 PAD, BREAK, OTHER = 0, 1, 2
 UNKNOWN = "und"
@@ -196,12 +196,31 @@ def fit(texts: dict[str, list[str]]) -> Model:
 
 
 def sample(rows: DataFrame) -> dict[str, list[str]]:
-    """Per language about ``FIT_DOCS`` labelled texts, chosen by a hash of id and text."""
-    share = rows.groupBy("lang").agg((FIT_DOCS / F.count("*")).alias("share"))
-    chosen = rows.join(share, "lang").filter(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    """Per language the ``FIT_DOCS`` labelled texts (all, if fewer) whose hash of id and text is least.
+
+    Every task names the least hashes of its rows, so that those alone move, whatever the number of
+    rows; then the texts they stand for are read. Rows alike in id and text count once.
+    """
+    hashed = rows.select("lang", F.xxhash64("doc_id", "text").alias("hash"), "text")
+
+    def least(batches):
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            hashes, lang = batch.column("hash").to_numpy(), batch.column("lang").dictionary_encode()
+            codes = lang.indices.to_numpy()
+            for k, name in enumerate(lang.dictionary.to_pylist()):
+                both = np.concatenate([held.get(name, hashes[:0]), hashes[codes == k]])
+                held[name] = np.unique(both)[:FIT_DOCS]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([name for name, x in held.items() for _ in x], pa.string()),
+             pa.array([h for x in held.values() for h in x.tolist()], pa.int64())], ["lang", "hash"])
+    named = hashed.select("lang", "hash").mapInArrow(least, "lang string, hash long").distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("hash"))
+    # At most FIT_DOCS hashes a language.
+    chosen = staged(named.withColumn("place", place).filter(F.col("place") <= FIT_DOCS).drop("place"), "sampled")
+    texts = hashed.join(F.broadcast(chosen), ["lang", "hash"]).dropDuplicates(["lang", "hash"])
     out: dict[str, list[str]] = {}
-    for lang, text in chosen.select("lang", "text").orderBy("lang", F.xxhash64("text"), "text").collect():
+    for lang, text in texts.select("lang", "text").orderBy("lang", F.xxhash64("text"), "text").collect():
         out.setdefault(lang, []).append(text)
     return out
 
