@@ -6,6 +6,8 @@ import hashlib
 import json
 import math
 import random
+import string
+import time
 import zlib
 
 import numpy as np
@@ -381,6 +383,90 @@ def test_confirmed_secrets(spark):
         assert all(t[a:b].strip() == t[a:b] for _, a, b in got)
 
 
+def test_glued_and_wrapped_secrets():
+    number = der(2, bytes(range(1, 65)))
+    rsa = der(0x30, der(2, b"\0") + number * 8)
+    field = lambda x: len(x).to_bytes(4, "big") + x
+    ssh = secret_scan.SSH_MAGIC + field(b"none") * 2 + field(b"") + b"\0\0\0\1" + field(b"p" * 51) + field(b"k" * 136)
+    for data in (rsa, ssh, rsa[:1] + b"\x82" + (len(rsa) - 4).to_bytes(2, "big") + rsa[4:]):
+        coded = base64.b64encode(data).decode()
+        lines = base64.encodebytes(data).decode().strip()
+        for before in ("", "é backup/", "key-", "x_", "a+b/"):
+            for after in (" end", "", "/x", ".", " = y"):
+                t = before + coded + after
+                assert [t[a:b].rstrip("=") for k, a, b in secret_scan.spans(t) if k == "key"] == [coded.rstrip("=")] or (
+                    after == "/x" and not coded.endswith("="))
+            for body in (lines, lines.replace("\n", "\r\n  "), lines.replace("\n", "\\n")):
+                for after in ("", "\n", "\nand more words", " ."):
+                    t = before + body + after
+                    assert [t[a:b] for k, a, b in secret_scan.spans(t) if k == "key"] == [body], t
+        t = "Key-of-" + "A" * 40 + "\n" + lines
+        assert [t[a:b] for k, a, b in secret_scan.spans(t) if k == "key"] == [lines]
+        assert not secret_scan.spans(f"x/{coded[:-9]}") and (data is ssh or not secret_scan.spans(lines[:-9]))
+    mark = "-----{} RSA PRIVATE KEY-----"
+    for headers, body, kinds in (
+            ("Comment: mine\n\n", base64.encodebytes(rsa).decode(), ["pem"]),
+            ("Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n",
+             base64.encodebytes(bytes(range(160))).decode(), ["pem"]),
+            ("Comment: mine\n\n", base64.encodebytes(bytes(range(160))).decode(), [])):
+        t = f"a {mark.format('BEGIN')}\n{headers}{body}{mark.format('END')} b"
+        assert [k for k, a, b in secret_scan.spans(t) if k in ("pem", "key")] == kinds
+    for hostile in ("/MIIEpQIBAAKCAQEA" * 30_000, "/b3BlbnNzaC1rZXktdjE" * 30_000, ("A" * 40 + "\n") * 20_000,
+                    (mark.format("BEGIN") + "\nA: b") * 10_000):
+        began = time.monotonic()
+        secret_scan.spans(hostile)
+        assert time.monotonic() - began < 20
+
+
+def test_base_spans_are_those_of_a_plain_reading():
+    rng, letters = random.Random(31), string.ascii_letters + string.digits
+
+    def by_hand(t):
+        found, at = [], 0
+        names = ("password", "passwd", "secret", "token", "api_key", "apikey")
+        lower = "".join(c.lower() if c in string.ascii_letters else c for c in t)
+        while at < len(t):
+            name = next((n for n in names if lower.startswith(n, at)), None)
+            end = at + len(name) if name else at
+            end += t[end:end + 1] in ("'", '"') if name else 0
+            while name and t[end:end + 1] == " ":
+                end += 1
+            if not name or t[end:end + 1] not in (":", "="):
+                at += 1
+                continue
+            end += 1
+            while t[end:end + 1] == " ":
+                end += 1
+            end += t[end:end + 1] in ("'", '"') and t[end:end + 1] != ""
+            first = end
+            while t[end:end + 1] and t[end] in letters + "+/_.=-":
+                end += 1
+            if end == first:
+                at += 1
+                continue
+            if end - first >= 6:
+                found.append(("assign", at, end))
+            at = end
+        for kind, start, alphabet, least in (("access", "AKIA", string.ascii_uppercase + string.digits, 20),
+                                             ("hex", "", "0123456789abcdef", 24)):
+            at = 0
+            while at < len(t):
+                end = at + len(start) if t.startswith(start, at) else at
+                body = end
+                while (end > at or not start) and end < len(t) and t[end] in alphabet:
+                    end += 1
+                if end > body and end - at >= least:
+                    found.append((kind, at, end))
+                at = end if end > body else at + 1
+        return found
+    parts = ["password", "Token", "API_KEY", "apikey", "secret", "passwd", ":", "=", " ", "'", '"', "AKIA", "\n", "é",
+             "abc.123", "x", "0a" * 12, "Z9" * 8, "deadbeef" * 3]
+    for _ in range(3000):
+        t = "".join(rng.choices(parts, k=rng.randrange(1, 14)))
+        got = [s for s in secret_scan.spans(t) if s[0] in secret_scan.BASE_KINDS]
+        assert sorted(got) == sorted(by_hand(t)), t
+
+
 def test_reparameterised_questions(spark, monkeypatch):
     benchmark = spark.createDataFrame(
         [(1, "Yesterday a farmer called Anna sold 12 apples for 30 cents and bought 12 pears from Ben.")],
@@ -437,6 +523,51 @@ def test_hashed_moves_are_those_of_the_table():
     assert np.array_equal(dense, thin)
 
 
+def test_raw_tags_after_letters_that_grow_in_lower_case():
+    own = " ".join(f"word{k}" for k in range(40))
+    page = f"<h1>The long title of \u0130</h1><script>if (a) x('<p>')</SCRIPT><p>{own}</p><style>p</style>"
+    assert html_extraction.main_text(page, {}) == f"The long title of \u0130\n{own}"
+
+
+def test_the_region_is_the_best_of_all():
+    rng = random.Random(32)
+    names = ["div", "p", "article", "section", "h2", "li"]  # blocks, as a region ends with its block
+    for _ in range(300):
+        parts = [rng.choice([f"<{rng.choice(names)}>", f"</{rng.choice(names)}>", f" w{k} " * rng.randrange(1, 4)])
+                 for k in range(rng.randrange(1, 30))]
+        page = "".join(parts)
+        weights = {html_extraction.feature(kind, n): rng.choice([0.25, 0.5, 1.0]) if kind == "word" else
+                   -rng.choice([0.25, 1.0, 2.0, 3.0]) for kind in ("word", "tag") for n in [*names, "body"]}
+        items = [(sum(1 for _ in what.split()) * weights.get(html_extraction.feature("word", where), html_extraction.UNKNOWN)
+                  if kind == "words" else html_extraction.PASSED if kind == "passed" else
+                  weights.get(html_extraction.feature("tag", what), -html_extraction.UNKNOWN),
+                  what.split() if kind == "words" else [])
+                 for kind, what, where, _ in html_extraction.events(page) if kind != "break"]
+        best = max([0.0] + [sum(x for x, _ in items[a:b]) for a in range(len(items)) for b in range(a + 1, len(items) + 1)])
+        regions = [[w for _, ws in items[a:b] for w in ws] for a in range(len(items)) for b in range(a + 1, len(items) + 1)
+                   if sum(x for x, _ in items[a:b]) == best]
+        got = html_extraction.main_text(page, weights).split()
+        assert got in regions or (best == 0 and not got), page
+
+
+def test_deep_and_unclosed_tags_take_linear_time():
+    for page in ("<div>" * 60_000 + "word " * 50, "<b><p>x" * 30_000, "<p></i>" * 60_000):
+        began = time.monotonic()
+        html_extraction.main_text(page, {})
+        assert time.monotonic() - began < 10
+
+
+def test_learning_texts_are_the_least_hashes_of_each_language(spark):
+    rows = [(i, f"text {i} of", "ab"[i % 2]) for i in range(400)] + [(7, "same", "a")] * 300 + [(9, "only", "c")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7)
+    got = language_id.sample(docs)
+    by_lang = collections.defaultdict(set)
+    for r in docs.selectExpr("lang", "text", "xxhash64(doc_id, text) as h").collect():
+        by_lang[r.lang].add((r.h, r.text))
+    assert {k: sorted(v) for k, v in got.items()} == {
+        k: sorted(t for _, t in sorted(v)[:language_id.FIT_DOCS]) for k, v in by_lang.items()}
+
+
 @pytest.mark.parametrize("page, text", [
     ("<body><article><h2>The first of two</h2><p>{0}</p></article><article><h2>Then the second one</h2><p>{0}</p></article></body>",
      "The first of two\n{0}\nThen the second one\n{0}"),
