@@ -33,7 +33,8 @@ HEX_ANY = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
 CODED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{32,}={0,2}")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{12,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 BREAK = r"(?:\s|\\[nr])"
-PEM = re.compile(rf"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:{BREAK}*+[A-Za-z][A-Za-z0-9-]*+:[^\n\\]*+)*+)"
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----"
+                 rf"((?:{BREAK}*+[A-Za-z][A-Za-z0-9-]*+:(?:(?!-----)[^\n\\])*+)*+)"
                  r"([A-Za-z0-9+/=\s\\]*)-----END \1-----")
 DEK = re.compile(r"DEK-Info:[ \t]*[A-Za-z0-9-]+,[0-9A-Fa-f]{16,}")
 #: Encoded lines, all but the last of ``CODED_MIN`` characters or more.
