@@ -150,9 +150,9 @@ def _decontamination_sql() -> str:
         return (f"list_filter(regexp_split_to_array(lower({out}), '{d.SPACE}+'), lambda w: w <> '')")
     marks = ", ".join(f"'{m}'" for m in d.MARKS)
 
-    def windows(source: str, ids: str, step: int) -> str:
+    def windows(source: str, ids: str) -> str:
         return (f"select {ids}, p, t[p + 1:p + {d.WINDOW}] as w from (select {ids}, t, "
-                f"unnest(range(0, len(t) - {d.WINDOW} + 1, {step})) as p from {source}) "
+                f"unnest(range(0, len(t) - {d.WINDOW} + 1)) as p from {source}) "
                 f"where len(list_filter(t[p + 1:p + {d.WINDOW}], lambda x: x not in ({marks}))) "
                 f">= {d.LITERALS}")
     return f"""
@@ -162,20 +162,32 @@ it as (select *, list_transform(iv, lambda w: case when left(w, 1) in ({marks})
        else w end) as t from items),
 dt as (select *, list_transform(dv, lambda w: case when left(w, 1) in ({marks}) then left(w, 1)
        else w end) as t from docs),
-iw as ({windows("it", "item_id", 1)}),
-dw as ({windows("dt", "doc_id", d.STRIDE)}),
+iw as ({windows("it", "item_id")}),
+dw as ({windows("dt", "doc_id")}),
 hits as (select distinct doc_id, item_id, dw.p - iw.p as shift from dw join iw using (w)),
 words as (select doc_id, item_id, shift, len(iv) as n_words, unnest(range(1, len(iv) + 1)) as j, iv, dv
           from hits join items using (item_id) join docs using (doc_id)),
-pairs as (select doc_id, item_id, shift, n_words, iv[j] as b, dv[j + shift] as a from words
+pairs as (select doc_id, item_id, shift, n_words, j, iv[j] as b, dv[j + shift] as a from words
           where j + shift between 1 and len(dv)),
 agreed as (select *, left(a, 1) in ({marks}) as slot from pairs
            where a = b or (left(a, 1) = left(b, 1) and left(a, 1) in ({marks}))),
-found as (select doc_id, item_id, shift, n_words, count(*) as n_agree,
+runs as (select *, count(*) over (partition by doc_id, item_id, shift, run) >= {d.WINDOW} as held
+         from (select *, j - row_number() over (partition by doc_id, item_id, shift order by j) as run from agreed)),
+places as (select doc_id, item_id, shift, sum(apart) over (partition by doc_id, item_id order by shift) as place
+           from (select doc_id, item_id, shift, case when shift - lag(shift) over (
+                 partition by doc_id, item_id order by shift) > len(iv) then 1 else 0 end as apart
+                 from hits join items using (item_id))),
+parts as (select doc_id, item_id, n_words, j, a, b, slot, 0 as kind, shift as part from agreed
+          union all
+          select doc_id, item_id, n_words, j, a, b, slot, 1, shift from runs where held
+          union all
+          select doc_id, item_id, n_words, j, a, b, slot, 2, place from runs join places using (doc_id, item_id, shift)
+          where held),
+found as (select doc_id, item_id, kind, part, n_words, count(distinct j) as n_agree,
                  count(distinct case when slot then (a, b) end) as n_slots,
                  count(distinct case when slot then a end) as n_mine,
                  count(distinct case when slot then b end) as n_theirs,
-                 bool_and(not slot or a = b) as same_values from agreed group by all)
+                 bool_and(not slot or a = b) as same_values from parts group by all)
 select doc_id, item_id, n_words, max(n_agree) as n_agree, bool_or(same_values) as same_values
 from found where n_slots = n_mine and n_slots = n_theirs and n_agree >= {d.COVER} * n_words
 group by all

@@ -10,8 +10,10 @@ import string
 import time
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from setlog.llm import (
     components,
@@ -24,6 +26,7 @@ from setlog.llm import (
     ppm,
     quality_classifier,
     quality_rules,
+    queries,
     secret_scan,
     text,
 )
@@ -496,8 +499,26 @@ def test_edited_questions_go(spark):
     for shift in range(7):  # one word in seven replaced
         rows.append((10 + shift, around([w if (k + shift) % 7 else "zz" for k, w in enumerate(item)])))
         rows.append((20 + shift, " ".join(["pad"] * shift + [w if k % 7 else "zz" for k, w in enumerate(item)])))
-    left = decontamination.without_leaks(documents(spark, rows), benchmark).collect()
+    docs = documents(spark, rows)
+    left = decontamination.without_leaks(docs, benchmark).collect()
     assert sorted(r.doc_id for r in left) == [30, 31]
+    found = decontamination.leaks(docs, benchmark).drop("key").toPandas()
+    assert sorted(found.doc_id) == sorted({i for i, _ in rows} - {30, 31})
+    with duckdb.connect() as db:
+        db.register("documents", docs.select("doc_id", "text").toPandas())
+        db.register("benchmark", benchmark.toPandas())
+        expected = db.sql(queries.ORACLE_SQL["op10_decontamination"]).df()
+    as_rows = lambda x: sorted(map(tuple, x[["doc_id", "item_id", "n_words", "n_agree", "same_values"]].values.tolist()))
+    assert as_rows(found) == as_rows(expected)
+
+
+def test_templates_of_hostile_words_take_linear_time(spark):
+    words = ["x" * 200_000, "." * 200_000 + " A", "x" * 99_999 + "7", "a." * 50_000, "# @ ~ ^ " * 20_000]
+    began = time.monotonic()
+    got = documents(spark, list(enumerate(words))).select(
+        "doc_id", decontamination.template(F.col("text")).alias("t")).collect()
+    assert time.monotonic() - began < 20
+    assert [r.t for r in got[:3]] == [["x" * 200_000], ["a"], ["#"]]
 
 
 def test_rare_letters_and_late_text_tell_languages_apart(spark):
