@@ -43,7 +43,9 @@ def blocks(texts: list[np.ndarray], pad: int, lead: int = 0) -> tuple[np.ndarray
     flat = np.concatenate([*texts, np.full(BLOCK + lead, pad, texts[0].dtype)]) if texts else np.zeros(0)
     begin = np.concatenate([[0], np.cumsum([len(x) for x in texts])])[owner] + offset
     steps = int(length[0]) if len(length) else 0
-    matrix = flat[begin[None, :] + np.arange(steps)[:, None]]
+    matrix = np.empty((steps, len(begin)), flat.dtype)
+    for t in range(steps):
+        matrix[t] = flat[begin + t]
     return matrix, owner, begin, length
 
 

@@ -31,6 +31,10 @@ PAST, PAIRS = 0.1, 0.1
 DISCOUNT = 0.5  # what each symbol that follows a context gives to its escape
 #: Contexts x symbols of the trie's part that reaches the driver and every task; rarer ones are joined.
 CELLS = 10_000_000
+#: Bytes of text that a task works on together, or one text, if longer.
+AT_ONCE = 1_000_000
+#: Distinct grams that a task counts before it hands them on.
+COUNTED = 2_000_000
 #: Words whose counts every task holds; rarer ones meet their counts in a join.
 FREQUENT = 200_000
 
@@ -72,7 +76,8 @@ class Trie:
     def walk(self, texts: list[np.ndarray], depth: np.ndarray | None = None
              ) -> tuple[np.ndarray, np.ndarray | None]:
         """The same, and ``depth`` of the contexts they were coded in; ``order`` for leads."""
-        matrix, _, begin, length = lanes.blocks([self.column[x] for x in texts], 0, self.order)
+        column = self.column.astype(np.int16)
+        matrix, _, begin, length = lanes.blocks([column[x] for x in texts], 0, self.order)
         running = lanes.active(length, len(matrix))
         row = np.zeros(len(begin), np.int32)
         out = np.zeros(sum(map(len, texts)))
@@ -288,8 +293,13 @@ def _word_key(word: bytes) -> int:
 
 def _added(old, keys: np.ndarray, counts: np.ndarray | None = None):
     """(distinct keys, counts) with ``keys`` added."""
-    new, at = np.unique(keys, return_inverse=True)
-    n = np.bincount(at, weights=counts).astype(np.int64) if counts is not None else np.bincount(at)
+    if counts is None:
+        new, n = np.unique(keys, return_counts=True)
+    else:
+        at = np.argsort(keys, kind="stable")
+        keys, counts = keys[at], counts[at]
+        first = np.flatnonzero(np.r_[len(keys) > 0, keys[1:] != keys[:-1]][:len(keys)])
+        new, n = keys[first], (np.add.reduceat(counts, first) if len(first) else counts)
     if old is None:
         return new, n
     return _added(None, np.concatenate([old[0], new]), np.concatenate([old[1], n]))
@@ -298,25 +308,35 @@ def _added(old, keys: np.ndarray, counts: np.ndarray | None = None):
 def corpus_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
     """(kind, key, n): kind 0 the grams of all texts, 1 their words, 2 the number of texts."""
     def run(batches):
-        grams, words, n_texts = None, Counter(), 0
-        for batch in small(batches):
+        parts, held, words, n_texts = [], 0, Counter(), 0
+        for batch in small(batches, most=AT_ONCE):
             keys = []
             for x in batch.column("text").to_pylist():
                 ws = folded_words(x)
                 words.update(ws)
                 keys.append(gram_keys(symbols(ws, order), order))
             n_texts += len(keys)
-            grams = _added(grams, np.concatenate(keys))
-            if len(words) > 500_000:
-                yield out(1, np.fromiter(map(_word_key, words), np.int64, len(words)),
-                          np.fromiter(words.values(), np.int64, len(words)))
+            parts.append(_added(None, np.concatenate(keys)))
+            held += len(parts[-1][0])
+            if held > COUNTED:
+                parts = [_added(None, *map(np.concatenate, zip(*parts)))]
+                held = len(parts[0][0])
+                if held > COUNTED // 2:
+                    yield out(0, *parts.pop())
+                    held = 0
+            if len(words) > COUNTED // 10:
+                yield out(1, *counted(words))
                 words = Counter()
+        if parts:
+            yield out(0, *_added(None, *map(np.concatenate, zip(*parts))))
         if n_texts:
-            yield out(0, *grams)
-            yield out(1, np.fromiter(map(_word_key, words), np.int64, len(words)),
-                      np.fromiter(words.values(), np.int64, len(words)))
+            yield out(1, *counted(words))
             yield out(2, np.zeros(1, np.int64), np.full(1, n_texts))
 
+    def counted(words):
+        return (np.fromiter(map(_word_key, words), np.int64, len(words)),
+                np.fromiter(words.values(), np.int64, len(words)))
+
     def out(kind, keys, counts):
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys), pa.array(counts)],
@@ -442,7 +462,7 @@ def score(docs: DataFrame, order: int = ORDER, cells: int = CELLS,
         model = unpacked(*held)
         gain = np.log10(n + 0.5) - log_all
         uid = TaskContext.get().partitionId() << 36
-        for batch in small(batches):
+        for batch in small(batches, most=AT_ONCE):
             texts = [folded_words(x) for x in batch.column("text").to_pylist()]
             number: dict[bytes, int] = {}
             size = np.array([len(ws) for ws in texts], np.int64)
