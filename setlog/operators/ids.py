@@ -49,6 +49,34 @@ def with_dense_id(
     )
 
 
+def with_group_ids(
+    df: DataFrame, groups: list[str], order: list[str | Column], id_col: str = "id", keys: list[str] | None = None
+) -> DataFrame:
+    """Number rows 1, 2, ... by ``groups``, then ``order``, without writing them.
+
+    Only a table of group sizes, one row each, is written and summed up; a row's id is what the groups before
+    its own hold plus its place within the group. Ids don't depend on how rows are partitioned, so a
+    task that runs again gives the same ones. Groups have to be of bounded size, ``keys`` (columns
+    among ``groups`` that tell them apart; all, unless named) not null, ``order`` unique within a group, and
+    ``df`` the same whenever it is worked; it is worked twice, for the sizes without its other columns.
+    """
+    keys = keys or groups
+    placed = staged(
+        df.groupBy(*groups).agg(F.count("*").alias("_rows"))
+        .repartitionByRange(*groups).sortWithinPartitions(*groups)
+        .withColumn("_place", F.monotonically_increasing_id()),
+        "group-sizes",
+    ).withColumn("_part", F.shiftright("_place", _POSITION_BITS))
+    so_far = Window.rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("_part").agg(F.sum("_rows").alias("_rows")).select(
+        "_part", F.coalesce(F.sum("_rows").over(so_far.orderBy("_part")), F.lit(0)).alias("_offset"))
+    within = F.coalesce(F.sum("_rows").over(so_far.partitionBy("_part").orderBy("_place")), F.lit(0))
+    before = placed.withColumn("_within", within).join(F.broadcast(parts), "_part").select(
+        *keys, (F.col("_offset") + F.col("_within")).alias("_before"))
+    place = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
+    return df.join(before, keys).withColumn(id_col, F.col("_before") + place).drop("_before")
+
+
 def append_with_ids(
     old: DataFrame, new: DataFrame, order: list[str | Column], id_col: str = "id"
 ) -> DataFrame:

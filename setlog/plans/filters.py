@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from setlog.plans.silver import Star
 
+LOOKED_UP = 10  # ids given to a scan as values; of longer lists only the range reaches Parquet
+
 
 def _all(conditions: list[Column]) -> Column | None:
     return reduce(lambda a, b: a & b, conditions) if conditions else None
@@ -113,3 +115,16 @@ def date_range(star: Star) -> DataFrame:
 def exercise_lookup(star: Star, name: str) -> DataFrame:
     """The dimension row of one exercise."""
     return star.exercises.filter(F.col("nombre_ejercicio") == name)
+
+
+def of_exercise(rows: DataFrame, star: Star, name: str, at_most: int = LOOKED_UP) -> DataFrame:
+    """Fact rows of the exercise of that name, an id per athlete.
+
+    Up to ``at_most`` ids are looked up first and meet the scan as values, so that row groups without them are
+    passed over (by statistics, dictionary or bloom filter); where there are more, the rows are joined.
+    """
+    chosen = exercise_lookup(star, name).select("ejercicio_id")
+    ids = [r["ejercicio_id"] for r in chosen.limit(at_most + 1).collect()]
+    if len(ids) > at_most:
+        return rows.join(chosen, "ejercicio_id", "left_semi")
+    return rows.filter(F.col("ejercicio_id").isin(ids) if ids else F.lit(False))

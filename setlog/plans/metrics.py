@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from setlog.functions.calendar import weekday, weekday_name, year_week
-from setlog.plans.filters import Filters, sets
+from setlog.plans.filters import Filters, of_exercise, sets
 from setlog.plans.silver import Star
 
 
@@ -103,12 +103,8 @@ def group_distribution(star: Star, filters: Filters = Filters()) -> DataFrame:
 
 
 def _loaded_sets_of(star: Star, exercise: str, filters: Filters) -> DataFrame:
-    chosen = star.exercises.filter(F.col("nombre_ejercicio") == exercise).select("ejercicio_id")
-    return (
-        sets(star, filters, "exercise", "date")
-        .filter(F.col("carga_kg").isNotNull())
-        .join(chosen, "ejercicio_id", "left_semi")
-    )
+    loaded = sets(star, filters, "exercise", "date").filter(F.col("carga_kg").isNotNull())
+    return of_exercise(loaded, star, exercise)
 
 
 def exercise_progress(star: Star, exercise: str, filters: Filters = Filters()) -> DataFrame:

@@ -294,21 +294,28 @@ def sheet_summary(sesiones: DataFrame) -> DataFrame:
 
 
 def load_totals(sesiones: DataFrame, series: DataFrame) -> DataFrame:
-    """Grand totals over sessions left-joined to their sets.
+    """Grand totals over sessions left-joined to their sets; a session without sets counts one row.
 
-    Sets are counted per session before the join; a session without sets still counts
-    one row, as the left join gives it one. Names are those of sets with a session.
+    Sets are read once and reduced to (session, name) before the join, and to (sheet, name) after it: from
+    those few rows come the rows, sheets and names. Session ids are counted in bitmaps of id
+    ranges, as in key_report.
     """
-    per_session = series.groupBy(F.col("sesion_id").alias("id")).agg(F.count("*").alias("n"))
-    totals = sesiones.select("id", "sheet_name").join(per_session, "id", "left").agg(
-        F.countDistinct("id").alias("total_sesiones"),
-        F.coalesce(F.sum(F.coalesce("n", F.lit(1))), F.lit(0)).alias("total_series"),
+    named = series.groupBy(F.col("sesion_id").alias("id"), "nombre_ejercicio").agg(F.count("*").alias("n"))
+    pairs = sesiones.select("id", "sheet_name").join(named, "id", "left").groupBy(
+        "sheet_name", "nombre_ejercicio").agg(F.sum(F.coalesce("n", F.lit(1))).alias("n"))
+    totals = pairs.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_series"),
         F.countDistinct("sheet_name").alias("hojas_procesadas"),
+        F.countDistinct("nombre_ejercicio").alias("ejercicios_unicos"),
     )
-    named = series.select(F.col("sesion_id").alias("id"), "nombre_ejercicio").distinct()
-    names = named.join(sesiones.select("id"), "id", "left_semi").agg(
-        F.countDistinct("nombre_ejercicio").alias("ejercicios_unicos"))
-    return totals.crossJoin(names)
+    return _distinct_ids(sesiones, "id").select(F.col("ids").alias("total_sesiones")).crossJoin(totals)
+
+
+def _distinct_ids(df: DataFrame, key: str) -> DataFrame:
+    """``ids``: distinct values of a numeric key, nulls aside."""
+    return df.filter(F.col(key).isNotNull()).groupBy(F.bitmap_bucket_number(key)).agg(
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(key))).alias("ids")).agg(
+        F.coalesce(F.sum("ids"), F.lit(0)).alias("ids"))
 
 
 def bronze_sessions(sesiones: DataFrame) -> DataFrame:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from setlog.functions.calendar import weekday, weekday_name
 from setlog.functions.casts import text_to_int, text_to_load
 from setlog.functions.fixed import MISSING_NAME
-from setlog.operators.ids import with_dense_id
+from setlog.operators.ids import with_dense_id, with_group_ids
+
+BLOCK_BITS = 14  # bronze ids that the fact numbers together: 2^14
 
 
 @dataclass(frozen=True)
@@ -144,10 +146,12 @@ def fact_series(series: DataFrame, sesiones: DataFrame, exercises: DataFrame,
     """The set-level fact, numbered in bronze id order.
 
     Duplicate date rows or plan labels multiply a set, as the joins say; the quality
-    report counts such rows.
+    report counts such rows. Rows are numbered in blocks of bronze ids, so that they are written once,
+    where the fact is published.
     """
-    rows = fact_rows(series, sesiones, exercises, dates, plans)
-    return with_dense_id(rows, ["id", "fecha_id", "plan_id"], "serie_id").drop("id")
+    rows = fact_rows(series, sesiones, exercises, dates, plans).withColumn(
+        "_block", F.coalesce(F.shiftright("id", BLOCK_BITS), F.lit(-1)))
+    return with_group_ids(rows, ["_block"], ["id", "fecha_id", "plan_id"], "serie_id").drop("id", "_block")
 
 
 def build_star(series: DataFrame, sesiones: DataFrame, first_non_null: bool = False) -> Star:

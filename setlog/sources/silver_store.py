@@ -11,12 +11,15 @@ from setlog.sources.versions import (
 
 # Ranges of athletes and, within one, of time: a busy athlete spreads over several files.
 FACT_LAYOUT = {"silver_fact_series": ["athlete", "fecha", "mesociclo", "serie_id"]}
+# Row groups without an exercise are passed over; those of few exercises by their dictionaries.
+FACT_BLOOMS = {"silver_fact_series": {"ejercicio_id": 50_000}}
 
 
 def write_silver(star: Star, root: str, label: str = "") -> str:
     """Publish the four tables at once; the fact is laid out for reads of an athlete, a time
     or a mesocycle."""
-    return publish(star.fact.sparkSession, root, star.tables(), SILVER_TABLES, label, FACT_LAYOUT)
+    return publish(star.fact.sparkSession, root, star.tables(), SILVER_TABLES, label,
+                   FACT_LAYOUT, FACT_BLOOMS)
 
 
 def read_silver(spark: SparkSession, root: str) -> Star:

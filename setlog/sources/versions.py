@@ -85,12 +85,14 @@ def _counts(name: str, schema: T.StructType, links: dict[str, list[str]], ids: d
 
 def write_tables(spark: SparkSession, root: str, version: int, tables: dict[str, DataFrame],
                  schemas: dict[str, T.StructType], sort: dict[str, list[str]] | None = None,
-                 folder: str | None = None, seen: dict[str, dict] | None = None) -> str:
+                 folder: str | None = None, seen: dict[str, dict] | None = None,
+                 blooms: dict[str, dict[str, int]] | None = None) -> str:
     """Tables in a new folder of the version, not yet visible. Rows carry the version number.
 
     ``sort`` names columns by which a table is laid out in ranges and sorted within, so that
     row-group statistics prune; the number of files is that of the ranges. What is counted
-    of each table is added to ``seen``.
+    of each table is added to ``seen``. ``blooms`` names columns whose row groups get a bloom filter, with the
+    distinct values that one is made for; more make it pass more row groups, never fewer.
     """
     folder = folder or f"v{version}-{uuid.uuid4().hex[:8]}"
     for name, df in tables.items():
@@ -98,8 +100,11 @@ def write_tables(spark: SparkSession, root: str, version: int, tables: dict[str,
         if sort and name in sort:
             rows = rows.repartitionByRange(*sort[name]).sortWithinPartitions(*sort[name])
         counted = Observation()
-        rows.observe(counted, *_counts(name, schemas[name], LINK_COLUMNS, ID_COLUMNS)).write.parquet(
-            f"{root}/{folder}/{name}")
+        writer = rows.observe(counted, *_counts(name, schemas[name], LINK_COLUMNS, ID_COLUMNS)).write
+        for column, distinct in (blooms or {}).get(name, {}).items():
+            writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true").option(
+                f"parquet.bloom.filter.expected.ndv#{column}", str(distinct))
+        writer.parquet(f"{root}/{folder}/{name}")
         if seen is not None:
             seen[name] = {k: v for k, v in counted.get.items() if v is not None}
     return folder
@@ -159,10 +164,10 @@ def _put(spark: SparkSession, files, claim, path) -> None:
 
 def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame],
             schemas: dict[str, T.StructType], label: str = "",
-            sort: dict[str, list[str]] | None = None) -> str:
+            sort: dict[str, list[str]] | None = None, blooms: dict[str, dict[str, int]] | None = None) -> str:
     """Write every table to a new version folder, then publish it."""
     version, seen = next_version(spark, root), {}
-    folder = write_tables(spark, root, version, tables, schemas, sort, seen=seen)
+    folder = write_tables(spark, root, version, tables, schemas, sort, seen=seen, blooms=blooms)
     commit(spark, root, version, folder, label, {name: {"rows": n["rows"]} for name, n in seen.items()})
     return folder
 

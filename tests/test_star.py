@@ -10,15 +10,16 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from setlog.functions.casts import clock_text, one_decimal, text_to_int, text_to_load
-from setlog.operators.ids import append_with_ids, with_dense_id
-from setlog.plans import profile, silver
+from setlog.operators.ids import append_with_ids, with_dense_id, with_group_ids
+from setlog.operators import ids
+from setlog.plans import filters, metrics, profile, silver
 from setlog.plans.bronze import replace_sheets
 from setlog.schemas import BRONZE_SERIES, BRONZE_SESIONES
 from setlog.sources.silver_store import (
     clean_bronze, read_bronze, read_silver, write_bronze, write_silver,
 )
 from setlog.sources.catalog import require_tables
-from setlog.sources.versions import VersionTaken, commit, conform, next_version, versions
+from setlog.sources.versions import VersionTaken, commit, conform, next_version, versions, write_tables
 from tests.conftest import as_rows
 
 
@@ -111,6 +112,63 @@ def test_dense_id_is_the_global_row_number(spark, rows):
         as_rows(wanted, "a", "b", "id"))
 
 
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 9), st.text("ab", max_size=2), st.integers(0, 5)), max_size=90, unique=True))
+def test_ids_by_groups_are_the_global_row_number(spark, rows):
+    df = spark.createDataFrame(rows, "a int, b string, c int").repartition(5)
+    wanted = df.withColumn("id", F.row_number().over(Window.orderBy("a", "b", "c")))
+    got = with_group_ids(df, ["a", "b"], ["c"])
+    assert sorted(as_rows(got, "a", "b", "c", "id")) == sorted(as_rows(wanted, "a", "b", "c", "id"))
+
+
+def test_the_fact_is_written_once(spark, tmp_path, monkeypatch):
+    """What is written on the way holds no column of a set."""
+    written, write = [], ids.staged
+    monkeypatch.setattr(ids, "staged", lambda df, name: written.append((name, df.columns)) or write(df, name))
+    rows = series(spark, *((k, f"E {k % 3}", "x", None) for k in (1, 2, 40_000, 40_001, 90_000)))
+    star = silver.build_star(rows, sesiones(spark, (1, "M 1", datetime(2024, 1, 1)), (2, "M 2", None)))
+    assert sorted(as_rows(star.fact, "serie_id")) == [(k,) for k in range(1, 11)]
+    assert [name for name, _ in written].count("group-sizes") == 1
+    assert not any({"repeticiones_ejecutadas", "numero_serie"} & set(columns) for _, columns in written)
+
+
+def scanned(df):
+    """Rows that leave the scan of a plan without shuffles."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_bloom_filters_pass_over_row_groups_of_many_ids(spark, tmp_path):
+    rows = spark.range(0, 400_000, 2, 1).withColumnRenamed("id", "ejercicio_id")
+    for blooms, name in ((None, "bare"), ({"t": {"ejercicio_id": 200_000}}, "blooms")):
+        root = str(tmp_path / name)
+        folder = write_tables(spark, root, 1, {"t": rows}, {"t": rows.schema}, blooms=blooms)
+        table = spark.read.parquet(f"{root}/{folder}/t")
+        assert (scanned(table.filter("ejercicio_id = 200001")) == 0) == bool(blooms)
+        assert table.filter("ejercicio_id = 200002").count() == 1
+
+
+def test_an_exercise_passes_over_row_groups_without_it(spark, tmp_path):
+    days = [datetime(2024, 1, k) for k in (1, 2)]
+    ses = sesiones(spark, (1, "M 1", days[0])).unionByName(
+        sesiones(spark, (2, "M 1", days[1])).withColumn("numero_dia", F.lit(2)))
+    ser = series(spark, *((k, "AC"[k % 2], "x", None) for k in range(1, 4001)), *(
+        (k, "B", "x", None, {"sesion_id": 2, "numero_dia": 2}) for k in range(4001, 8001)))
+    root = str(tmp_path / "s")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files of few rows
+    try:
+        write_silver(silver.build_star(ser, ses), root)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    star = read_silver(spark, root)
+    assert scanned(star.fact) == 8000
+    assert 4000 <= scanned(filters.of_exercise(star.fact, star, "B")) < 6000
+    assert metrics.exercise_progress(star, "B").count() == 4000
+    assert metrics.exercise_progress(star, "none").count() == 0
+    joined = filters.of_exercise(star.fact, star, "B", at_most=0)
+    assert joined.count() == filters.of_exercise(star.fact, star, "B").count() == 4000
+
+
 def test_append_goes_on_from_the_highest_id(spark):
     old = spark.createDataFrame([(7, "x")], "id bigint, n string")
     new = spark.createDataFrame([("b",), ("a",)], "n string")
