@@ -6,7 +6,7 @@ all but their first occurrence, after their bytes were compared with it. Several
 cut every text in several ways, which catches shorter passages. A line goes if it is in a later
 occurrence of some chunk and in no first one, so first occurrences stay whole.
 
-``without_repeats`` looks at more: at the shortest run of lines of ``LEAST_WORDS`` words from every
+With ``words`` (in the query and in ``without_repeats``) more is looked at: the shortest run of lines of ``LEAST_WORDS`` words from every
 line on and up to every line, blank lines aside. Each line of a shared run of so many words is in one of them,
 wherever the run stands. There a line goes if it is in a later occurrence of anything; its first one stays.
 """
@@ -14,7 +14,7 @@ wherever the run stands. There a line goes if it is in a later occurrence of any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from setlog.llm.text import columns, unused
+from setlog.llm.text import columns, staged, unused
 
 #: (factor of a line, factor of the line before) of each boundary hash.
 CUTS = ((1, 31), (17, 5), (7, 101))
@@ -39,19 +39,32 @@ def spans_of(lines: str, hashes: str, cuts=CUTS, every: int = EVERY,
             F.expr(f"filter(array_distinct(concat({chunks})), c -> c.end - c.start + 1 >= {least})"))
 
 
-def _runs(filled: str, counts: str, words: int) -> str:
+def _runs(filled: str, upto: str, words: int) -> str:
     """(start, end, tight) of the shortest runs of ``words`` words that begin or end at each line
-    of ``filled``, the places of lines with words; ``counts`` has their words."""
-    def lengths(of: str) -> str:
-        return (f"transform(sequence(1, size({of})), i -> aggregate(slice({of}, i, {words}), "
-                "named_struct('n', 0, 'words', 0), (a, x) -> if(a.words >= "
-                f"{words}, a, named_struct('n', a.n + 1, 'words', a.words + x)), "
-                f"a -> if(a.words >= {words}, a.n, 0)))")
-    ahead = (f"transform({lengths(counts)}, (n, k) -> if(n = 0, null, struct({filled}[k] as start, "
-             f"{filled}[k + n - 1] as end, true as tight)))")
-    back = (f"transform({lengths(f'reverse({counts})')}, (n, k) -> if(n = 0, null, struct("
-            f"{filled}[size({filled}) - k - n] as start, {filled}[size({filled}) - 1 - k] as end, true as tight)))")
-    return (f"if(size({filled}) = 0, array(), filter(concat({ahead}, {back}), c -> c is not null))")
+    of ``filled``, the places of lines with words; ``upto`` has the words up to the end of each."""
+    n = f"size({filled})"
+    down = (f"reverse(transform(sequence(1, {n}), i -> element_at({upto}, -1) - "
+            f"if(i = 1, 0, {upto}[greatest(i - 2, 0)])))")
+
+    def runs(of: str, start: str, end: str, near: int = 8) -> str:
+        # ``more`` lines follow the first until a run is whole: each has a word, most have several.
+        aims = f"transform(sequence(1, {n}), i -> struct(i, if(i = 1, 0, of[greatest(i - 2, 0)]) + {words} as aim))"
+        more = (f"transform({aims}, p -> struct(p.i, size(filter(slice(of, p.i, if(coalesce(get(of, p.i + {near - 2}), 0)"
+                f" >= p.aim, {near}, {words})), x -> x < p.aim)) as more))")
+        return (f"transform(array({of}), of -> transform({more}, p -> if(p.i + p.more > {n}, null, struct("
+                f"{filled}[{start}] as start, {filled}[{end}] as end, true as tight))))[0]")
+    ahead = runs(upto, "p.i - 1", "p.i - 1 + p.more")
+    back = runs(down, f"{n} - p.i - p.more", f"{n} - p.i")
+    return f"if({n} = 0, array(), filter(concat({ahead}, {back}), c -> c is not null))"
+
+
+def _running(counts: str, block: int = 256) -> str:
+    """Running sums of an array, block by block: appending to one long array would copy it each time."""
+    blocks = f"transform(sequence(0, (size({counts}) - 1) div {block}), b -> slice({counts}, b * {block} + 1, {block}))"
+    return (f"if(size({counts}) = 0, cast(array() as array<int>), flatten(aggregate({blocks}, "
+            "cast(array() as array<array<int>>), (done, b) -> array_append(done, slice(aggregate(b, "
+            "array(if(size(done) = 0, 0, element_at(element_at(done, -1), -1))), "
+            f"(sums, x) -> array_append(sums, element_at(sums, -1) + x)), 2, {block})))))")
 
 
 def _cut(docs: DataFrame, cuts, every: int, least: int, words: int | None = None) -> DataFrame:
@@ -69,10 +82,10 @@ def _cut(docs: DataFrame, cuts, every: int, least: int, words: int | None = None
     counted = cut.withColumn("counts", F.expr(
         rf"transform(lines, l -> regexp_count(l, '{WORD}'))")).withColumn("filled", F.expr(
             "filter(sequence(1, size(lines)), i -> counts[i - 1] > 0)")).withColumn(
-        "counts", F.expr("filter(counts, n -> n > 0)"))
+        "counts", F.expr("filter(counts, n -> n > 0)")).withColumn("upto", F.expr(_running("counts")))
     # No filter on the spans: it would be pushed below the projections and work the lambdas anew per line.
     return counted.select("key", "doc_id", "lines", F.expr(
-        f"array_distinct(concat(spans, {_runs('filled', 'counts', words)}))").alias("spans"))
+        f"array_distinct(concat(spans, {_runs('filled', 'upto', words)}))").alias("spans"))
 
 
 def _piece(c: str) -> str:
@@ -81,21 +94,34 @@ def _piece(c: str) -> str:
     return f"array_join(if({c}.tight, filter({part}, l -> l rlike '{WORD}'), {part}), '\\n')"
 
 
+def _found(cut: DataFrame) -> DataFrame:
+    """key, doc_id, start, end, tight and hash (of the hashes of its lines) of every chunk and run."""
+    part = "slice({0}, c.start, c.end - c.start + 1)".format
+    # Blank lines have no hash where the chunk is tight.
+    hashed = cut.select("key", "doc_id", "spans", F.expr("transform(lines, l -> xxhash64(l))").alias("line_hashes"),
+                        F.expr(rf"transform(lines, l -> if(l rlike '{WORD}', xxhash64(l), null))").alias("word_hashes"))
+    return hashed.select("key", "doc_id", F.expr(
+        "inline(transform(spans, c -> struct(c.start as start, c.end as end, c.tight as tight, xxhash64(if(c.tight, "
+        f"array_compact({part('word_hashes')}), {part('line_hashes')})) as hash)))"))
+
+
 def removals(docs: DataFrame, cuts=CUTS, every: int = EVERY, least: int = LEAST_LINES,
              words: int | None = None) -> DataFrame:
-    """key, and the arrays ``later`` and ``firsts`` of (start, end), of texts with repeated chunks."""
+    """key, and the arrays ``later`` and ``firsts`` of (start, end), of texts with repeated chunks.
+
+    Hashes that occur again are found first, from hashes alone; only chunks with one of them move after that.
+    """
     cut = _cut(docs, cuts, every, least, words)
-    found = cut.select("key", "doc_id", F.expr(
-        "inline(transform(spans, c -> struct(c.start as start, c.end as end, c.tight as tight, "
-        f"xxhash64({_piece('c')}) as hash)))"))
+    found = _found(cut)
+    again = staged(found.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "line-hashes")
+    hits = staged(found.join(again, "hash", "left_semi"), "line-chunks")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "start", "end")
-    again = found.groupBy("hash").agg(
-        F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").select(
+    first = hits.groupBy("hash").agg(F.min(place).alias("first")).select(
         "hash", F.col("first.key").alias("first_key"), F.col("first.start").alias("first_start"),
         F.col("first.end").alias("first_end"))
     is_first = (F.col("key") == F.col("first_key")) & (F.col("start") == F.col("first_start")) & (
         F.col("end") == F.col("first_end"))
-    marked = found.join(again, "hash").groupBy("key").agg(F.collect_set(
+    marked = hits.join(first, "hash").groupBy("key").agg(F.collect_set(
         F.struct("start", "end", "tight", "hash", is_first.alias("is_first"))).alias("found"))
     # The bytes of repeated chunks alone move: each later one meets its first.
     lines = cut.select("key", "lines").join(marked, "key")
@@ -134,15 +160,17 @@ def _shortened(docs: DataFrame, result: str, cuts, every: int, least: int,
 
 
 def dedup_lines(docs: DataFrame, cuts=CUTS, every: int = EVERY,
-                least: int = LEAST_LINES) -> DataFrame:
+                least: int = LEAST_LINES, words: int | None = None) -> DataFrame:
     """``docs`` with ``kept_text``, ``n_lines`` and ``n_removed`` (in place of such columns).
 
+    With ``words`` the runs of so many words count too, as in ``without_repeats``.
+
     First is the occurrence with the lowest id (null last), then key, then place. Rows alike in
     id and text are one document and get the same result. Null texts stay null with 0 lines; a
     text all of whose lines go becomes empty. An empty table gives an empty one.
     """
     result = unused(docs, "dedup")
-    out = _shortened(docs, result, cuts, every, least)
+    out = _shortened(docs, result, cuts, every, least, words)
     return out.drop("kept_text", "n_lines", "n_removed").select(
         *columns(docs.drop("kept_text", "n_lines", "n_removed")), f"{result}.*")
 

@@ -51,7 +51,8 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    rows = line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    rows = line_dedup.dedup_lines(
+        table(spark, folder, "documents").select("doc_id", "text"), words=line_dedup.LEAST_WORDS)
     return rows.select("doc_id", "n_lines", "n_removed", F.md5("kept_text").alias("kept_md5"))
 
 
@@ -116,22 +117,28 @@ def _line_dedup_sql() -> str:
         f"select doc_id, case when k = 1 then 1 else ends_{c}[k - 1] + 1 end as s, ends_{c}[k] as e "
         f"from (select doc_id, ends_{c}, unnest(range(1, len(ends_{c}) + 1)) as k from cut)"
         for c in range(len(line_dedup.CUTS)))
+    word = r"[^\x20\x09-\x0D]+"
     return f"""
 with d as (select doc_id, text, string_split(text, chr(10)) as lines from documents),
 h as (select doc_id, lines, list_transform(lines, lambda l: ('0x' || substr(md5(l), 1, 7))::bigint)
       as hs from d where len(lines) >= {line_dedup.LEAST_LINES}),
 cut as (select doc_id, lines, {ends} from h),
 spans as ({spans}),
-pieces as (select doc_id, s, e, array_to_string(lines[s:e], chr(10)) as piece
-           from spans join h using (doc_id) where e - s + 1 >= {line_dedup.LEAST_LINES}),
-marked as (select *, count(*) over (partition by piece) as n,
-           row_number() over (partition by piece order by doc_id, s, e) as place from pieces),
-covered as (select doc_id, i, bool_or(place = 1) as is_first
-            from (select *, unnest(range(s, e + 1)) as i from marked where n > 1) group by all),
 numbered as (select doc_id, unnest(lines) as line, unnest(range(1, len(lines) + 1)) as i from d),
+counted as (select doc_id, i, len(regexp_extract_all(line, '{word}')) as n from numbered),
+filled as (select doc_id, i, n, sum(n) over (partition by doc_id order by i) as upto from counted where n > 0),
+runs as (select a.doc_id, a.i as s, b.i as e from filled a asof join filled b
+         on a.doc_id = b.doc_id and a.upto - a.n + {line_dedup.LEAST_WORDS} <= b.upto
+         union select a.doc_id, b.i, a.i from filled a asof join filled b
+         on a.doc_id = b.doc_id and a.upto - {line_dedup.LEAST_WORDS} >= b.upto - b.n),
+pieces as (select doc_id, s, e, array_to_string(lines[s:e], chr(10)) as piece
+           from spans join d using (doc_id) where e - s + 1 >= {line_dedup.LEAST_LINES}
+           union select doc_id, s, e, array_to_string(
+               list_filter(lines[s:e], lambda l: regexp_matches(l, '{word}')), chr(10)) from runs join d using (doc_id)),
+marked as (select *, row_number() over (partition by piece order by doc_id, s, e) as place from pieces),
+gone as (select distinct doc_id, unnest(range(s, e + 1)) as i from marked where place > 1),
 kept as (select doc_id, string_agg(line, chr(10) order by i) as text, count(*) as n
-         from numbered left join covered using (doc_id, i)
-         where is_first is null or is_first group by doc_id)
+         from numbered anti join gone using (doc_id, i) group by doc_id)
 select d.doc_id, coalesce(len(lines), 0) as n_lines,
        coalesce(len(lines), 0) - coalesce(kept.n, 0) as n_removed,
        case when d.text is null then null else md5(coalesce(kept.text, '')) end as kept_md5

@@ -346,6 +346,49 @@ def test_line_dedup_by_hand(spark):
     assert sum(r.n_removed for r in got.values()) > 60
 
 
+def whole_lines_by_hand(rows, words):
+    """Kept texts where runs of ``words`` words count too, by trying every start and end."""
+    pieces, first = [], {}
+    for i, t in sorted(rows):
+        lines = t.split("\n")
+        h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
+        n = [len(x.split()) for x in lines]
+        filled = [k for k, x in enumerate(n) if x]
+        spans = {}
+        for a in filled:
+            for b in filled:
+                total = sum(n[a:b + 1])
+                if a <= b and total >= words and (total - n[a] < words or total - n[b] < words):
+                    spans.setdefault((a, b), set()).add("\n".join(x for x in lines[a:b + 1] if x.split()))
+        for f, g in line_dedup.CUTS:
+            begin = 0
+            for k in range(len(lines)):
+                rolled = (f * h[k] + g * (h[k - 1] if k else 0)) % line_dedup.PRIME % line_dedup.EVERY
+                if k == len(lines) - 1 or not rolled:
+                    if k > begin:
+                        spans.setdefault((begin, k), set()).add("\n".join(lines[begin:k + 1]))
+                    begin = k + 1
+        for (a, b), texts in sorted(spans.items()):
+            for x in texts:
+                pieces.append((i, a, b, x))
+                first.setdefault(x, (i, a, b))
+    gone = {(i, k) for i, a, b, x in pieces if first[x] != (i, a, b) for k in range(a, b + 1)}
+    return {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone) for i, t in rows}
+
+
+def test_whole_line_dedup_by_hand(spark):
+    rng = random.Random(21)
+    lines = [prose(rng, n) for n in (1, 2, 3, 5, 9, 14, 30, 55) for _ in range(3)] + ["", " "]
+    passages = [[rng.choice(lines) for _ in range(rng.randrange(1, 30))] for _ in range(6)]
+    rows = [(0, ""), (1, " "), (2, "\n".join(["a"] * 120)), (3, "\n".join(["b"] * 700))]
+    for i in range(4, 60):
+        own = [prose(rng, rng.randrange(1, 9), 9999) for _ in range(rng.randrange(0, 8))]
+        rows.append((i, "\n".join(own + rng.choice(passages) + own[1:3] + rng.choice(passages))))
+    for words in (50, 7):
+        got = line_dedup.dedup_lines(documents(spark, rows), words=words).collect()
+        assert {r.doc_id: r.kept_text for r in got} == whole_lines_by_hand(rows, words)
+
+
 def test_runs_of_fifty_words_go_wherever_they_stand(spark):
     rng = random.Random(13)
     runs = [[prose(rng, 60, 9999)], [prose(rng, 30, 9999), prose(rng, 30, 9999)],
