@@ -105,24 +105,47 @@ def _found(cut: DataFrame) -> DataFrame:
         f"array_compact({part('word_hashes')}), {part('line_hashes')})) as hash)))"))
 
 
+#: Of spans in order a smallest choice that covers the same lines: each time the one that reaches farthest.
+_COVER = """aggregate(array_sort(spans), named_struct('chosen', cast(array() as array<{0}>), 'reach', 0,
+    'best', cast(null as {0})),
+  (a, s) -> if(s.start <= a.reach + 1,
+    named_struct('chosen', a.chosen, 'reach', a.reach, 'best', if(coalesce(a.best.end, 0) >= s.end, a.best, s)),
+    named_struct('chosen', if(coalesce(a.best.end, 0) > a.reach, array_append(a.chosen, a.best), a.chosen),
+      'reach', if(s.start > greatest(a.reach, coalesce(a.best.end, 0)) + 1, s.start - 1,
+                  greatest(a.reach, coalesce(a.best.end, 0))), 'best', s)),
+  a -> if(coalesce(a.best.end, 0) > a.reach, array_append(a.chosen, a.best), a.chosen))""".format(
+    "struct<start:int,end:int,tight:boolean,hash:bigint>")
+
+
 def removals(docs: DataFrame, cuts=CUTS, every: int = EVERY, least: int = LEAST_LINES,
              words: int | None = None) -> DataFrame:
     """key, and the arrays ``later`` and ``firsts`` of (start, end), of texts with repeated chunks.
 
     Hashes that occur again are found first, from hashes alone; only chunks with one of them move after that.
+    With ``words`` only later occurrences count, and of each text as few as cover all their lines are compared.
     """
     cut = _cut(docs, cuts, every, least, words)
     found = _found(cut)
     again = staged(found.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "line-hashes")
     hits = staged(found.join(again, "hash", "left_semi"), "line-chunks")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "start", "end")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "start", "end", "tight")
     first = hits.groupBy("hash").agg(F.min(place).alias("first")).select(
         "hash", F.col("first.key").alias("first_key"), F.col("first.start").alias("first_start"),
-        F.col("first.end").alias("first_end"))
+        F.col("first.end").alias("first_end"), F.col("first.tight").alias("first_tight"))
     is_first = (F.col("key") == F.col("first_key")) & (F.col("start") == F.col("first_start")) & (
         F.col("end") == F.col("first_end"))
-    marked = hits.join(first, "hash").groupBy("key").agg(F.collect_set(
-        F.struct("start", "end", "tight", "hash", is_first.alias("is_first"))).alias("found"))
+    span = F.struct("start", "end", "tight", "hash")
+    if words:
+        covers = staged(hits.join(first, "hash").filter(~is_first).groupBy("key").agg(
+            F.collect_set(span).alias("spans")).select("key", F.expr(f"inline({_COVER})")), "line-covers")
+        wanted = covers.select("hash").distinct().join(first, "hash").select(
+            F.col("first_key").alias("key"), F.col("first_start").alias("start"), F.col("first_end").alias("end"),
+            F.col("first_tight").alias("tight"), "hash", F.lit(True).alias("is_first"))
+        placed = covers.withColumn("is_first", F.lit(False)).unionByName(wanted)
+    else:
+        placed = hits.join(first, "hash").select("key", "start", "end", "tight", "hash", is_first.alias("is_first"))
+    marked = placed.groupBy("key").agg(F.collect_set(
+        F.struct("start", "end", "tight", "hash", "is_first")).alias("found"))
     # The bytes of repeated chunks alone move: each later one meets its first.
     lines = cut.select("key", "lines").join(marked, "key")
     pieces = lines.select("key", F.expr(
