@@ -180,3 +180,22 @@ def test_cuts_are_listed_and_a_wider_layout_takes_them(spark):
     assert sorted(as_rows(grid.grid_cuts(cells(spark, sheet), wide), "row_idx", "motivo")) == [(36, "ejercicio")]
     found = grid.extract_sets(cells(spark, sheet), wide)
     assert (10, 6, "6") in as_rows(found, "row_idx", "numero_serie", "repeticiones")
+
+
+def test_cells_are_told_and_sorted_by_numbers(spark, capsys):
+    # Sheets are sorted by a hash: names, which begin alike, are compared within a sheet alone.
+    table = cells(spark, {**header("MICROCICLO 1"), **day()})
+    index = grid.sheet_index(table)
+    grid.read_sheets(table, index).explain()
+    plan = capsys.readouterr().out
+    assert "Sort [sheet_key#" in plan and "Sort [workbook#" not in plan
+
+
+def test_a_row_that_is_a_set_and_two_labels_gives_all_its_values(spark):
+    sheet = {**header("MICROCICLO 1"), **day(letter_rows=())}
+    for label_row in (1, 2, 3):
+        sheet.pop((label_row, 1))
+    sheet.update({(5, 0): "A", (5, 1): "Empuje", (6, 1): "fecha prs rpe", (6, 7): "8", (6, 8): "9", (6, 9): "2024-01-02"})
+    read = grid.session_metadata(cells(spark, sheet))
+    assert as_rows(read, "fecha", "hora", "prs_pre_sesion", "rpe_sesion") == [("2024-01-02", None, "9", "9")]
+    assert sets_of(spark, sheet) == [(5, 1, "8"), (5, 2, "9"), (5, 3, "2024-01-02")]
