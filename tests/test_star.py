@@ -274,3 +274,29 @@ def test_fact_files_follow_ranges_not_sheet_names(spark, tmp_path, capsys):
     plan = capsys.readouterr().out
     pushed = next(line for line in plan.splitlines() if line.startswith("PushedFilters"))
     assert all(f"EqualTo({c}," in pushed for c in ("athlete", "fecha", "mesociclo"))
+
+
+def test_lines_move_once_for_their_number_and_their_order(spark, tmp_path, capsys):
+    # Every join shuffled: lines move for number and order together, and to their parts.
+    from setlog.sources import order_tables
+    spark.createDataFrame([(1, 2, 1, 1, 5.0, 0.1, 900.0), (1, 2, 1, 2, 7.0, 0.0, 1000.0), (0, 2, 1, 1, 6.0, 0.0, 500.0),
+                           (None, 2, 1, 1, 6.0, 0.0, 500.0)],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+                          " l_discount double, l_extendedprice double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(0, "1-URGENT", 1, datetime(2024, 1, 1)), (1, "5-LOW", 1, datetime(2024, 1, 2))],
+                          "o_orderkey long, o_orderpriority string, o_custkey long, o_orderdate timestamp_ntz"
+                          ).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(2, "red widget", "Brand#1", "PROMO")],
+                          "p_partkey long, p_name string, p_brand string, p_type string"
+                          ).write.parquet(str(tmp_path / "part.parquet"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = order_tables.series(spark, str(tmp_path))
+        rows = sorted(as_rows(got, "id", "sesion_id", "repeticiones", "carga_kg", "rir_rpe"))
+        got.explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == [(2, 1, "6.0", None, "0"), (3, 2, "5.0", None, "10"), (4, 2, "7.0", None, "0")]
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 3  # lines, group sizes, orders
+    assert plan.count("Exchange hashpartitioning(l_partkey") == 2 and "l_tax" not in plan
