@@ -231,11 +231,19 @@ def code_lengths(model: "Trie", texts: list[np.ndarray], ids: np.ndarray, sizes:
         gram = (gram << BITS) | flat[at - model.order + k]
     of = np.searchsorted(ends, at)
     return sums, {"text": doc[of], "word": of, "gram": gram,
-                  "root": root_keys(gram >> BITS, held[at], model.order), "old": cost[at],
+                  "root": root_keys(gram >> BITS, held[at], model.order),
                   "lead": lead_in[of], "cost": by_word[of], "extra": extra[of]}
 
 
-FAR = ("word", "gram", "root", "old", "lead", "cost", "extra")
+FAR = ("word", "gram", "root", "lead", "cost", "extra")
+#: Stands for all words of a text that its past says nothing of: what changes their codes just adds up.
+NEW = -1
+
+
+def new_words_as_one(far: dict) -> dict:
+    """The same positions, words without a past as one and without parts: few bytes move, and fewer sums."""
+    new = far["extra"] == 0
+    return far | {c: np.where(new, alike, far[c]) for c, alike in (("word", NEW), ("lead", 0.0), ("cost", 0.0))}
 
 
 def build(grams: dict[int, tuple[np.ndarray, np.ndarray]], order: int) -> Trie:
@@ -371,7 +379,8 @@ def trie_of(counts: DataFrame, order: int = ORDER, cells: int = CELLS
 
 
 def far_codes(shared, rest: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(gram, code) of the wanted (root, gram) whose context the trie lacks and ``rest`` has.
+    """(gram, change) of the wanted (root, gram) whose context the trie lacks and ``rest`` has: log10 of its
+    probability, less that of the trie's code, which the gram tells.
 
     Grams that share a root meet in one task; a root was seen less often than the trie's contexts.
     """
@@ -397,7 +406,9 @@ def far_codes(shared, rest: DataFrame, wanted: DataFrame) -> DataFrame:
         def out(root, k, key, n):
             is_wanted = k < 0
             gram, value = rare_codes(model, k[~is_wanted], key[~is_wanted], n[~is_wanted], key[is_wanted])
-            return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(value)], ["gram", "code"])
+            held = model.log10[model.row_of(gram >> BITS, model.order) * model.width
+                               + model.column[gram & ((1 << BITS) - 1)]]
+            return pa.RecordBatch.from_arrays([pa.array(gram), pa.array(value - held)], ["gram", "change"])
         for batch in batches:
             parts.append([batch.column(c).to_numpy() for c in ("root", "k", "key", "n")])
             held += batch.num_rows
@@ -418,7 +429,7 @@ def far_codes(shared, rest: DataFrame, wanted: DataFrame) -> DataFrame:
         rooted, "root long, k int, key long, n long")
     both = grams.unionByName(wanted.select(
         "root", F.lit(-1).alias("k"), F.col("gram").alias("key"), F.lit(0).cast("long").alias("n")))
-    return both.repartition("root").sortWithinPartitions("root").mapInArrow(code, "gram long, code double")
+    return both.repartition("root").sortWithinPartitions("root").mapInArrow(code, "gram long, change double")
 
 
 def _mixed(cost) -> Column:
@@ -492,7 +503,7 @@ def score(docs: DataFrame, order: int = ORDER, cells: int = CELLS,
                 if any_rest:
                     more["text"] = more["text"] + first
                     more["word"] = more["word"] + words_done
-                    far.append(more)
+                    far.append(new_words_as_one(more))
                 done += some.sum()
                 words_done += int(np.maximum(some, 1).sum())
             far = {c: np.concatenate([x[c] for x in far] or [np.zeros(0, np.int64)])
@@ -515,7 +526,7 @@ def score(docs: DataFrame, order: int = ORDER, cells: int = CELLS,
     scored = staged(rows.mapInArrow(run, f"uid long, doc_id {id_type}, held_out boolean, "
                     "n_tokens long, n_known long, base_score double, score double, "
                     "rare array<long>, times array<long>, far array<struct<word: long, gram: long, "
-                    "root: long, old: double, lead: double, cost: double, extra: double>>"), "scored")
+                    "root: long, lead: double, cost: double, extra: double>>"), "scored")
     rare = scored.select("uid", F.inline(F.arrays_zip("rare", "times")).alias("key", "times"))
     more = rare.join(known.select("key", "n"), "key", "left").groupBy("uid").agg(
         F.sum(F.col("times") * (F.log10(F.coalesce("n", F.lit(0)) + 0.5) - log_all)).alias("more"),
@@ -524,7 +535,7 @@ def score(docs: DataFrame, order: int = ORDER, cells: int = CELLS,
         far = scored.select("uid", F.inline("far"))
         codes = far_codes(shared, rest, far.select("root", "gram").distinct())
         words = far.drop("root").join(codes, "gram").groupBy("uid", "word").agg(
-            F.sum(F.col("code") - F.col("old")).alias("change"),
+            F.sum("change").alias("change"),
             *(F.first(c).alias(c) for c in ("lead", "cost", "extra")))
         changes = words.groupBy("uid").agg(F.sum(
             _mixed(F.col("cost") + F.col("change")) - _mixed(F.col("cost"))).alias("change"))

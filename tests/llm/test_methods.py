@@ -114,6 +114,15 @@ def test_contexts_beyond_the_held_trie_count(spark):
     assert cut == pytest.approx(whole, abs=1e-3)
 
 
+def test_new_words_of_a_text_meet_rare_contexts_as_one():
+    far = {"text": np.zeros(4, int), "word": np.arange(4), "gram": np.arange(4), "root": np.arange(4),
+           "lead": np.full(4, -0.1), "cost": np.full(4, -5.0), "extra": np.array([0.0, 0.2, 0.0, 0.1])}
+    got = ppm.new_words_as_one(far)
+    assert got["word"].tolist() == [ppm.NEW, 1, ppm.NEW, 3]
+    assert got["cost"].tolist() == [0, -5, 0, -5] and got["lead"].tolist() == [0, -0.1, 0, -0.1]
+    assert got["gram"].tolist() == far["gram"].tolist() and far["word"].tolist() == [0, 1, 2, 3]
+
+
 def test_long_texts_score_alike_in_blocks():
     x = ppm.symbols([b"abc", b"de"] * 900)
     grams = ppm._added(None, ppm.gram_keys(x, ppm.ORDER))
