@@ -50,7 +50,8 @@ def with_dense_id(
 
 
 def with_group_ids(
-    df: DataFrame, groups: list[str], order: list[str | Column], id_col: str = "id", keys: list[str] | None = None
+    df: DataFrame, groups: list[str], order: list[str | Column], id_col: str = "id", keys: list[str] | None = None,
+    sizes: DataFrame | None = None
 ) -> DataFrame:
     """Number rows 1, 2, ... by ``groups``, then ``order``, without writing them.
 
@@ -58,12 +59,14 @@ def with_group_ids(
     its own hold plus its place within the group. Ids don't depend on how rows are partitioned, so a
     task that runs again gives the same ones. Groups have to be of bounded size, ``keys`` (columns
     among ``groups`` that tell them apart; all, unless named) not null, ``order`` unique within a group, and
-    ``df`` the same whenever it is worked; it is worked twice, for the sizes without its other columns.
+    ``df`` the same whenever it is worked; it is worked twice, for the sizes without its other columns, unless
+    ``sizes`` gives them (the groups and ``_rows``, the rows of each).
     """
     keys = keys or groups
+    if sizes is None:
+        sizes = df.groupBy(*groups).agg(F.count("*").alias("_rows"))
     placed = staged(
-        df.groupBy(*groups).agg(F.count("*").alias("_rows"))
-        .repartitionByRange(*groups).sortWithinPartitions(*groups)
+        sizes.repartitionByRange(*groups).sortWithinPartitions(*groups)
         .withColumn("_place", F.monotonically_increasing_id()),
         "group-sizes",
     ).withColumn("_part", F.shiftright("_place", _POSITION_BITS))

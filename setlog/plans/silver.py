@@ -2,13 +2,13 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from setlog.functions.calendar import weekday, weekday_name
 from setlog.functions.casts import text_to_int, text_to_load
 from setlog.functions.fixed import MISSING_NAME
-from setlog.operators.ids import with_dense_id, with_group_ids
+from setlog.operators.ids import staged, with_dense_id, with_group_ids
 
 BLOCK_BITS = 14  # bronze ids that the fact numbers together: 2^14
 
@@ -112,9 +112,8 @@ def dated_sessions(sesiones: DataFrame, dates: DataFrame) -> DataFrame:
     ).select("sesion_id", "fecha_id", F.col("dia_fecha").alias("fecha"))
 
 
-def fact_rows(series: DataFrame, sesiones: DataFrame, exercises: DataFrame,
-              dates: DataFrame, plans: DataFrame) -> DataFrame:
-    """Sets linked to their dimensions, before numbering and with their texts alone.
+def linked_sets(series: DataFrame, exercises: DataFrame, plans: DataFrame) -> DataFrame:
+    """Sets linked to exercise and plan, in blocks of bronze ids; texts that only a number is made of are numbers.
 
     No join carries a broadcast hint: a dimension under Spark's size threshold is
     broadcast, a larger one is shuffled and a hot key split by adaptive execution.
@@ -125,32 +124,58 @@ def fact_rows(series: DataFrame, sesiones: DataFrame, exercises: DataFrame,
         .join(exercises.select("athlete", "nombre_ejercicio", "ejercicio_id"),
               ["athlete", "nombre_ejercicio"], "left")
         .join(plans.select(*plan_keys, "plan_id", "mesociclo"), plan_keys, "left")
-        .join(dated_sessions(sesiones, dates), "sesion_id", "left")
         .select(
-            "athlete", "id", "sesion_id", "ejercicio_id", "fecha_id", "plan_id",
+            "athlete", "id", "sesion_id", "ejercicio_id", "plan_id",
             "grupo_ejercicio", "numero_serie",
-            F.col("repeticiones").alias("repeticiones_texto"), "carga_kg", "rir_rpe",
+            F.col("repeticiones").alias("repeticiones_texto"),
+            text_to_load(F.col("carga_kg")).alias("carga_kg"),
+            text_to_int(F.col("rir_rpe")).alias("rir_rpe"),
             "tipo_metrica",
             F.col("dosis").alias("dosis_prescrita"),
             F.col("notas_ejercicio").alias("notas"),
-            "fecha", "mesociclo",
+            "mesociclo", F.coalesce(F.shiftright("id", BLOCK_BITS), F.lit(-1)).alias("_block"),
         )
     )
 
 
+def block_sessions(sets: DataFrame, sesiones: DataFrame, dates: DataFrame) -> DataFrame:
+    """The sessions of each block of sets: how many of its sets they have (``_sets``) and their date rows (``_dates``),
+    one without a date if there are none. Ids alone move, one row per block, session and task."""
+    dated = dated_sessions(sesiones, dates)
+    return sets.groupBy("_block", "sesion_id").agg(F.count("*").alias("_sets")).join(
+        dated, "sesion_id", "left").groupBy("_block", "sesion_id").agg(
+        F.first("_sets").alias("_sets"), F.collect_list(F.struct("fecha_id", "fecha")).alias("_dates"))
+
+
+def _dated(sets: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Sets times the dates of their session. Both move to their block; there a session's row lies among its sets."""
+    together = sets.unionByName(sessions.drop("_sets"), allowMissingColumns=True).repartition("_block")
+    found = F.first("_dates", ignorenulls=True).over(Window.partitionBy("_block", "sesion_id"))
+    return together.withColumn("_found", found).filter(F.col("_dates").isNull()).select(
+        *sets.columns, F.inline("_found"))
+
+
+def fact_rows(series: DataFrame, sesiones: DataFrame, exercises: DataFrame,
+              dates: DataFrame, plans: DataFrame) -> DataFrame:
+    """Sets linked to their dimensions, before numbering."""
+    sets = linked_sets(series, exercises, plans)
+    return _dated(sets, staged(block_sessions(sets, sesiones, dates), "block-sessions")).drop("_block")
+
+
 def fact_series(series: DataFrame, sesiones: DataFrame, exercises: DataFrame,
                 dates: DataFrame, plans: DataFrame) -> DataFrame:
     """The set-level fact, numbered in bronze id order.
 
     Duplicate date rows or plan labels multiply a set, as the joins say; the quality
     report counts such rows. Rows are numbered in blocks of bronze ids, so that they are written once,
-    where the fact is published; texts become numbers after it, so that rows move without them.
+    where the fact is published, and move once before, to their block, where dates and numbers meet them.
     """
-    rows = fact_rows(series, sesiones, exercises, dates, plans).withColumn(
-        "_block", F.coalesce(F.shiftright("id", BLOCK_BITS), F.lit(-1)))
-    return with_group_ids(rows, ["_block"], ["id", "fecha_id", "plan_id"], "serie_id").drop("id", "_block").withColumns({
-        "repeticiones_ejecutadas": text_to_int(F.col("repeticiones_texto")),
-        "carga_kg": text_to_load(F.col("carga_kg")), "rir_rpe": text_to_int(F.col("rir_rpe"))})
+    sets = linked_sets(series, exercises, plans)
+    sessions = staged(block_sessions(sets, sesiones, dates), "block-sessions")
+    sizes = sessions.groupBy("_block").agg(F.sum(F.col("_sets") * F.size("_dates")).alias("_rows"))
+    return with_group_ids(
+        _dated(sets, sessions), ["_block"], ["id", "fecha_id", "plan_id"], "serie_id", sizes=sizes
+    ).drop("id", "_block").withColumn("repeticiones_ejecutadas", text_to_int(F.col("repeticiones_texto")))
 
 
 def build_star(series: DataFrame, sesiones: DataFrame, first_non_null: bool = False) -> Star:

@@ -300,3 +300,21 @@ def test_lines_move_once_for_their_number_and_their_order(spark, tmp_path, capsy
     plan = capsys.readouterr().out
     assert plan.count("Exchange hashpartitioning(l_orderkey") == 3  # lines, group sizes, orders
     assert plan.count("Exchange hashpartitioning(l_partkey") == 2 and "l_tax" not in plan
+
+
+def test_sets_move_once_to_their_block_for_dates_and_numbers(spark, capsys):
+    # A session twice, one without a date, one missing, sets without session or id, an id twice.
+    ses = sesiones(spark, (1, "M 1", datetime(2024, 1, 1)), (1, "M 1", datetime(2024, 1, 1)), (2, "M 1", None))
+    ser = series(spark, *((k, "Press", "x", None) for k in (1, 2, 2, 3, 40_000))).withColumns({
+        "sesion_id": F.expr("case id when 1 then 1L when 2 then 2L when 3 then 9L end"),
+        "id": F.expr("nullif(id, 3)")})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = silver.build_star(ser, ses).fact
+        rows = sorted(as_rows(fact, "serie_id", "sesion_id", "fecha_id"), key=repr)
+        fact.explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == [(1, 9, None), (2, 1, 1), (3, 1, 1), (4, 2, None), (5, 2, None), (6, None, None)]
+    plan = capsys.readouterr().out
+    assert "hashpartitioning(sesion_id" not in plan
