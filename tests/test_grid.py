@@ -199,3 +199,21 @@ def test_a_row_that_is_a_set_and_two_labels_gives_all_its_values(spark):
     read = grid.session_metadata(cells(spark, sheet))
     assert as_rows(read, "fecha", "hora", "prs_pre_sesion", "rpe_sesion") == [("2024-01-02", None, "9", "9")]
     assert sets_of(spark, sheet) == [(5, 1, "8"), (5, 2, "9"), (5, 3, "2024-01-02")]
+
+
+def test_sets_move_once_to_their_sheet_for_sessions_and_numbers(spark, capsys):
+    sheet = header("MICROCICLO 1", "MICROCICLO 1") | day(letter_rows=(10, 14)) | day(start=40, label="DÍA 1") | {
+        (11, 13): "7", (12, 13): "50", (13, 13): "1"}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = extract_bronze(cells(spark, sheet, sheet))
+        sessions, sets = as_rows(found.sesiones, "sheet_name", "id"), as_rows(found.series, "sheet_name", "id", "sesion_id")
+        found.series.explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    last = dict(sorted(sessions))
+    assert len(set(last.values())) == 2 and len(sets) == 8
+    assert sorted(sets, key=lambda r: r[1]) == [(f"Meso {1 + k // 4}", k + 1, last[f"Meso {1 + k // 4}"]) for k in range(8)]
+    plan = capsys.readouterr().out
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line and "athlete" in line]
+    assert not any("numero_dia" in line.split("), ")[0] for line in moved)
