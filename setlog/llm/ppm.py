@@ -33,6 +33,8 @@ DISCOUNT = 0.5  # what each symbol that follows a context gives to its escape
 CELLS = 10_000_000
 #: Bytes of text that a task works on together, or one text, if longer.
 AT_ONCE = 1_000_000
+#: Contexts x symbols that the driver codes together.
+CODED = 250_000
 #: Distinct grams that a task counts before it hands them on.
 COUNTED = 2_000_000
 #: Words whose counts every task holds; rarer ones meet their counts in a join.
@@ -248,7 +250,11 @@ def new_words_as_one(far: dict) -> dict:
 
 def build(grams: dict[int, tuple[np.ndarray, np.ndarray]], order: int) -> Trie:
     """Trie from ``grams[k]``: packed (context of k symbols, symbol) and counts, for contexts
-    closed under dropping the first or the last symbol."""
+    closed under dropping the first or the last symbol. ``grams`` is emptied on the way.
+
+    Contexts are coded some at a time: beside the trie itself, only the probabilities of the order before and of
+    the current one are held.
+    """
     mask = (1 << BITS) - 1
     seen = np.unique(grams[0][0] & mask) if 0 in grams else np.zeros(0, np.int64)
     column = np.full(END + 1, len(seen), np.int64)  # one column for symbols never seen
@@ -259,19 +265,29 @@ def build(grams: dict[int, tuple[np.ndarray, np.ndarray]], order: int) -> Trie:
                                              for k in range(1, order + 1) if k in grams}
     first = np.cumsum([0, *(len(contexts.get(k, ())) for k in range(order + 1))])
     log10 = np.zeros((int(first[-1]), width), np.float32)
-    after = np.zeros((int(first[-1]), width), np.int32)
-    shorter = np.full((1, width), 1 / (END + 1))
+    shorter, together = np.full((1, width), 1 / (END + 1)), max(CODED // width, 1)
     for k in range(order + 1):
         if k not in contexts:
             break
-        key, count = grams.get(k, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
-        own = np.zeros((len(contexts[k]), width))
-        own[np.searchsorted(contexts[k], key >> BITS), column[key & mask]] = count
-        if k:
-            shorter = shorter[np.searchsorted(
-                contexts[k - 1], contexts[k] & ((1 << (BITS * (k - 1))) - 1))]
-        shorter = coded(own, shorter, alike)
-        log10[first[k]:first[k + 1]] = np.log10(shorter)
+        key, count = grams.pop(k, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
+        by = np.argsort(key >> BITS, kind="stable")
+        key, count = key[by], count[by]
+        own_row = np.searchsorted(contexts[k], key >> BITS)
+        short_row = np.searchsorted(contexts[k - 1], contexts[k] & ((1 << (BITS * (k - 1))) - 1)) if k \
+            else np.zeros(1, np.int64)
+        longer = np.empty((len(contexts[k]), width)) if k + 1 in contexts else None
+        for begin in range(0, len(contexts[k]), together):
+            end = min(begin + together, len(contexts[k]))
+            at = slice(*np.searchsorted(own_row, [begin, end]))
+            own = np.zeros((end - begin, width))
+            own[own_row[at] - begin, column[key[at] & mask]] = count[at]
+            new = coded(own, shorter[short_row[begin:end]], alike)
+            log10[first[k] + begin:first[k] + end] = np.log10(new)
+            if longer is not None:
+                longer[begin:end] = new
+        shorter = longer
+    del shorter, longer
+    after = np.zeros((int(first[-1]), width), np.int32)
     for k in range(order + 1):
         if k not in contexts:
             break
@@ -291,7 +307,7 @@ def build(grams: dict[int, tuple[np.ndarray, np.ndarray]], order: int) -> Trie:
                     done |= hit
             after[here, c] = target
     depth = np.repeat(np.arange(order + 1, dtype=np.int8), np.diff(first))
-    return Trie(column, width, after.ravel(), log10.ravel().astype(np.float32), order, depth)
+    return Trie(column, width, after.ravel(), log10.ravel(), order, depth)
 
 
 def _word_key(word: bytes) -> int:
@@ -373,7 +389,10 @@ def trie_of(counts: DataFrame, order: int = ORDER, cells: int = CELLS
     kept = every.join(contexts.filter(held), ["k", "context"], "left_semi").select(
         "k", "key", "n").toArrow()
     k, key, n = (kept.column(c).to_numpy() for c in ("k", "key", "n"))
-    trie = build({o: (key[k == o], n[k == o]) for o in range(order + 1) if (k == o).any()}, order)
+    grams = {o: (key[k == o], n[k == o]) for o in range(order + 1) if (k == o).any()}
+    # Beside the trie the driver holds its grams once.
+    del kept, k, key, n
+    trie = build(grams, order)
     rest = every.join(contexts.filter(~held), ["k", "context"], "left_semi").select("k", "key", "n")
     return trie, rest if least > 1 else None
 

@@ -8,6 +8,7 @@ import math
 import random
 import string
 import time
+import tracemalloc
 import zlib
 
 import duckdb
@@ -86,6 +87,20 @@ def test_trie_codes_are_those_of_the_definition():
     assert np.allclose(sums, 1, atol=1e-5)
 
 
+def test_trie_is_built_in_little_more_memory_than_its_own():
+    rng, order = np.random.default_rng(3), 5
+    words = [rng.integers(97, 123, rng.integers(2, 9)).astype(np.uint8).tobytes() for _ in range(3000)]
+    key = ppm.gram_keys(ppm.symbols([words[i] for i in rng.integers(0, len(words), 20_000)], order), order)
+    grams = {k: np.unique(key & ((1 << (ppm.BITS * (k + 1))) - 1), return_counts=True) for k in range(order + 1)}
+    tracemalloc.start()
+    try:
+        trie = ppm.build(grams, order)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 2 * (trie.after.nbytes + trie.log10.nbytes)
+
+
 def test_base_scores_and_held_out_gain(spark):
     rng = random.Random(2)
     rows = [(i, prose(rng, rng.randrange(1, 80)).title()) for i in range(300)] + [(301, None)]
