@@ -12,6 +12,7 @@ from setlog.sources.cells import (
     blank_empty_texts, latest_snapshot, read_cells, require_meso_sheets,
     sheets_from_position, workbooks_without_meso,
 )
+from setlog.sources.sheet_tables import sheet_cells
 from tests.conftest import as_rows
 from tests.sheets import cells, day, header
 
@@ -217,3 +218,31 @@ def test_sets_move_once_to_their_sheet_for_sessions_and_numbers(spark, capsys):
     plan = capsys.readouterr().out
     moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line and "athlete" in line]
     assert not any("numero_dia" in line.split("), ")[0] for line in moved)
+
+
+def test_sets_are_numbered_where_they_are_read(spark, capsys):
+    # Places within the sheet are stored with the values: no window sorts the stored sets anew.
+    sheet = header("MICROCICLO 1", "MICROCICLO 2", "MICROCICLO 1") | day(letter_rows=(10, 14)) | day(
+        start=40, label="DÍA 7", micro_col=13) | {(11, 8): "7", (11, 13): "6", (11, 19): "5"}
+    found = extract_bronze(cells(spark, sheet, sheet))
+    found.series.explain()
+    assert not any("Window [" in line and "sheet_key" in line for line in capsys.readouterr().out.splitlines())
+    assert as_rows(found.sesiones.orderBy("id"), "id", "sheet_name", "numero_dia", "numero_microciclo") == [
+        (1, "Meso 1", 1, 1), (2, "Meso 1", 1, 2), (3, "Meso 1", 1, 1), (4, "Meso 1", 7, 2),
+        (5, "Meso 2", 1, 1), (6, "Meso 2", 1, 2), (7, "Meso 2", 1, 1), (8, "Meso 2", 7, 2)]
+    assert as_rows(found.series.orderBy("id"), "id", "sesion_id", "repeticiones") == [
+        (k + 6 * m, s + 4 * m, reps) for m in (0, 1) for k, s, reps in (
+            (1, 3, "8"), (2, 3, "7"), (3, 3, "8"), (4, 2, "6"), (5, 3, "5"), (6, 4, "8"))]
+
+
+def test_sets_are_sorted_twice_for_their_cells(spark, capsys):
+    rows = [("20240101Ana.xlsx", "Meso 1", 5, 1, m, "A", k, 10 * m + k, "8", "60.5", "2", "Empuje", "Press", None, "3x8", 1,
+             datetime(2024, 1, 2)) for m in (1, 2) for k in (1, 2)]
+    sets = spark.createDataFrame(rows, "workbook string, sheet_name string, sheet_pos int, day int, micro int, letter string,"
+                                 " k int, id bigint, repeticiones string, carga_kg string, rir_rpe string, tipo_ejercicio string,"
+                                 " nombre_ejercicio string, url_ejercicio string, dosis string, l_orderkey bigint,"
+                                 " o_orderdate timestamp")
+    table = sheet_cells(sets)
+    table.explain()
+    assert capsys.readouterr().out.count("Sort [sheet_key") == 2
+    assert table.filter("value = '3x8'").count() == 2 and table.filter("value in ('Press', 'MICROCICLO 1')").count() == 2
