@@ -73,6 +73,20 @@ def test_two_times_on_a_day_and_two_labels_multiply_sets(spark):
     assert sum(report.values()) == 1
 
 
+def test_ids_are_not_broadcast_to_find_orphans(spark, tmp_path, capsys):
+    # Stored tables of few bytes, which Spark takes for small ones.
+    ses = sesiones(spark, (1, "M 1", datetime(2024, 1, 1)), (2, "M 1", None))
+    ser = series(spark, *((k, "Press", "x", None, {"sesion_id": s}) for k, s in enumerate((1, 1, 2, 7, 7, 8, None), 1)))
+    write_bronze(ses, ser, str(tmp_path / "b"))
+    stored = read_bronze(spark, str(tmp_path / "b"))
+    write_silver(silver.build_star(*reversed(stored)), str(tmp_path / "s"))
+    report = profile.key_report(read_silver(spark, str(tmp_path / "s")), *stored)
+    assert {name: n for name, n in as_rows(report) if n} == {"bronze_series.sesion_id": 3}
+    assert dict(as_rows(report.select("control", F.typeof("filas"))))["bronze_series.sesion_id"] == "bigint"
+    report.explain()
+    assert "Broadcast" not in capsys.readouterr().out
+
+
 def test_date_attributes_at_the_year_edge(spark):
     star_dates = silver.dim_fecha(sesiones(spark, (1, "M 1", datetime(2024, 12, 30))))
     assert as_rows(star_dates, "anio", "mes", "dia", "dia_semana", "nombre_dia_semana",
