@@ -1,5 +1,6 @@
 """Hand cases of the sheet layout rules."""
 
+import time
 from datetime import datetime
 from decimal import Decimal
 
@@ -7,7 +8,9 @@ import pytest
 
 from setlog.functions.layout import Layout
 from setlog.operators import grid
+from setlog.operators.ids import staged
 from setlog.plans.bronze import extract_bronze
+from setlog.sources import sheet_tables
 from setlog.sources.cells import (
     blank_empty_texts, latest_snapshot, read_cells, require_meso_sheets,
     sheets_from_position, workbooks_without_meso,
@@ -192,6 +195,21 @@ def test_cells_are_told_and_sorted_by_numbers(spark, capsys):
     assert "Sort [sheet_key#" in plan and "Sort [workbook#" not in plan
 
 
+def test_cells_move_without_their_sheets_names(spark, capsys):
+    # One row per sheet and task moves, not one per cell; a cell without a row, column or value is none.
+    sheet = {**header("MICROCICLO 1"), **day(letter_rows=(10, 14))}
+    table = cells(spark, sheet, sheet).repartition(3)
+    none = spark.createDataFrame([("20240101Ana.xlsx", "Meso 1", 5, *place, "str") for place in (
+        (None, 7, "1"), (11, None, "1"), (11, 8, None), (-1, 7, "1"), (11, -2, "1"))], table.schema)
+    index = grid.sheet_index(table)
+    read = grid.read_sheets(table.unionByName(none), index)
+    assert sorted(as_rows(grid.sets_of(read), "sheet_name", "row_idx", "numero_serie", "repeticiones", "carga_kg")) == [
+        (f"Meso {k}", row, 1, "8", "60.5") for k in (1, 2) for row in (10, 14)]
+    read.explain()
+    plan = capsys.readouterr().out
+    assert "partial_collect_list(value" in plan and "Exchange hashpartitioning(workbook" not in plan
+
+
 def test_a_row_that_is_a_set_and_two_labels_gives_all_its_values(spark):
     sheet = {**header("MICROCICLO 1"), **day(letter_rows=())}
     for label_row in (1, 2, 3):
@@ -246,3 +264,54 @@ def test_sets_are_sorted_twice_for_their_cells(spark, capsys):
     table.explain()
     assert capsys.readouterr().out.count("Sort [sheet_key") == 2
     assert table.filter("value = '3x8'").count() == 2 and table.filter("value in ('Press', 'MICROCICLO 1')").count() == 2
+
+
+def order_rows(spark, folder):
+    """Lines of two customers: two orders of one place, a line that comes twice, one without customer."""
+    lines = [(0, 2, 1, 1, 5.0, 0.1, 900.0), (0, 2, 1, 2, 7.0, 0.0, 1000.0), (12, 2, 1, 1, 6.0, 0.0, 500.0), (12, 2, 1, 1, 6.0, 0.0, 500.0),
+             (3, 4, 2, 1, 9.0, 0.0, 700.0), (4, 4, 2, 1, 8.0, 0.0, 700.0), (9, 2, 1, 1, 6.0, 0.0, 500.0)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+                          " l_discount double, l_extendedprice double").write.parquet(f"{folder}/lineitem.parquet")
+    spark.createDataFrame([(k, p, c, datetime(2024, 1, 1 + k)) for k, p, c in (
+        (0, "1-URGENT", 1), (12, "1-URGENT", 1), (3, "5-LOW", 1), (4, "5-LOW", None))],
+        "o_orderkey long, o_orderpriority string, o_custkey long, o_orderdate timestamp_ntz"
+    ).write.parquet(f"{folder}/orders.parquet")
+    spark.createDataFrame([(2, "red widget", "Brand#1", "PROMO"), (4, "blue", "Brand#2", None)],
+                          "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(f"{folder}/part.parquet")
+
+
+def test_sheets_are_made_where_their_lines_are_placed(spark, tmp_path, capsys):
+    # Lines move to their order, their part and, once, to their customer's sheets; no set is written on the way.
+    order_rows(spark, str(tmp_path))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sets = sheet_tables.placed_sets(spark, str(tmp_path))
+        sheet_tables._set_cells(sets, sheet_tables._TOGETHER).explain()
+        plan = capsys.readouterr().out
+        sheet_tables.write_cells(spark, str(tmp_path), str(tmp_path / "cells"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line.split("hashpartitioning(")[1].split("#")[0] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert sorted(moved) == ["l_orderkey", "l_orderkey", "l_partkey", "l_partkey", "o_custkey"]
+    table = read_cells(spark, str(tmp_path / "cells"))
+    assert sorted(as_rows(table), key=repr) == sorted(as_rows(sheet_cells(sets)), key=repr)
+    reps = table.filter("row_idx % 40 >= 10 and row_idx % 4 = 3 and col_idx >= 7 and row_idx < 160").select("workbook", "sheet_name", "sheet_pos", "value")
+    ana = "20240101atleta1.xlsx"
+    assert sorted(as_rows(reps), key=repr) == sorted([
+        (ana, "Meso 1-URGENT", 5, "5.0"), (ana, "Meso 1-URGENT", 5, "7.0"), (ana, "Meso 1-URGENT 2", 1, "6.0"),
+        (ana, "Meso 1-URGENT 3", 1, "6.0"), (ana, "Meso 5-LOW", 9, "9.5"), (None, "Meso 5-LOW", 9, "8.5")], key=repr)
+    assert table.filter("sheet_name = 'Resumen'").count() == 2
+
+
+def test_a_table_written_on_the_way_frees_its_shuffles(spark):
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffled(), spark.conf.get(name)
+    made = staged(spark.range(1000).repartition(4, "id"), "freed")
+    for _ in range(50):
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before and made.count() == 1000 and spark.conf.get(name) == setting
