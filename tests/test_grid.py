@@ -207,7 +207,7 @@ def test_cells_move_without_their_sheets_names(spark, capsys):
         (f"Meso {k}", row, 1, "8", "60.5") for k in (1, 2) for row in (10, 14)]
     read.explain()
     plan = capsys.readouterr().out
-    assert "partial_collect_list(value" in plan and "Exchange hashpartitioning(workbook" not in plan
+    assert "partial_collect_list(struct(row_idx" in plan and "Exchange hashpartitioning(workbook" not in plan
 
 
 def test_a_row_that_is_a_set_and_two_labels_gives_all_its_values(spark):
@@ -266,6 +266,19 @@ def test_sets_are_sorted_twice_for_their_cells(spark, capsys):
     assert table.filter("value = '3x8'").count() == 2 and table.filter("value in ('Press', 'MICROCICLO 1')").count() == 2
 
 
+def test_cuts_move_sheets_not_cells(spark, capsys):
+    # Cells without a row or column keep their place among what is cut.
+    sheet = {**header("MICROCICLO 1", "MICROCICLO 2"), **day(), (40, 8): "MICROCICLO 9"}
+    table = cells(spark, sheet, {(0, 0): "DÍA 1", (0, 7): "MICROCICLO 1"}).repartition(3)
+    odd = spark.createDataFrame([("20240101Ana.xlsx", "Meso 1", 5, *place, "MICROCICLO 8", "str") for place in (
+        (None, 3), (50, None), (None, None))], table.schema)
+    cut = grid.grid_cuts(table.unionByName(odd))
+    assert sorted(as_rows(cut, "row_idx", "col_idx", "motivo"), key=repr) == sorted(
+        [(40, 8, "microciclo"), (None, 3, "microciclo"), (50, None, "microciclo")], key=repr)
+    cut.explain()
+    assert "partial_collect_list" in capsys.readouterr().out
+
+
 def order_rows(spark, folder):
     """Lines of two customers: two orders of one place, a line that comes twice, one without customer."""
     lines = [(0, 2, 1, 1, 5.0, 0.1, 900.0), (0, 2, 1, 2, 7.0, 0.0, 1000.0), (12, 2, 1, 1, 6.0, 0.0, 500.0), (12, 2, 1, 1, 6.0, 0.0, 500.0),
